@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from culprit import fixed_values as V
-from culprit.functions.draws import stream_hash
+from culprit.functions.draws import quoted, shuffle_key
 from culprit.operators.splits import sample_n, with_rank
 from culprit.sources.shared import written
 
@@ -33,10 +33,10 @@ def explain_sample(df: DataFrame, key: str, n: int | None = V.EXPLAIN_ROWS, seed
 def linear_contributions(df: DataFrame, weights, means, features: list[str]) -> DataFrame:
     """Add ``phi``: weight x (value - background mean) for every class and feature."""
     per_class = [
-        F.array(*[F.lit(w) * (F.col(f) - F.lit(m)) for w, f, m in zip(row, features, means)])
+        "array(" + ", ".join(f"{float(w)!r}D * (`{f}` - {float(m)!r}D)" for w, f, m in zip(row, features, means)) + ")"
         for row in weights
     ]
-    return df.withColumn("phi", F.array(*per_class))
+    return df.withColumn("phi", F.expr(f"array({', '.join(per_class)})"))
 
 
 def feature_means(background: DataFrame, features: list[str]) -> list[float]:
@@ -64,26 +64,27 @@ def shapley(model, df: DataFrame, background: DataFrame, key: str, tasks: int |
     m = len(model.features)
     if m > EXACT_FEATURES:
         raise ValueError(f"{m} features have {2**m} subsets: use sampled_shapley")
-    mask = F.col("_mask")
     expanded = _spread(df, key, tasks).withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2**m - 1))))
-    inside = [mask.bitwiseAND(1 << j) != 0 for j in range(m)]
+    inside = [f"(_mask & {1 << j}) <> 0" for j in range(m)]
     values = _subset_values(model, expanded, _inlined(background, model.features), inside, [key, "_mask"])
     # Weight of each feature in the value of a subset of each size.
-    weight = [
-        math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)
-    ]
-    size = F.bit_count(mask)
-    joins = F.element_at(F.array(*[F.lit(w) for w in [0.0, *weight]]), size + 1)
-    stays = F.element_at(F.array(*[F.lit(-w) for w in [*weight, 0.0]]), size + 1)
-    values = values.withColumns({"_joins": joins, "_stays": stays})
+    weight = [math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)]
+    joins = ", ".join(f"{w!r}D" for w in [0.0, *weight])
+    stays = ", ".join(f"{-w!r}D" for w in [*weight, 0.0])
+    values = values.withColumns(
+        {
+            "_joins": F.expr(f"element_at(array({joins}), bit_count(_mask) + 1)"),
+            "_stays": F.expr(f"element_at(array({stays}), bit_count(_mask) + 1)"),
+        }
+    )
     n = len(model.classes)
     sums = [
-        F.sum(F.when(inside[j], F.col("_joins")).otherwise(F.col("_stays")) * F.col(f"_v{c}")).alias(f"_phi{c}_{j}")
+        F.expr(f"sum(CASE WHEN {inside[j]} THEN _joins ELSE _stays END * _v{c}) AS _phi{c}_{j}")
         for c in range(n)
         for j in range(m)
     ]
-    ends = [F.max(F.when(mask == 0, F.col(f"_v{c}"))).alias(f"_base{c}") for c in range(n)]
-    ends += [F.max(F.when(mask == 2**m - 1, F.col(f"_v{c}"))).alias(f"_full{c}") for c in range(n)]
+    ends = [F.expr(f"max(CASE WHEN _mask = 0 THEN _v{c} END) AS _base{c}") for c in range(n)]
+    ends += [F.expr(f"max(CASE WHEN _mask = {2**m - 1} THEN _v{c} END) AS _full{c}") for c in range(n)]
     return _as_arrays(values.groupBy(key).agg(*sums, *ends), key, n, m)
 
 
@@ -105,26 +106,25 @@ def sampled_shapley(
     )
     expanded = expanded.withColumn("_order", F.transform(F.sort_array(draws), lambda d: d["j"]))
     expanded = expanded.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(m))))
-    place = [F.array_position("_order", F.lit(j)) for j in range(m)]
-    expanded = expanded.withColumns({f"_in{j}": p <= F.col("_step") for j, p in enumerate(place)})
-    inside = [F.col(f"_in{j}") for j in range(m)]
+    inside = [f"array_position(_order, {j}) <= _step" for j in range(m)]
     keys = [key, "_turn", "_order", "_step"]
     values = _subset_values(model, expanded, _inlined(background, model.features), inside, keys)
-    joined = F.try_element_at("_order", F.col("_step"))
-    left = F.try_element_at("_order", F.col("_step") + 1)
     values = values.withColumns(
-        {"_joined": F.when(F.col("_step") > 0, joined), "_left": F.when(F.col("_step") < m, left)}
+        {
+            "_joined": F.expr("try_element_at(_order, nullif(_step, 0))"),
+            "_left": F.expr(f"CASE WHEN _step < {m} THEN try_element_at(_order, _step + 1) END"),
+        }
     )
-    sign = [
-        F.when(F.col("_joined") == j, 1.0).when(F.col("_left") == j, -1.0).otherwise(0.0) for j in range(m)
-    ]
     sums = [
-        (F.sum(sign[j] * F.col(f"_v{c}")) / F.lit(float(orders))).alias(f"_phi{c}_{j}")
+        F.expr(
+            f"sum(CASE WHEN _joined = {j} THEN _v{c} WHEN _left = {j} THEN -_v{c} ELSE 0D END) "
+            f"/ {float(orders)}D AS _phi{c}_{j}"
+        )
         for c in range(n)
         for j in range(m)
     ]
-    ends = [F.max(F.when(F.col("_step") == 0, F.col(f"_v{c}"))).alias(f"_base{c}") for c in range(n)]
-    ends += [F.max(F.when(F.col("_step") == m, F.col(f"_v{c}"))).alias(f"_full{c}") for c in range(n)]
+    ends = [F.expr(f"max(CASE WHEN _step = 0 THEN _v{c} END) AS _base{c}") for c in range(n)]
+    ends += [F.expr(f"max(CASE WHEN _step = {m} THEN _v{c} END) AS _full{c}") for c in range(n)]
     return _as_arrays(values.groupBy(key).agg(*sums, *ends), key, n, m)
 
 
@@ -135,32 +135,30 @@ def _spread(df: DataFrame, key: str, tasks: int | None) -> DataFrame:
 def _inlined(background: DataFrame, features: list[str]) -> Column:
     """The background sample as an array literal: its size is a parameter, not the data's."""
     rows = background.select(*[F.col(f).cast("double") for f in features]).collect()
-    return F.array(*[F.struct(*[F.lit(r[f]).alias(f) for f in features]) for r in rows])
+    return F.lit([[float(v) for v in row] for row in rows])
 
 
-def _subset_values(model, expanded: DataFrame, background: Column, inside: list[Column], keys: list[str]) -> DataFrame:
+def _subset_values(model, expanded: DataFrame, background: Column, inside: list[str], keys: list[str]) -> DataFrame:
     """Mean score over the background for every subset: columns ``_v<class>``."""
     mixed = expanded.withColumn("_bg", F.explode(background))
     mixed = mixed.select(
         *keys,
         *[
-            F.when(inside[j], F.col(f).cast("double")).otherwise(F.col("_bg")[f]).alias(f)
+            F.expr(f"CASE WHEN {inside[j]} THEN double(`{f}`) ELSE _bg[{j}] END AS `{f}`")
             for j, f in enumerate(model.features)
         ],
     )
     scored = model.with_scores(mixed)
-    return scored.groupBy(*keys).agg(
-        *[F.avg(F.get("proba", F.lit(c))).alias(f"_v{c}") for c in range(len(model.classes))]
-    )
+    return scored.groupBy(*keys).agg(*[F.expr(f"avg(proba[{c}]) AS _v{c}") for c in range(len(model.classes))])
 
 
 def _as_arrays(sums: DataFrame, key: str, n: int, m: int) -> DataFrame:
-    phi = F.array(*[F.array(*[F.col(f"_phi{c}_{j}") for j in range(m)]) for c in range(n)])
+    rows = ["array(" + ", ".join(f"_phi{c}_{j}" for j in range(m)) + ")" for c in range(n)]
     return sums.select(
         key,
-        phi.alias("phi"),
-        F.array(*[F.col(f"_base{c}") for c in range(n)]).alias("base"),
-        F.array(*[F.col(f"_full{c}") for c in range(n)]).alias("proba"),
+        F.expr(f"array({', '.join(rows)}) AS phi"),
+        F.array(*[f"_base{c}" for c in range(n)]).alias("base"),
+        F.array(*[f"_full{c}" for c in range(n)]).alias("proba"),
     )
 
 
@@ -191,9 +189,8 @@ def normalize_shap(contributions: DataFrame, key: str, classes: list[str], featu
 
 def mean_absolute(contributions: DataFrame, features: list[str], top_k: int | None = V.TOP_FEATURES) -> DataFrame:
     """Mean size of the contributions over rows and classes, largest first."""
-    n = F.size("phi")
     size = [
-        F.aggregate("phi", F.lit(0.0), lambda total, row, j=j: total + F.abs(F.get(row, F.lit(j)))) / n
+        F.expr(f"aggregate(phi, 0D, (total, row) -> total + abs(row[{j}])) / size(phi)")
         for j in range(len(features))
     ]
     means = contributions.agg(*[F.avg(s).alias(f) for s, f in zip(size, features)])
@@ -235,7 +232,7 @@ def permutation_importance(
     stream = F.concat_ws("|", F.lit(f"{seed}|permute"), "feature", F.col("repeat").cast("string"))
     trials = trials.withColumns(
         {
-            "_donor": F.shiftrightunsigned(stream_hash(F.col(key), "donor", seed), 12),
+            "_donor": shuffle_key(key, "donor", seed),
             "_taker": F.shiftrightunsigned(F.xxhash64(stream, F.col(key)), 12),
         }
     )
@@ -343,44 +340,28 @@ def topk_rca(
 
     Both rankings sort arrays inside the row: nothing is shuffled.
     """
-    causes = F.array(
-        *[
-            F.struct(
-                (-F.get("proba", F.lit(c))).alias("low"),
-                F.lit(c).alias("c"),
-                F.lit(name).alias("class"),
-                F.get("proba", F.lit(c)).alias("proba"),
-                F.get("base", F.lit(c)).alias("base"),
-                F.get("phi", F.lit(c)).alias("row"),
-            )
-            for c, name in enumerate(classes)
-        ]
+    causes = ", ".join(
+        f"struct(-proba[{c}] AS low, {c} AS c, {quoted(name)} AS class, proba[{c}] AS proba, "
+        f"base[{c}] AS base, phi[{c}] AS row)"
+        for c, name in enumerate(classes)
     )
-    picked = contributions.select(
-        key, F.posexplode(F.slice(F.sort_array(causes), 1, k)).alias("_place", "_cause")
+    picked = contributions.selectExpr(
+        key, f"posexplode(slice(sort_array(array({causes})), 1, {k})) AS (_place, _cause)"
     )
-    row = F.col("_cause")["row"]
-    signals = F.array(
-        *[
-            F.struct(
-                (-F.abs(F.get(row, F.lit(j)))).alias("low"),
-                F.lit(j).alias("j"),
-                F.lit(f).alias("feature"),
-                F.get(row, F.lit(j)).alias("value"),
-            )
-            for j, f in enumerate(features)
-        ]
+    signals = ", ".join(
+        f"struct(-abs(_cause.row[{j}]) AS low, {j} AS j, {quoted(f)} AS feature, _cause.row[{j}] AS value)"
+        for j, f in enumerate(features)
     )
-    cells = picked.select(
-        key, "_place", "_cause", F.posexplode(F.slice(F.sort_array(signals), 1, top)).alias("_rank", "_signal")
+    cells = picked.selectExpr(
+        key, "_place", "_cause", f"posexplode(slice(sort_array(array({signals})), 1, {top})) AS (_rank, _signal)"
     )
-    return cells.select(
+    return cells.selectExpr(
         key,
-        (F.col("_place") + 1).alias("class_rank"),
-        F.col("_cause")["class"].alias("class"),
-        F.col("_cause")["proba"].alias("proba"),
-        F.col("_cause")["base"].alias("base"),
-        (F.col("_rank") + 1).alias("feature_rank"),
-        F.col("_signal")["feature"].alias("feature"),
-        F.col("_signal")["value"].alias("shap_value"),
+        "_place + 1 AS class_rank",
+        "_cause.class AS class",
+        "_cause.proba AS proba",
+        "_cause.base AS base",
+        "_rank + 1 AS feature_rank",
+        "_signal.feature AS feature",
+        "_signal.value AS shap_value",
     )

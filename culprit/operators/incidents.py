@@ -10,11 +10,11 @@ from culprit.functions.draws import (
     hash_normal,
     hash_poisson,
     hash_uniform,
-    logistic,
+    normal_text,
+    uniform_text,
     weighted_choice,
 )
 from culprit.sources.mixture import check_mixture, mixture_lookup, mixture_rows, read_mixture
-from culprit.sources.shared import small
 
 RENAMED = {"avg_cpu": "avg_cpu_usage", "upstream_error": "upstream_error_rate"}
 
@@ -27,7 +27,7 @@ def with_label(
     label: str = V.LABEL,
 ) -> DataFrame:
     """Draw the root cause of each row by the given shares."""
-    draw = hash_uniform(F.col(key), "label", seed)
+    draw = uniform_text(key, "label", seed)
     return df.withColumn(label, weighted_choice(draw, prior or V.ROOT_CAUSE_PRIOR))
 
 
@@ -35,7 +35,7 @@ def with_baselines(df: DataFrame, key: str, seed: int = V.SEED) -> DataFrame:
     """Draw the healthy level of each signal."""
     return df.withColumns(
         {
-            name: F.lit(mean) + F.lit(std) * hash_normal(F.col(key), f"base:{name}", seed)
+            name: hash_normal(key, f"base:{name}", seed, mean, std)
             for name, (mean, std) in V.BASELINES.items()
         }
     )
@@ -50,20 +50,22 @@ def with_picks(
 ) -> DataFrame:
     """Choose per signal the first mixture component whose upper bound is above the draw.
 
-    The lookup has one row per root cause, so the join is a checked broadcast and the rows
-    stay where they are. ``filter`` on an array also ends whole-stage generation here: the
+    The lookup has one row per root cause and comes from one small file, so Spark broadcasts
+    it by its known size and the rows stay where they are. ``filter`` on an array also ends whole-stage generation here: the
     projection is then compiled as many small methods, where one method of all draws would
     pass the 8,000 bytes up to which the JVM compiles.
     """
-    mixture = read_mixture(df.sparkSession) if mixture is None else mixture
-    check_mixture(mixture)
-    lookup = small(mixture_lookup(mixture).withColumnRenamed("root_cause", label))
-
-    def pick(name: str) -> Column:
-        u = hash_uniform(F.col(key), f"pick:{name}", seed)
-        return F.get(F.filter(f"mix_{name}", lambda part: u < part["hi"]), F.lit(0))
-
-    picked = df.join(lookup, label, "left").withColumns({f"pick_{n}": pick(n) for n in V.BASELINES})
+    if mixture is None:
+        mixture = read_mixture(df.sparkSession)
+    else:
+        check_mixture(mixture)
+    lookup = mixture_lookup(mixture).withColumnRenamed("root_cause", label)
+
+    picks = {
+        f"pick_{n}": F.expr(f"get(filter(mix_{n}, part -> {uniform_text(key, f'pick:{n}', seed)} < part.hi), 0)")
+        for n in V.BASELINES
+    }
+    picked = df.join(lookup, label, "left").withColumns(picks)
     return picked.drop(*[f"mix_{n}" for n in V.BASELINES])
 
 
@@ -115,69 +117,68 @@ def with_mixture_shift(
 ) -> DataFrame:
     """Add to each signal a draw from its chosen component; without one it stays as it is."""
     df = with_picks(df, key, mixture, seed, label)
-    shifts = {}
-    for name in V.BASELINES:
-        pick = F.col(f"pick_{name}")
-        shift = pick["mean"] + pick["std"] * hash_normal(F.col(key), f"shift:{name}", seed)
-        shifts[name] = F.col(name) + F.coalesce(shift, F.lit(0.0))
+    shifts = {
+        n: F.expr(
+            f"{n} + coalesce(pick_{n}.mean + pick_{n}.std * {normal_text(key, f'shift:{n}', seed)}, 0D)"
+        )
+        for n in V.BASELINES
+    }
     return df.withColumns(shifts).drop(*[f"pick_{n}" for n in V.BASELINES])
 
 
 def with_couplings(df: DataFrame, key: str, seed: int = V.SEED) -> DataFrame:
     """Let the signals pull on each other: requests on CPU, CPU on memory, all on latency."""
-    noise = hash_normal(F.col(key), "noise:avg_cpu", seed)
-    cpu_noise = F.lit(V.CPU_NOISE[0]) + F.lit(V.CPU_NOISE[1]) * noise
-    cpu = F.col("avg_cpu") + (F.lit(V.CPU_PER_REQUEST) * F.col("request_rate") + cpu_noise)
-    excess = F.greatest(F.col("request_rate") - V.NORMAL_REQUEST_RATE, F.lit(0.0))
+    cpu = f"avg_cpu + ({V.CPU_PER_REQUEST}D * request_rate + {normal_text(key, 'noise:avg_cpu', seed, *V.CPU_NOISE)})"
+    excess = f"greatest(request_rate - {V.NORMAL_REQUEST_RATE}D, 0D)"
     df = df.withColumns(
         {
-            "avg_cpu": F.least(F.greatest(cpu, F.lit(0.0)), F.lit(100.0)),
-            "dependency_latency": F.col("dependency_latency")
-            + F.lit(V.DEPENDENCY_PER_EXCESS_REQUEST) * excess,
+            "avg_cpu": F.expr(f"least(greatest({cpu}, 0D), 100D)"),
+            "dependency_latency": F.expr(f"dependency_latency + {V.DEPENDENCY_PER_EXCESS_REQUEST}D * {excess}"),
         }
     )
-    df = df.withColumn("mem_growth", F.col("mem_growth") + F.lit(V.MEMORY_PER_CPU) * F.col("avg_cpu"))
-    noise = hash_normal(F.col(key), "noise:latency", seed)
-    pull = F.lit(V.LATENCY_NOISE[0]) + F.lit(V.LATENCY_NOISE[1]) * noise
-    for name, weight in V.LATENCY_WEIGHTS.items():
-        pull = pull + F.lit(weight) * F.col(name)
-    return df.withColumn("latency", F.greatest(F.col("latency") + pull, F.lit(V.LATENCY_FLOOR)))
+    df = df.withColumn("mem_growth", F.expr(f"mem_growth + {V.MEMORY_PER_CPU}D * avg_cpu"))
+    noise = normal_text(key, "noise:latency", seed, *V.LATENCY_NOISE)
+    pull = " + ".join([noise, *[f"{weight}D * {name}" for name, weight in V.LATENCY_WEIGHTS.items()]])
+    return df.withColumn("latency", F.expr(f"greatest(latency + ({pull}), {V.LATENCY_FLOOR}D)"))
+
+
+def stress_text() -> str:
+    return " + ".join([f"{V.STRESS_BIAS}D", *[f"{weight}D * {name}" for name, weight in V.STRESS_WEIGHTS.items()]])
 
 
 def stress_score() -> Column:
-    score = F.lit(V.STRESS_BIAS)
-    for name, weight in V.STRESS_WEIGHTS.items():
-        score = score + F.lit(weight) * F.col(name)
-    return score
+    return F.expr(stress_text())
 
 
 def with_stress(df: DataFrame) -> DataFrame:
     """Raise the error rate by the logistic of the stress score (taken before the raise)."""
-    return df.withColumn("error_rate", F.col("error_rate") + logistic(stress_score()))
+    return df.withColumn("error_rate", F.expr(f"error_rate + 1D / (1D + exp(-({stress_text()})))"))
 
 
 def with_log_counts(df: DataFrame, key: str, seed: int = V.SEED) -> DataFrame:
     """Draw log counts from the signals before their final clamps."""
-    rates = {
-        "oom": F.greatest(F.col("mem_growth") * V.OOM_PER_MEMORY, F.lit(V.OOM_FLOOR)),
-        "timeout": F.greatest(
-            F.col("dependency_latency") / V.DEPENDENCY_LATENCY_PER_TIMEOUT, F.lit(V.TIMEOUT_FLOOR)
-        ),
-    }
-    df = df.withColumns({f"_rate_{n}": rate for n, rate in rates.items()})
-    df = df.withColumns({f"_u_{n}": hash_uniform(F.col(key), n, seed) for n in rates})
-    counts = {f"{n}_log_count": hash_poisson(F.col(f"_u_{n}"), F.col(f"_rate_{n}")) for n in rates}
-    return df.withColumns(counts).drop(*[f"_{part}_{n}" for n in rates for part in ("rate", "u")])
+    df = df.withColumns(
+        {
+            "_rate_oom": F.expr(f"greatest(mem_growth * {V.OOM_PER_MEMORY}D, {V.OOM_FLOOR}D)"),
+            "_rate_timeout": F.expr(
+                f"greatest(dependency_latency / {V.DEPENDENCY_LATENCY_PER_TIMEOUT}D, {V.TIMEOUT_FLOOR}D)"
+            ),
+            "_u_oom": hash_uniform(key, "oom", seed),
+            "_u_timeout": hash_uniform(key, "timeout", seed),
+        }
+    )
+    counts = {f"{n}_log_count": hash_poisson(f"_u_{n}", f"_rate_{n}") for n in ("oom", "timeout")}
+    return df.withColumns(counts).drop("_rate_oom", "_rate_timeout", "_u_oom", "_u_timeout")
 
 
 def published(df: DataFrame, key: str, label: str = V.LABEL) -> DataFrame:
     """Final clamps, published names and column order."""
     df = df.withColumns(
         {
-            "request_rate": F.greatest("request_rate", F.lit(0.0)),
-            "dependency_latency": F.greatest("dependency_latency", F.lit(1.0)),
-            "mem_growth": F.greatest("mem_growth", F.lit(0.0)),
-            "error_rate": F.greatest("error_rate", F.lit(0.0)),
+            "request_rate": F.expr("greatest(request_rate, 0D)"),
+            "dependency_latency": F.expr("greatest(dependency_latency, 1D)"),
+            "mem_growth": F.expr("greatest(mem_growth, 0D)"),
+            "error_rate": F.expr("greatest(error_rate, 0D)"),
         }
     ).withColumnsRenamed(RENAMED)
     return df.select(key, *V.SIGNALS, label)

@@ -24,15 +24,23 @@ def label_counts(scored: DataFrame, by: str = "model_name", actual: str = "actua
 def confusion_matrix(scored: DataFrame, by: str = "model_name", actual: str = "actual", predicted: str = "prediction") -> DataFrame:
     """Count per actual and predicted label, zeros included, labels from both sides."""
     counts = label_counts(scored, by, actual, predicted)
-    seen = counts.select(by, F.explode(F.array("actual", "predicted")).alias("label"))
-    cells = (
-        seen.groupBy(by)
-        .agg(F.sort_array(F.collect_set("label")).alias("labels"))
-        .select(by, "labels", F.explode("labels").alias("actual"))
-        .select(by, "actual", F.explode("labels").alias("predicted"))
-    )
-    return cells.join(counts, [by, "actual", "predicted"], "left").select(
-        by, "actual", "predicted", F.coalesce("n", F.lit(0).cast("long")).alias("n")
+    # At most classes x classes cells per model: they fit in one row.
+    cell = F.struct(F.struct("actual", "predicted"), F.col("n"))
+    table = counts.groupBy(by).agg(F.map_from_entries(F.collect_list(cell)).alias("cells"))
+    pairs = F.map_keys("cells")
+    labels = F.array_union(F.transform(pairs, lambda p: p["actual"]), F.transform(pairs, lambda p: p["predicted"]))
+    return (
+        table.select(by, "cells", labels.alias("labels"))
+        .select(by, "cells", "labels", F.explode("labels").alias("actual"))
+        .select(by, "cells", "actual", F.explode("labels").alias("predicted"))
+        .select(
+            by,
+            "actual",
+            "predicted",
+            F.coalesce(
+                F.try_element_at("cells", F.struct("actual", "predicted")), F.lit(0).cast("long")
+            ).alias("n"),
+        )
     )
 
 

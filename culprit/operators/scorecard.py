@@ -33,30 +33,24 @@ class Scorecard:
         ]
         return cls(name, classes, V.SIGNALS, [V.SCORECARD[c][0] for c in classes], weights)
 
-    def margins(self) -> list:
-        out = []
-        for intercept, weights in zip(self.intercepts, self.weights):
-            score = F.lit(intercept)
-            for f, w in zip(self.features, weights):
-                score = score + F.lit(w) * F.col(f)
-            out.append(score)
-        return out
+    def margins(self) -> list[str]:
+        """Linear score of each class, as SQL text."""
+        return [
+            " + ".join([f"{float(b)!r}D", *[f"{float(w)!r}D * `{f}`" for f, w in zip(self.features, row)]])
+            for b, row in zip(self.intercepts, self.weights)
+        ]
 
     def with_scores(self, df: DataFrame) -> DataFrame:
         """Add ``proba`` (one share per class, in class order) and ``prediction``."""
-        n = len(self.classes)
-        df = df.withColumns({f"_m{i}": m for i, m in enumerate(self.margins())})
-        top = F.greatest(*[F.col(f"_m{i}") for i in range(n)])
-        df = df.withColumn("_top", top)
-        df = df.withColumns({f"_e{i}": F.exp(F.col(f"_m{i}") - F.col("_top")) for i in range(n)})
-        total = F.col("_e0")
-        for i in range(1, n):
-            total = total + F.col(f"_e{i}")
-        df = df.withColumn("_sum", total)
-        df = df.withColumn("proba", F.array(*[F.col(f"_e{i}") / F.col("_sum") for i in range(n)]))
-        df = df.withColumn("prediction", predicted_class(F.col("proba"), self.classes))
-        scratch = [f"_{part}{i}" for i in range(n) for part in ("m", "e")]
-        return df.drop("_top", "_sum", *scratch)
+        n = range(len(self.classes))
+        df = df.withColumns({f"_m{i}": F.expr(m) for i, m in enumerate(self.margins())})
+        top = f"greatest({', '.join(f'_m{i}' for i in n)})"
+        df = df.withColumns({f"_e{i}": F.expr(f"exp(_m{i} - {top})") for i in n})
+        total = " + ".join(f"_e{i}" for i in n)
+        shares = ", ".join(f"_e{i} / ({total})" for i in n)
+        df = df.withColumn("proba", F.expr(f"array({shares})"))
+        df = df.withColumn("prediction", predicted_class("proba", self.classes))
+        return df.drop(*[f"_{part}{i}" for i in n for part in ("m", "e")])
 
 
 def fixed_scorecards() -> list[Scorecard]:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from culprit.functions.draws import quoted
+
 
-def predicted_class(proba: Column, classes: list[str] | None) -> Column:
-    """Most likely class; the first one wins ties."""
-    place = F.array_position(proba, F.array_max(proba)).cast("int")
-    return F.element_at(F.array(*[F.lit(c) for c in classes]), place)
+def predicted_class(proba: str, classes: list[str]) -> Column:
+    """Most likely class of a column of shares; the first one wins ties."""
+    names = ", ".join(quoted(c) for c in classes)
+    return F.expr(f"element_at(array({names}), int(array_position({proba}, array_max({proba}))))")
 
 
 def predict(model, df: DataFrame) -> DataFrame:
@@ -29,11 +29,20 @@ def predict(model, df: DataFrame) -> DataFrame:
 
 
 def score_models(models: list, df: DataFrame, label: str, key: str) -> DataFrame:
-    """Long table of every model's scores: ``model_name, key, actual, prediction, proba``."""
-    tables = [
-        m.with_scores(df).select(
-            F.lit(m.name).alias("model_name"), key, F.col(label).alias("actual"), "prediction", "proba"
-        )
-        for m in models
-    ]
-    return reduce(DataFrame.unionByName, tables)
+    """Long table of every model's scores: ``model_name, key, actual, prediction, proba``.
+
+    All models score the same row in one pass; the row is then split into one per model.
+    """
+    for i, m in enumerate(models):
+        df = m.with_scores(df).withColumnsRenamed({"proba": f"_proba{i}", "prediction": f"_prediction{i}"})
+    scores = F.array(
+        *[
+            F.struct(
+                F.lit(m.name).alias("model_name"),
+                F.col(f"_prediction{i}").alias("prediction"),
+                F.col(f"_proba{i}").alias("proba"),
+            )
+            for i, m in enumerate(models)
+        ]
+    )
+    return df.select(key, F.col(label).alias("actual"), F.inline(scores))

@@ -120,7 +120,7 @@ def _with_part(
     df: DataFrame, key: str, label: str, shares: list[Fraction], stream: str, seed: int, buckets: int
 ) -> DataFrame:
     n_cuts = len(shares) - 1
-    order = shuffle_key(F.col(key), stream, seed)
+    order = shuffle_key(key, stream, seed)
     rows = df.select(label, F.col(key).alias("_key"), order.alias("_order"))
     rows = rows.withColumn("_bucket", _bucket(F.col("_order"), buckets))
     per_bucket = rows.groupBy(label, "_bucket").agg(F.count("*").alias("n"))
@@ -179,7 +179,7 @@ def sample_n(
     Small samples keep the n first rows of every partition; larger ones cut the hash order
     at the n-th row, as the splits do.
     """
-    order = shuffle_key(F.col(key), stream, seed)
+    order = shuffle_key(key, stream, seed)
     if n <= TOP_ROWS:
         return df.withColumn("_order", order).orderBy("_order", key).limit(n).drop("_order")
     total = df.count()

@@ -59,23 +59,15 @@ def check_mixture(mixture: DataFrame) -> None:
 
 def mixture_lookup(mixture: DataFrame) -> DataFrame:
     """One row per root cause with ``mix_<signal>``: array of (hi, k, mean, std) components."""
-    columns = []
-    for name in BASELINES:
-        parts = F.transform(
-            F.try_element_at("signals", F.lit(name)), lambda c: F.struct(*_component(c))
-        )
-        bounded = F.transform(
-            parts,
-            lambda c, i: F.struct(
-                F.aggregate(
-                    F.slice(parts, 1, i + 1), F.lit(0.0), lambda total, part: total + part["p"]
-                ).alias("hi"),
-                i.alias("k"),
-                c["mean"].alias("mean"),
-                c["std"].alias("std"),
-            ),
-        )
-        columns.append(bounded.alias(f"mix_{name}"))
+    part = "named_struct('p', double(c[0]), 'mean', from_json(c[1], 'array<double>')[0], 'std', from_json(c[1], 'array<double>')[1])"
+    columns = [
+        F.expr(
+            f"transform(transform(try_element_at(signals, '{name}'), c -> {part}), (c, i) -> struct("
+            f"aggregate(slice(try_element_at(signals, '{name}'), 1, i + 1), 0D, (t, d) -> t + double(d[0])) AS hi, "
+            "i AS k, c.mean AS mean, c.std AS std))"
+        ).alias(f"mix_{name}")
+        for name in BASELINES
+    ]
     return mixture.select("root_cause", *columns)
 
 

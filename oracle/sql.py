@@ -37,13 +37,16 @@ def draws(name: str, streams: dict[str, str], source: str, key: str) -> str:
     """CTEs that give ``name(id, s, u, z, o)``: uniform, normal and order draw per stream."""
 
     def wrap(x):
-        return f"(({x}) % {WORD}::UHUGEINT)"
+        return f"(({x}) & {WORD - 1}::UHUGEINT)"
 
     def times(x, prime):
         return wrap(f"({x}) * {prime}::UHUGEINT")
 
+    def right(x, bits):
+        return f"({x} >> {bits}::UHUGEINT)"
+
     def rotate(x, bits):
-        return f"({wrap(f'{x} * {2**bits}::UHUGEINT')} + {x} // {2**(64 - bits)}::UHUGEINT)"
+        return f"({wrap(f'{x} * {2**bits}::UHUGEINT')} + {right(x, 64 - bits)})"
 
     start = {
         s: (xxhash.xxh64_intdigest(text.encode(), seed=42) + PRIME_5 + 8) % WORD
@@ -55,13 +58,13 @@ def draws(name: str, streams: dict[str, str], source: str, key: str) -> str:
 {name}_1 AS (SELECT {key} AS id, s, h, {times(f'{key}::UHUGEINT', PRIME_2)} AS k FROM {source}, {name}_s),
 {name}_2 AS (SELECT id, s, xor(h, {times(rotate('k', 31), PRIME_1)}) AS h FROM {name}_1),
 {name}_3 AS (SELECT id, s, {wrap(times(rotate('h', 27), PRIME_1) + f' + {PRIME_4}::UHUGEINT')} AS h FROM {name}_2),
-{name}_4 AS (SELECT id, s, {times(f'xor(h, h // {2**33}::UHUGEINT)', PRIME_2)} AS h FROM {name}_3),
-{name}_5 AS (SELECT id, s, {times(f'xor(h, h // {2**29}::UHUGEINT)', PRIME_3)} AS h FROM {name}_4),
-{name}_6 AS (SELECT id, s, xor(h, h // {2**32}::UHUGEINT) AS h FROM {name}_5),
-{name} AS (SELECT id, s, (h // 4096::UHUGEINT)::BIGINT AS o,
-  ((h // 4096::UHUGEINT)::DOUBLE + 0.5::DOUBLE) * {number(2.0**-52)} AS u,
-  sqrt(-2.0::DOUBLE * ln(((h // {2**32}::UHUGEINT)::DOUBLE + 0.5::DOUBLE) * {number(2.0**-32)}))
-    * cos(2.0::DOUBLE * pi() * (((h % {2**32}::UHUGEINT)::DOUBLE + 0.5::DOUBLE) * {number(2.0**-32)})) AS z
+{name}_4 AS (SELECT id, s, {times(f"xor(h, {right('h', 33)})", PRIME_2)} AS h FROM {name}_3),
+{name}_5 AS (SELECT id, s, {times(f"xor(h, {right('h', 29)})", PRIME_3)} AS h FROM {name}_4),
+{name}_6 AS (SELECT id, s, xor(h, {right('h', 32)}) AS h FROM {name}_5),
+{name} AS (SELECT id, s, {right('h', 12)}::BIGINT AS o,
+  ({right('h', 12)}::DOUBLE + 0.5::DOUBLE) * {number(2.0**-52)} AS u,
+  sqrt(-2.0::DOUBLE * ln(({right('h', 32)}::DOUBLE + 0.5::DOUBLE) * {number(2.0**-32)}))
+    * cos(2.0::DOUBLE * pi() * (((h & {2**32 - 1}::UHUGEINT)::DOUBLE + 0.5::DOUBLE) * {number(2.0**-32)})) AS z
   FROM {name}_6)"""
 
 

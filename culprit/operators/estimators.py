@@ -1,4 +1,396 @@
-from pyspark.ml.feature import StringIndexer
-def index_label(df, label):
-    m = StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc").fit(df)
-    return m.transform(df), m.labels
+"""The classifier families, fitted with MLlib.
+
+A fitted model is two MLlib pipelines, ``prep`` (features) and ``heads`` (one multiclass
+model, or one binary model per class), and a card with what MLlib does not keep: class
+names, parameters and calibration.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from itertools import product
+from multiprocessing.pool import ThreadPool
+
+import numpy as np
+import pandas as pd
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import (
+    GBTClassifier,
+    LinearSVC,
+    LogisticRegression,
+    RandomForestClassifier,
+)
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from culprit import fixed_values as V
+from culprit.operators.scoring import predicted_class
+
+# Depth that stands for "no limit": MLlib accepts at most 30.
+DEEPEST = 30
+
+
+@dataclass(frozen=True)
+class ModelSpec:
+    """A family with its parameter grid. ``options`` go to every fit of the family."""
+
+    name: str
+    family: str
+    grid: dict[str, list]
+    options: dict = field(default_factory=dict)
+
+    def points(self) -> list[dict]:
+        """All grid points; the last parameter by name varies fastest."""
+        names = sorted(self.grid)
+        return [dict(zip(names, values)) for values in product(*[self.grid[n] for n in names])]
+
+
+FAMILIES = {
+    "Logistic Regression": "logistic",
+    "Random Forest": "forest",
+    "Gradient Boosting": "boosting",
+    "SVM (RBF)": "svm",
+    "SVM": "svm",
+}
+
+
+def registry(grids: dict[str, dict] | None = None, options: dict[str, dict] | None = None) -> list[ModelSpec]:
+    """The four families, with the given grids or the default ones."""
+    options = options or {}
+    return [
+        ModelSpec(name, FAMILIES[name], grid, options.get(name, {})) for name, grid in (grids or V.GRIDS).items()
+    ]
+
+
+def needs_scaling(family: str) -> bool:
+    return family in ("logistic", "svm")
+
+
+def index_label(df: DataFrame, label: str = V.LABEL) -> tuple[DataFrame, list[str]]:
+    """Add ``label_index`` by alphabetical class order, and return the classes."""
+    model = StringIndexer(
+        inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc", handleInvalid="error"
+    ).fit(df)
+    return model.transform(df), model.labels
+
+
+class FittedModel:
+    """A fitted classifier that scores tables; see ``explain`` for the interface."""
+
+    def __init__(
+        self,
+        name: str,
+        family: str,
+        params: dict,
+        classes: list[str],
+        features: list[str],
+        prep: PipelineModel,
+        heads: PipelineModel,
+        fourier: dict | None = None,
+        calibration: list | None = None,
+    ):
+        self.name, self.family, self.params = name, family, params
+        self.classes, self.features = list(classes), list(features)
+        self.prep, self.heads = prep, heads
+        self.fourier, self.calibration = fourier, calibration
+
+    @property
+    def kind(self) -> str:
+        if self.family == "svm":
+            return "linear" if self.fourier is None else "kernel"
+        return {"logistic": "linear", "forest": "tree", "boosting": "boosting"}[self.family]
+
+    def prepared(self, df: DataFrame) -> DataFrame:
+        return with_fourier(self.prep.transform(df), self.fourier)
+
+    def margins(self, df: DataFrame) -> DataFrame:
+        """Add ``_margins``, one binary margin per class."""
+        scored = self.heads.transform(self.prepared(df))
+        each = [vector_to_array(F.col(f"_raw{i}"))[1] for i in range(len(self.classes))]
+        return scored.withColumn("_margins", F.array(*each))
+
+    def with_scores(self, df: DataFrame) -> DataFrame:
+        """Add ``proba`` (in class order) and ``prediction``; all other columns stay."""
+        kept = df.columns
+        if self.family in ("logistic", "forest"):
+            scored = self.heads.transform(self.prepared(df))
+            scored = scored.withColumn("proba", vector_to_array("_probability"))
+            best = "proba"
+        else:
+            scored = self.margins(df)
+            # Boosting margins are half log-odds; support vector margins are calibrated.
+            lines = self.calibration or [(2.0, 0.0)] * len(self.classes)
+            scored = scored.withColumns(
+                {f"_p{i}": F.expr(f"1D / (1D + exp(-({a!r}D * _margins[{i}] + {b!r}D)))") for i, (a, b) in enumerate(lines)}
+            )
+            total = " + ".join(f"_p{i}" for i in range(len(lines)))
+            shares = ", ".join(f"_p{i} / ({total})" for i in range(len(lines)))
+            scored = scored.withColumn("proba", F.expr(f"array({shares})"))
+            best = "_margins"
+        scored = scored.withColumn("prediction", predicted_class(best, self.classes))
+        return scored.select(*kept, "prediction", "proba")
+
+    def _linear(self) -> tuple[list[list[float]], list[float]]:
+        if self.kind != "linear":
+            raise ValueError(f"{self.name}: coefficients are not available for a non-linear model")
+        if self.family == "logistic":
+            head = self.heads.stages[0]
+            return head.coefficientMatrix.toArray().tolist(), head.interceptVector.toArray().tolist()
+        return (
+            [h.coefficients.toArray().tolist() for h in self.heads.stages],
+            [float(h.intercept) for h in self.heads.stages],
+        )
+
+    def coefficients(self) -> list[tuple[str, str, float]]:
+        """(feature, class, weight on the scaled feature)."""
+        weights, _ = self._linear()
+        return [
+            (f, c, float(w)) for c, row in zip(self.classes, weights) for f, w in zip(self.features, row)
+        ]
+
+    @property
+    def weights(self) -> list[list[float]]:
+        """Weights in the units of the unscaled features."""
+        factors, _ = self._scaling()
+        return [[w * s for w, s in zip(row, factors)] for row in self._linear()[0]]
+
+    @property
+    def intercepts(self) -> list[float]:
+        factors, means = self._scaling()
+        rows, intercepts = self._linear()
+        return [b - sum(w * s * m for w, s, m in zip(row, factors, means)) for b, row in zip(intercepts, rows)]
+
+    def _scaling(self) -> tuple[list[float], list[float]]:
+        scaler, factor = self.prep.stages[1], self.prep.stages[2]
+        factors = [
+            float(k) / s if s > 0 else 0.0 for k, s in zip(factor.getScalingVec().toArray(), scaler.std.toArray())
+        ]
+        return factors, [float(m) for m in scaler.mean.toArray()]
+
+    def tree_importance(self) -> list[tuple[str, float]]:
+        """Impurity importance, largest first; the mean over the per-class models for boosting."""
+        if self.kind not in ("tree", "boosting"):
+            raise ValueError(f"{self.name} has no trees")
+        each = np.array([h.featureImportances.toArray() for h in self.heads.stages])
+        mean = each.mean(axis=0)
+        order = np.argsort(-mean, kind="stable")
+        return [(self.features[j], float(mean[j])) for j in order]
+
+
+def with_fourier(df: DataFrame, fourier: dict | None) -> DataFrame:
+    """Random Fourier features of the RBF kernel (Rahimi and Recht, 2007).
+
+    A plain matrix product per Arrow batch; frequencies depend on the seed alone.
+    """
+    if fourier is None:
+        return df
+    rng = np.random.default_rng(fourier["seed"])
+    dims, inputs = fourier["dims"], fourier["inputs"]
+    frequencies = rng.normal(size=(inputs, dims)) * math.sqrt(2.0 * fourier["gamma"])
+    phases = rng.uniform(0.0, 2.0 * math.pi, size=dims)
+
+    @F.pandas_udf("array<double>")
+    def project(x: pd.Series) -> pd.Series:
+        if len(x) == 0:
+            return pd.Series([], dtype=object)
+        z = np.sqrt(2.0 / dims) * np.cos(np.stack(x.to_list()) @ frequencies + phases)
+        return pd.Series(list(z))
+
+    return df.withColumn("_features", array_to_vector(project(vector_to_array("_features"))))
+
+
+def fit_prep(df: DataFrame, family: str, features: list[str], n: int) -> PipelineModel:
+    """Vector of the features, scaled by the population deviation where the family needs it."""
+    if not needs_scaling(family):
+        return PipelineModel([VectorAssembler(inputCols=features, outputCol="_features")])
+    assembler = VectorAssembler(inputCols=features, outputCol="_unscaled")
+    scaler = StandardScaler(inputCol="_unscaled", outputCol="_scaled", withMean=True, withStd=True)
+    # MLlib divides by the sample deviation; this turns it into the population deviation.
+    factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+    resize = ElementwiseProduct(
+        inputCol="_scaled", outputCol="_features", scalingVec=Vectors.dense([factor] * len(features))
+    )
+    return PipelineModel([assembler, scaler.fit(assembler.transform(df)), resize])
+
+
+def kernel_width(gamma, prep: PipelineModel) -> float:
+    """``scale`` is 1 / (features x variance of the scaled values), ``auto`` 1 / features."""
+    std = prep.stages[1].std.toArray()
+    if gamma == "scale":
+        varying = float((std > 0).sum())
+        return 1.0 / varying if varying else 1.0
+    return 1.0 / len(std) if gamma == "auto" else float(gamma)
+
+
+def fit(
+    df: DataFrame,
+    spec: ModelSpec,
+    params: dict,
+    features: list[str],
+    classes: list[str],
+    seed: int = V.SEED,
+    parallelism: int = 4,
+    calibrate: bool = True,
+) -> FittedModel:
+    """Fit one family with one grid point on a table with ``label_index``."""
+    n = df.count()
+    prep = fit_prep(df, spec.family, features, n)
+    if spec.family == "logistic":
+        head = LogisticRegression(
+            labelCol="label_index",
+            featuresCol="_features",
+            probabilityCol="_probability",
+            rawPredictionCol="_rawPrediction",
+            predictionCol="_prediction",
+            family="multinomial",
+            elasticNetParam=0.0,
+            regParam=1.0 / (params["C"] * n),
+            maxIter=spec.options.get("max_iter", 1000),
+            standardization=False,
+        )
+        heads = PipelineModel([head.fit(prep.transform(df))])
+        return FittedModel(spec.name, spec.family, params, classes, features, prep, heads)
+    if spec.family == "forest":
+        head = RandomForestClassifier(
+            labelCol="label_index",
+            featuresCol="_features",
+            probabilityCol="_probability",
+            rawPredictionCol="_rawPrediction",
+            predictionCol="_prediction",
+            numTrees=params["n_estimators"],
+            maxDepth=min(params["max_depth"] or DEEPEST, DEEPEST),
+            featureSubsetStrategy="sqrt",
+            maxBins=spec.options.get("max_bins", 128),
+            seed=seed,
+        )
+        heads = PipelineModel([head.fit(prep.transform(df))])
+        return FittedModel(spec.name, spec.family, params, classes, features, prep, heads)
+    if spec.family == "boosting":
+        def booster(i: int):
+            booster = GBTClassifier(
+                labelCol=f"_is{i}",
+                featuresCol="_features",
+                predictionCol=f"_prediction{i}",
+                maxIter=params["n_estimators"],
+                stepSize=params.get("learning_rate", 0.1),
+                maxDepth=params.get("max_depth", 3),
+                seed=seed,
+            )
+            return booster.setRawPredictionCol(f"_raw{i}").setProbabilityCol(f"_proba{i}")
+
+        heads = one_per_class(prep.transform(df), len(classes), booster, parallelism)
+        return FittedModel(spec.name, spec.family, params, classes, features, prep, heads)
+    fourier = None
+    if params.get("kernel", "rbf") == "rbf":
+        gamma = kernel_width(params.get("gamma", "scale"), prep)
+        fourier = {"gamma": gamma, "dims": spec.options.get("dims", 256), "seed": seed, "inputs": len(features)}
+    folds = spec.options.get("calibration_folds", V.FOLDS)
+    wide = with_fourier(prep.transform(df), fourier).select("label_index", "_features", *(["fold"] if calibrate else []))
+    wide = wide.persist()
+
+    def machines(rows: DataFrame, rows_n: int) -> PipelineModel:
+        def machine(i: int):
+            return LinearSVC(
+                labelCol=f"_is{i}",
+                featuresCol="_features",
+                rawPredictionCol=f"_raw{i}",
+                predictionCol=f"_prediction{i}",
+                regParam=1.0 / (params["C"] * rows_n),
+                maxIter=spec.options.get("max_iter", 100),
+                standardization=False,
+            )
+
+        return one_per_class(rows, len(classes), machine, parallelism)
+
+    heads = machines(wide, n)
+    calibration = None
+    if calibrate:
+        calibration = platt(wide, len(classes), folds, lambda rows: machines(rows, rows.count()))
+    wide.unpersist()
+    return FittedModel(spec.name, spec.family, params, classes, features, prep, heads, fourier, calibration)
+
+
+def one_per_class(df: DataFrame, n: int, estimator: Callable, parallelism: int) -> PipelineModel:
+    """Fit a binary model for every class against the rest; the fits run side by side."""
+    marked = df.withColumns({f"_is{i}": (F.col("label_index") == i).cast("double") for i in range(n)})
+    with ThreadPool(min(parallelism, n)) as pool:
+        models = pool.map(lambda i: estimator(i).fit(marked), range(n))
+    for i, model in enumerate(models):
+        weights = getattr(model, "coefficients", None)
+        if weights is not None and not np.isfinite(weights.toArray()).all():
+            raise ValueError(f"the fit of class {i} did not converge: its weights are not finite")
+    return PipelineModel(models)
+
+
+def platt(df: DataFrame, n: int, folds: int, fit_heads: Callable) -> list[tuple[float, float]]:
+    """Line that turns each class's margin into log-odds (Platt, 1999).
+
+    It is fitted on margins of rows the margin model has not seen: each part of the folds
+    is scored by models of the others.
+    """
+    part = F.pmod(F.col("fold"), F.lit(folds))
+    unseen = None
+    for k in range(folds):
+        heads = fit_heads(df.filter(part != k))
+        scored = heads.transform(df.filter(part == k))
+        scored = scored.select("label_index", *[vector_to_array(f"_raw{i}")[1].alias(f"_m{i}") for i in range(n)])
+        unseen = scored if unseen is None else unseen.unionByName(scored)
+    unseen = unseen.persist()
+    lines = []
+    for i in range(n):
+        rows = VectorAssembler(inputCols=[f"_m{i}"], outputCol="_m").transform(
+            unseen.withColumn("_is", (F.col("label_index") == i).cast("double"))
+        )
+        line = LogisticRegression(featuresCol="_m", labelCol="_is", maxIter=100).fit(rows)
+        lines.append((float(line.coefficients[0]), float(line.intercept)))
+    unseen.unpersist()
+    return lines
+
+
+def accuracy(model: FittedModel, df: DataFrame, label: str) -> float:
+    scored = model.with_scores(df.select(label, *model.features))
+    return scored.agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("a")).first()["a"]
+
+
+def grid_search(
+    train: DataFrame,
+    spec: ModelSpec,
+    features: list[str],
+    classes: list[str],
+    label: str = V.LABEL,
+    folds: int = V.FOLDS,
+    seed: int = V.SEED,
+    parallelism: int = 4,
+) -> tuple[FittedModel, list[dict]]:
+    """Mean accuracy of every grid point over the folds, and the best point fitted on all rows.
+
+    ``train`` has ``label_index`` and ``fold``. The loop over points and folds is written
+    out because the regularisation of a point depends on the rows of its fold. Every fit
+    is a set of distributed jobs; ``parallelism`` of them are in flight at a time.
+    """
+    points = spec.points()
+    results = []
+    if len(points) > 1:
+        with ThreadPool(parallelism) as pool:
+            for k in range(folds):
+                seen = train.filter(F.col("fold") != k)
+                unseen = train.filter(F.col("fold") == k)
+
+                def trial(p, seen=seen, unseen=unseen):
+                    model = fit(seen, spec, p, features, classes, seed, 1, calibrate=False)
+                    return accuracy(model, unseen, label)
+
+                for p, value in zip(points, pool.map(trial, points)):
+                    results.append({"params": p, "fold": k, "accuracy": value})
+    means = [
+        float(np.mean([r["accuracy"] for r in results if r["params"] == p])) if results else float("nan")
+        for p in points
+    ]
+    best = points[int(np.argmax(means))] if results else points[0]
+    model = fit(train, spec, best, features, classes, seed, parallelism)
+    return model, results

@@ -169,22 +169,20 @@ def normalize_shap(contributions: DataFrame, key: str, classes: list[str], featu
     opposite sign. Any other shape is an error.
     """
     kind = contributions.schema["phi"].dataType.simpleString()
-    phi = F.col("phi")
     if kind == "array<double>":
         if len(classes) != 2:
             raise ValueError(f"one value per feature does not describe {len(classes)} classes")
-        phi = F.array(phi, F.transform(phi, lambda v: -v))
-    elif kind != "array<array<double>>":
+        value = ["phi[{j}]", "-phi[{j}]"]
+    elif kind == "array<array<double>>":
+        value = [f"phi[{c}][{{j}}]" for c in range(len(classes))]
+    else:
         raise ValueError(f"cannot read contributions of type {kind}")
-    cells = contributions.select(key, F.posexplode(phi).alias("_c", "_row")).select(
-        key, "_c", F.posexplode("_row").alias("_j", "shap_value")
-    )
-    return cells.select(
-        key,
-        F.get(F.array(*[F.lit(c) for c in classes]), F.col("_c")).alias("class"),
-        F.get(F.array(*[F.lit(f) for f in features]), F.col("_j")).alias("feature"),
-        "shap_value",
+    cells = ", ".join(
+        f"struct({quoted(name)} AS class, {quoted(f)} AS feature, {value[c].format(j=j)} AS shap_value)"
+        for c, name in enumerate(classes)
+        for j, f in enumerate(features)
     )
+    return contributions.selectExpr(key, f"inline(array({cells}))")
 
 
 def mean_absolute(contributions: DataFrame, features: list[str], top_k: int | None = V.TOP_FEATURES) -> DataFrame:

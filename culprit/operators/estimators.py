@@ -346,7 +346,10 @@ def platt(df: DataFrame, n: int, folds: int, fit_heads: Callable) -> list[tuple[
         rows = VectorAssembler(inputCols=[f"_m{i}"], outputCol="_m").transform(
             unseen.withColumn("_is", (F.col("label_index") == i).cast("double"))
         )
-        line = LogisticRegression(featuresCol="_m", labelCol="_is", maxIter=100).fit(rows)
+        # The small penalty bounds the slope when all margins of a class are nearly equal.
+        line = LogisticRegression(
+            featuresCol="_m", labelCol="_is", maxIter=100, regParam=1e-6, standardization=False
+        ).fit(rows)
         lines.append((float(line.coefficients[0]), float(line.intercept)))
     unseen.unpersist()
     return lines

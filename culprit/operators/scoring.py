@@ -34,13 +34,13 @@ def score_models(models: list, df: DataFrame, label: str, key: str) -> DataFrame
     All models score the same row in one pass; the row is then split into one per model.
     """
     for i, m in enumerate(models):
-        df = m.with_scores(df).withColumnsRenamed({"proba": f"_proba{i}", "prediction": f"_prediction{i}"})
+        df = m.with_scores(df).withColumnsRenamed({"proba": f"_scored_proba{i}", "prediction": f"_scored_prediction{i}"})
     scores = F.array(
         *[
             F.struct(
                 F.lit(m.name).alias("model_name"),
-                F.col(f"_prediction{i}").alias("prediction"),
-                F.col(f"_proba{i}").alias("proba"),
+                F.col(f"_scored_prediction{i}").alias("prediction"),
+                F.col(f"_scored_proba{i}").alias("proba"),
             )
             for i, m in enumerate(models)
         ]

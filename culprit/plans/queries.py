@@ -1,2 +1,159 @@
-def queries(table, key):
-    return {}
+"""Queries that fit models. They use whole splits, with short grids and few rounds."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from culprit import fixed_values as V
+from culprit.operators import explain, metrics, scoring, splits
+from culprit.operators.estimators import FAMILIES, ModelSpec, fit, grid_search, registry
+from culprit.plans.stages import (
+    evaluate_models,
+    explain_models,
+    load_models,
+    train_and_validate,
+    training_table,
+)
+from culprit.sources.models import load_model, model_folder, save_model
+from culprit.sources.shared import fresh_path, written
+from culprit.sources.tables import read_split, write_splits
+
+SHORT_SVM = {"max_iter": 20, "calibration_folds": 3, "dims": 64}
+SHORT_GRIDS = {
+    "Logistic Regression": {"C": [0.1, 1]},
+    "Random Forest": {"n_estimators": [20], "max_depth": [8]},
+    "Gradient Boosting": {"n_estimators": [5], "learning_rate": [0.1]},
+    "SVM (RBF)": {"C": [1], "gamma": ["scale"]},
+}
+
+
+def queries(table: Callable, key: str) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """``table(spark, folder)`` gives the incidents; ``key`` is their key column."""
+    stored: dict = {}
+
+    def split_folder(spark, folder) -> str:
+        """The splits of this session and folder, written once."""
+        at = ("splits", spark.sparkContext.applicationId, folder)
+        if at not in stored:
+            stored[at] = write_splits(splits.stratified_split(table(spark, folder), key), fresh_path(spark, "splits"))
+        return stored[at]
+
+    def part(spark, folder, name) -> DataFrame:
+        return read_split(spark, split_folder(spark, folder), name)
+
+    def trained(spark, folder) -> dict:
+        """The trained registry of this session and folder."""
+        at = ("models", spark.sparkContext.applicationId, folder)
+        if at not in stored:
+            specs = registry(SHORT_GRIDS, {"SVM (RBF)": SHORT_SVM})
+            out = fresh_path(spark, "trained")
+            stored[at] = train_and_validate(
+                part(spark, folder, "train"), part(spark, folder, "val"), out, key, specs=specs
+            )
+            stored[at]["folder"] = f"{out}/models"
+        return stored[at]
+
+    def model(spark, folder, name):
+        found = trained(spark, folder)
+        return next(m for m in found["models"] if m.name == name)
+
+    def fitted(name, params, **options):
+        def run(spark, folder):
+            train, classes = training_table(part(spark, folder, "train"), key)
+            one = fit(train.persist(), ModelSpec(name, FAMILIES[name], {}, options), params, V.SIGNALS, classes)
+            train.unpersist()
+            scored = scoring.score_models([one], part(spark, folder, "val"), V.LABEL, key)
+            return metrics.classification_report(scored)
+
+        return run
+
+    def search(spark, folder):
+        train, classes = training_table(part(spark, folder, "train"), key)
+        spec = ModelSpec("Logistic Regression", "logistic", V.GRIDS["Logistic Regression"])
+        _, results = grid_search(train.persist(), spec, V.SIGNALS, classes)
+        train.unpersist()
+        rows = [(float(r["params"]["C"]), r["fold"], r["accuracy"]) for r in results]
+        return spark.createDataFrame(rows, "C double, fold int, accuracy double")
+
+    def grid_results(spark, folder):
+        rows = [(m.name, p, str(v)) for m in trained(spark, folder)["models"] for p, v in m.params.items()]
+        return spark.createDataFrame(rows, "model_name string, param string, value string")
+
+    def roundtrip(spark, folder):
+        one = model(spark, folder, "Logistic Regression")
+        path = save_model(one, f"{fresh_path(spark, 'saved')}/{model_folder(one.name)}")
+        again = load_model(spark, path)
+        rows = part(spark, folder, "eval")
+        before = one.with_scores(rows).select(key, F.col("prediction").alias("before"))
+        after = again.with_scores(rows).select(key, F.col("prediction").alias("after"))
+        both = written(before, "before").join(written(after, "after"), key)
+        return both.agg(
+            F.count("*").alias("n"),
+            F.sum(F.when(F.col("before") == F.col("after"), 1).otherwise(0)).alias("n_same"),
+        )
+
+    def metrics_json(spark, folder):
+        return spark.read.json(trained(spark, folder)["metrics_path"])
+
+    def tree_importance(spark, folder):
+        rows = [
+            (name, f, v)
+            for name in ("Random Forest", "Gradient Boosting")
+            for f, v in model(spark, folder, name).tree_importance()
+        ]
+        return spark.createDataFrame(rows, "model_name string, feature string, importance double")
+
+    def coefficients(spark, folder):
+        rows = model(spark, folder, "Logistic Regression").coefficients()
+        return spark.createDataFrame(rows, "feature string, class string, coef double")
+
+    def evaluated(spark, folder):
+        models = load_models(spark, trained(spark, folder)["folder"])
+        return evaluate_models(models, part(spark, folder, "eval"), key, out=fresh_path(spark, "evaluation"))[1]
+
+    def forest_shap(spark, folder):
+        one, rows = model(spark, folder, "Random Forest"), part(spark, folder, "eval")
+        phi = explain.contributions(one, explain.explain_sample(rows, key), rows, key)
+        return explain.normalize_shap(phi, key, one.classes, one.features)
+
+    def logistic_shap(spark, folder):
+        one, rows = model(spark, folder, "Logistic Regression"), part(spark, folder, "eval")
+        phi = explain.contributions(one, rows, rows, key)
+        return explain.topk_rca(phi, key, one.classes, one.features)
+
+    def boosting_rca(spark, folder):
+        one, rows = model(spark, folder, "Gradient Boosting"), part(spark, folder, "eval")
+        examples = explain.explain_sample(rows, key, V.LOCAL_EXAMPLES)
+        phi = explain.contributions(one, examples, rows, key, "local")
+        return explain.topk_rca(phi, key, one.classes, one.features)
+
+    def explained(spark, folder):
+        models = load_models(spark, trained(spark, folder)["folder"])
+        return explain_models(models, part(spark, folder, "eval"), key, out=fresh_path(spark, "explained"))[1]
+
+    return {
+        "fit_logreg": fitted("Logistic Regression", {"C": 1}),
+        "fit_forest": fitted("Random Forest", {"n_estimators": 50, "max_depth": 10}),
+        "fit_gbt": fitted("Gradient Boosting", {"n_estimators": 10, "learning_rate": 0.1}),
+        "fit_svm_linear": fitted("SVM", {"C": 1, "kernel": "linear"}, max_iter=20, calibration_folds=3),
+        "fit_svm_rbf": fitted("SVM (RBF)", {"C": 1, "gamma": "scale"}, max_iter=20, calibration_folds=3),
+        "grid_search": search,
+        "grid_results": grid_results,
+        "train_leaderboard": lambda s, d: trained(s, d)["leaderboard"],
+        "train_report": lambda s, d: trained(s, d)["report"],
+        "model_eval_summary": evaluated,
+        "model_roundtrip": roundtrip,
+        "metrics_json": metrics_json,
+        "predict": lambda s, d: scoring.predict(
+            model(s, d, "Logistic Regression"), part(s, d, "eval").drop(V.LABEL)
+        ),
+        "tree_importance": tree_importance,
+        "coefficients": coefficients,
+        "forest_shap": forest_shap,
+        "logistic_rca": logistic_shap,
+        "boosting_rca": boosting_rca,
+        "explain_summary": explained,
+    }

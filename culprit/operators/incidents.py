@@ -48,7 +48,7 @@ def with_picks(
     seed: int = V.SEED,
     label: str = V.LABEL,
 ) -> DataFrame:
-    """Choose per signal the first mixture component whose upper bound is above the draw.
+    """Choose per signal the mixture component whose share of the unit interval holds the draw.
 
     The lookup has one row per root cause and comes from one small file, so Spark broadcasts
     it by its known size and the rows stay where they are. ``filter`` on an array also ends whole-stage generation here: the
@@ -61,12 +61,17 @@ def with_picks(
         check_mixture(mixture)
     lookup = mixture_lookup(mixture).withColumnRenamed("root_cause", label)
 
-    picks = {
-        f"pick_{n}": F.expr(f"get(filter(mix_{n}, part -> {uniform_text(key, f'pick:{n}', seed)} < part.hi), 0)")
-        for n in V.BASELINES
-    }
-    picked = df.join(lookup, label, "left").withColumns(picks)
-    return picked.drop(*[f"mix_{n}" for n in V.BASELINES])
+    # The draw has a column of its own, so that it is not repeated for every component.
+    drawn = df.join(lookup, label, "left").withColumns(
+        {f"_u_{n}": hash_uniform(key, f"pick:{n}", seed) for n in V.BASELINES}
+    )
+    picked = drawn.withColumns(
+        {
+            f"pick_{n}": F.expr(f"get(filter(mix_{n}, part -> part.lo <= _u_{n} AND _u_{n} < part.hi), 0)")
+            for n in V.BASELINES
+        }
+    )
+    return picked.drop(*[f"{part}_{n}" for n in V.BASELINES for part in ("mix", "_u")])
 
 
 def component_usage(
@@ -184,6 +189,15 @@ def published(df: DataFrame, key: str, label: str = V.LABEL) -> DataFrame:
     return df.select(key, *V.SIGNALS, label)
 
 
+def spread(keys: DataFrame, key: str) -> DataFrame:
+    """Use all cores when the keys come in fewer partitions (one small file, say).
+
+    Only the keys move. Large inputs have more partitions than that and stay where they are.
+    """
+    cores = keys.sparkSession.sparkContext.defaultParallelism
+    return keys if keys.rdd.getNumPartitions() >= cores else keys.repartition(cores, key)
+
+
 def build_incidents(
     keys: DataFrame,
     key: str = "incident_id",
@@ -193,7 +207,7 @@ def build_incidents(
     label: str = V.LABEL,
 ) -> DataFrame:
     """One incident per key. Everything is computed where the key is: no shuffle."""
-    df = with_label(keys.select(key), key, seed, prior, label)
+    df = with_label(spread(keys.select(key), key), key, seed, prior, label)
     df = with_baselines(df, key, seed)
     df = with_mixture_shift(df, key, mixture, seed, label)
     df = with_couplings(df, key, seed)

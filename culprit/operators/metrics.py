@@ -185,25 +185,34 @@ def roc_auc(scored: DataFrame, by: list[str], score: str, positive: str, buckets
         "scores",
     )
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(ties.approxQuantile("_score", steps, 0.5 / buckets)))
+    quantiles = F.percentile_approx("_score", steps, 4 * buckets)
+    cuts = sorted(set(ties.agg(quantiles.alias("q")).first()["q"] or []))
     if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol="_score", outputCol="_range", handleInvalid="keep").transform(ties)
+        edges = [float("-inf"), *cuts, float("inf")]
+        ranged = Bucketizer(splits=edges, inputCol="_score", outputCol="_range", handleInvalid="keep").transform(ties)
     else:
         ranged = ties.withColumn("_range", F.lit(0.0))
-    keys = [*by, "_range"]
-    per_range = ranged.groupBy(*keys).agg(F.sum("_neg").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_range"))
-    lower = per_range.select(*keys, (upto - F.col("_n")).alias("_lower"))
-    inside = Window.partitionBy(*keys).orderBy("_score")
-    ranked = ranged.withColumn("_below", F.sum("_neg").over(inside) - F.col("_neg")).join(lower, keys)
-    won = F.col("_pos").cast("double") * (
-        (F.col("_lower") + F.col("_below")).cast("double") + F.col("_neg") / 2.0
+    # Pairs won against lower scores of the same range; then, from one row per range,
+    # against all lower ranges.
+    inside = Window.partitionBy(*by, "_range").orderBy("_score")
+    below = F.sum("_neg").over(inside) - F.col("_neg")
+    per_range = (
+        ranged.withColumn("_won", F.col("_pos").cast("double") * (below.cast("double") + F.col("_neg") / 2.0))
+        .groupBy(*by, "_range")
+        .agg(*[F.sum(c).alias(c) for c in ("_won", "_pos", "_neg")])
+    )
+    lower = F.sum("_neg").over(Window.partitionBy(*by).orderBy("_range")) - F.col("_neg")
+    sums = (
+        per_range.withColumn("_lower", lower.cast("double") * F.col("_pos").cast("double"))
+        .groupBy(*by)
+        .agg(
+            F.sum("_pos").alias("n_pos"),
+            F.sum("_neg").alias("n_neg"),
+            F.sum(F.col("_won") + F.col("_lower")).alias("_won"),
+        )
     )
-    sums = ranged.groupBy(*by).agg(F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"))
-    wins = ranked.groupBy(*by).agg(F.sum(won).alias("_won"))
     pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
-    return sums.join(wins, by).select(
+    return sums.select(
         *by,
         "n_pos",
         "n_neg",

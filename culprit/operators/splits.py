@@ -123,7 +123,7 @@ def _with_part(
     order = shuffle_key(key, stream, seed)
     rows = df.select(label, F.col(key).alias("_key"), order.alias("_order"))
     rows = rows.withColumn("_bucket", _bucket(F.col("_order"), buckets))
-    per_bucket = rows.groupBy(label, "_bucket").agg(F.count("*").alias("n"))
+    per_bucket = small(rows.groupBy(label, "_bucket").agg(F.count("*").alias("n")))
     upto = F.sum("n").over(Window.partitionBy(label).orderBy("_bucket"))
     per_bucket = per_bucket.withColumn("_upto", upto)
     cuts = quotas(per_bucket.groupBy(label).agg(F.sum("n").alias("n")), label, shares)

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 20_000
+BROADCAST_ROWS = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,16 +27,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    writer = df.write
-    if partition_by:
-        # One writer task per directory would put a hot value into one file, so the
-        # rows are written from where they are.
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

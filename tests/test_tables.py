@@ -61,3 +61,27 @@ def test_histogram_keeps_every_row(incidents):
     assert sum(r["n"] for r in rows) == 3000 and max(r["bin"] for r in rows) == 29
     flat = tables.histogram(incidents.withColumn("latency", F.lit(7.0)), "latency").collect()
     assert {r["bin"] for r in flat} == {0}
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert shared.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared.written(spark.range(3), "three").count() == 3
+
+
+def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
+    class Cluster:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Cluster()
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared.shared_folder(Session())

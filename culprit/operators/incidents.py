@@ -48,7 +48,8 @@ def with_picks(
     seed: int = V.SEED,
     label: str = V.LABEL,
 ) -> DataFrame:
-    """Choose per signal the mixture component whose share of the unit interval holds the draw.
+    """Add ``pick_<signal>``, the number of upper bounds the draw has reached (null past the last),
+    and the ``mean_<signal>`` and ``std_<signal>`` of all components.
 
     The lookup has one row per root cause and comes from one small file, so Spark broadcasts
     it by its known size and the rows stay where they are. ``filter`` on an array also ends whole-stage generation here: the
@@ -67,11 +68,11 @@ def with_picks(
     )
     picked = drawn.withColumns(
         {
-            f"pick_{n}": F.expr(f"get(filter(mix_{n}, part -> part.lo <= _u_{n} AND _u_{n} < part.hi), 0)")
+            f"pick_{n}": F.expr(f"nullif(size(filter(hi_{n}, hi -> hi <= _u_{n})), size(hi_{n}))")
             for n in V.BASELINES
         }
     )
-    return picked.drop(*[f"{part}_{n}" for n in V.BASELINES for part in ("mix", "_u")])
+    return picked.drop(*[f"{part}_{n}" for n in V.BASELINES for part in ("hi", "_u")])
 
 
 def component_usage(
@@ -85,7 +86,7 @@ def component_usage(
     mixture = read_mixture(df.sparkSession) if mixture is None else mixture
     picked = with_picks(df, key, mixture, seed, label)
     drawn = F.array(
-        *[F.struct(F.lit(n).alias("metric"), F.col(f"pick_{n}")["k"].alias("k")) for n in V.BASELINES]
+        *[F.struct(F.lit(n).alias("metric"), F.col(f"pick_{n}").alias("k")) for n in V.BASELINES]
     )
     counts = (
         picked.select(F.col(label).alias("root_cause"), F.inline(drawn))
@@ -122,13 +123,11 @@ def with_mixture_shift(
 ) -> DataFrame:
     """Add to each signal a draw from its chosen component; without one it stays as it is."""
     df = with_picks(df, key, mixture, seed, label)
-    shifts = {
-        n: F.expr(
-            f"{n} + coalesce(pick_{n}.mean + pick_{n}.std * {normal_text(key, f'shift:{n}', seed)}, 0D)"
-        )
-        for n in V.BASELINES
-    }
-    return df.withColumns(shifts).drop(*[f"pick_{n}" for n in V.BASELINES])
+    shifts = {}
+    for n in V.BASELINES:
+        z = normal_text(key, f"shift:{n}", seed)
+        shifts[n] = F.expr(f"{n} + coalesce(get(mean_{n}, pick_{n}) + get(std_{n}, pick_{n}) * {z}, 0D)")
+    return df.withColumns(shifts).drop(*[f"{part}_{n}" for n in V.BASELINES for part in ("pick", "mean", "std")])
 
 
 def with_couplings(df: DataFrame, key: str, seed: int = V.SEED) -> DataFrame:

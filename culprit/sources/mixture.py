@@ -58,23 +58,19 @@ def check_mixture(mixture: DataFrame) -> None:
 
 
 def mixture_lookup(mixture: DataFrame) -> DataFrame:
-    """One row per root cause with ``mix_<signal>``: array of (lo, hi, k, mean, std) components."""
-    part = "named_struct('p', double(c[0]), 'mean', from_json(c[1], 'array<double>')[0], 'std', from_json(c[1], 'array<double>')[1])"
-    columns = [
-        F.expr(
-            f"transform(transform(try_element_at(signals, '{name}'), c -> {part}), (c, i) -> struct("
-            f"{_sum_of_first(name, 'i')} AS lo, {_sum_of_first(name, 'i + 1')} AS hi, "
-            "i AS k, c.mean AS mean, c.std AS std))"
-        ).alias(f"mix_{name}")
-        for name in BASELINES
-    ]
+    """One row per root cause with the arrays ``hi_<signal>, mean_<signal>, std_<signal>``."""
+    columns = []
+    for name in BASELINES:
+        parts = f"try_element_at(signals, '{name}')"
+        total = f"aggregate(slice({parts}, 1, i + 1), 0D, (t, d) -> t + double(d[0]))"
+        columns += [
+            F.expr(f"transform({parts}, (c, i) -> {total}) AS hi_{name}"),
+            F.expr(f"transform({parts}, c -> from_json(c[1], 'array<double>')[0]) AS mean_{name}"),
+            F.expr(f"transform({parts}, c -> from_json(c[1], 'array<double>')[1]) AS std_{name}"),
+        ]
     return mixture.select("root_cause", *columns)
 
 
-def _sum_of_first(name: str, n: str) -> str:
-    return f"aggregate(slice(try_element_at(signals, '{name}'), 1, {n}), 0D, (t, d) -> t + double(d[0]))"
-
-
 def _component(part):
     moments = F.from_json(part[1], "array<double>")
     return (

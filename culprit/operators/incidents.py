@@ -15,6 +15,7 @@ from culprit.functions.draws import (
     weighted_choice,
 )
 from culprit.sources.mixture import check_mixture, mixture_lookup, mixture_rows, read_mixture
+from culprit.sources.shared import small
 
 RENAMED = {"avg_cpu": "avg_cpu_usage", "upstream_error": "upstream_error_rate"}
 
@@ -51,17 +52,18 @@ def with_picks(
     """Add ``pick_<signal>``, the number of upper bounds the draw has reached (null past the last),
     and the ``mean_<signal>`` and ``std_<signal>`` of all components.
 
-    The lookup has one row per root cause and comes from one small file, so Spark broadcasts
-    it by its known size and the rows stay where they are. ``filter`` on an array also ends whole-stage generation here: the
+    The lookup has one row per root cause; it is broadcast once its size is known, so the rows
+    stay where they are. ``filter`` on an array also ends whole-stage generation here: the
     projection is then compiled as many small methods, where one method of all draws would
     pass the 8,000 bytes up to which the JVM compiles.
     """
     if mixture is None:
-        mixture = read_mixture(df.sparkSession)
+        # The built-in lookup has six rows.
+        lookup = F.broadcast(mixture_lookup(read_mixture(df.sparkSession)))
     else:
         check_mixture(mixture)
-    lookup = mixture_lookup(mixture).withColumnRenamed("root_cause", label)
-
+        lookup = small(mixture_lookup(mixture))
+    lookup = lookup.withColumnRenamed("root_cause", label)
     # The draw has a column of its own, so that it is not repeated for every component.
     drawn = df.join(lookup, label, "left").withColumns(
         {f"_u_{n}": hash_uniform(key, f"pick:{n}", seed) for n in V.BASELINES}

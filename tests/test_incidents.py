@@ -102,3 +102,8 @@ def test_pick_beyond_the_last_component_changes_nothing(spark, tmp_path, monkeyp
     rows = before.join(after, "incident_id").withColumn("u", u).collect()
     kept = [r for r in rows if r["before"] == r["latency"]]
     assert kept and all((r["u"] >= 0.9) == (r["before"] == r["latency"]) for r in rows)
+
+
+def test_build_never_shuffles_the_rows(spark):
+    plan = build_incidents(keys(spark, 100, 8))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan

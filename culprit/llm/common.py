@@ -63,7 +63,7 @@ def running_total(
     return out.drop("_order", "_piece", "_p", "_before", *[f"_{g}" for g in groups])
 
 
-def pieces_for(rows: int, each: int = 20_000) -> int:
+def pieces_for(rows: int, each: int = 1_000) -> int:
     """A power of two of ranges so that each holds about ``each`` rows."""
     return 1 << max(0, math.ceil(math.log2(max(1, rows) / each)))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from culprit.llm import simhash
+from culprit.llm import embedding_dedup, mixture, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,9 +18,22 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op8_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    _, shares = mixture.mix(table(spark, folder, "documents"))
+    return shares.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_simhash": op3_simhash}
+    return {
+        "op3_simhash": op3_simhash,
+        "op8_mixture": op8_mixture,
+        "op9_embedding_dedup": op9_embedding_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_mixture": mixture.ORACLE_SQL, "op9_embedding_dedup": embedding_dedup.ORACLE_SQL}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from culprit.llm import embedding_dedup, mixture, simhash
+from culprit.llm import embedding_dedup, line_dedup, mixture, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_dedup.remove_repeats(table(spark, folder, "documents"))
+    return out.select("doc_id", "text", "n_chunks", "n_removed")
+
+
 def op8_mixture(spark: SparkSession, folder: str) -> DataFrame:
     _, shares = mixture.mix(table(spark, folder, "documents"))
     return shares.select("doc_id", "size", "source_size", "target", "taken")
@@ -30,10 +35,11 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash": op3_simhash,
+        "op5_line_dedup": op5_line_dedup,
         "op8_mixture": op8_mixture,
         "op9_embedding_dedup": op9_embedding_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixture": mixture.ORACLE_SQL, "op9_embedding_dedup": embedding_dedup.ORACLE_SQL}
+    return {"op5_line_dedup": line_dedup.ORACLE_SQL, "op8_mixture": mixture.ORACLE_SQL, "op9_embedding_dedup": embedding_dedup.ORACLE_SQL}

@@ -18,7 +18,7 @@ SEED = 42
 WORDS = 3
 BUDGET = 3
 LEAF_ROWS = 8192
-TOP_BITS = 14
+FEWEST_BITS, MOST_BITS = 6, 14
 BLOCK = 200_000
 
 
@@ -164,10 +164,10 @@ def links(prints: DataFrame, n: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     The trie is cut at a depth where parts hold about ``leaf_rows`` fingerprints; a part meets
     the parts whose top bits differ in at most three. A part with many more is cut further
     by hash, and its pieces meet pairwise, so no task grows with a crowded part. The number
-    of parts is at most 2 to the ``TOP_BITS``, which bounds the broadcast of their sizes.
+    of parts is at most 2 to the ``MOST_BITS``, which bounds the broadcast of their sizes.
     """
-    depth = min(TOP_BITS, max(0, math.ceil(math.log2(max(1, n) / leaf_rows))))
-    top = F.shiftrightunsigned("fp", 64 - depth).cast("int") if depth else F.lit(0)
+    depth = min(MOST_BITS, max(FEWEST_BITS, math.ceil(math.log2(max(1, n) / leaf_rows))))
+    top = F.shiftrightunsigned("fp", 64 - depth).cast("int")
     masks = [m for m in range(1 << depth) if m.bit_count() <= BUDGET]
     rows = prints.select("fp", top.alias("own"))
     sizes = rows.groupBy("own").agg(F.ceil(F.count("*") / (4 * leaf_rows)).cast("int").alias("pieces"))

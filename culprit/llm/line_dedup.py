@@ -85,7 +85,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", div
     gone = gone.groupBy("_id", "_body").agg(F.flatten(F.collect_list("_drop")).alias("_drop"))
     gone = kept_table(gone.filter(F.size("_drop") > 0), "chunks-to-remove")
     same_row = docs[key].eqNullSafe(F.col("_id")) & (body == F.col("_body"))
-    whole = with_chunks(docs.join(gone, same_row, "left").drop("_id", "_body"), text, divisor)
+    # Merged at every size: a plan that broadcasts small lists would change with the input.
+    whole = with_chunks(docs.join(gone.hint("merge"), same_row, "left").drop("_id", "_body"), text, divisor)
     kept = F.array_except(F.sequence(F.lit(0), F.size("_chunks") - 1), F.col("_drop"))
     cleaned = F.array_join(F.transform(kept, lambda i: F.get("_chunks", i)), "\n")
     cleaned = F.when(F.col("_drop").isNull(), F.col(text)).otherwise(cleaned)

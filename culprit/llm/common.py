@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ from culprit.sources.shared import fresh_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def crc_part(key: str, parts: int) -> Column:
@@ -39,6 +42,18 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return where, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
+def word_blocks(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text in lists of about ``size`` bytes, so that a long text stays small."""
+    at = 0
+    while at < len(text):
+        stop = at + size
+        if stop < len(text):
+            gap = SPACE.search(text, stop)
+            stop = gap.start() if gap else len(text)
+        yield text[at:stop].split()
+        at = stop
+
+
 def running_total(
     df: DataFrame, groups: list[str], order: Column, ties: list[str], value: str, name: str, pieces: int
 ) -> DataFrame:

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from culprit.llm import embedding_dedup, line_dedup, mixture, simhash
+from culprit.llm import embedding_dedup, language_id, line_dedup, mixture, quality, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, folder, "documents"))
     return out.select("doc_id", "fingerprint", "component_id")
@@ -23,6 +27,10 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "text", "n_chunks", "n_removed")
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_mixture(spark: SparkSession, folder: str) -> DataFrame:
     _, shares = mixture.mix(table(spark, folder, "documents"))
     return shares.select("doc_id", "size", "source_size", "target", "taken")
@@ -34,8 +42,10 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op3_simhash": op3_simhash,
         "op5_line_dedup": op5_line_dedup,
+        "op6_quality": op6_quality,
         "op8_mixture": op8_mixture,
         "op9_embedding_dedup": op9_embedding_dedup,
     }

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from culprit.llm.common import components, kept_table, merge_labels, texts_of
+from culprit.llm.common import components, kept_table, merge_labels, texts_of, word_blocks
 
 SEED = 42
 WORDS = 3
@@ -22,28 +22,34 @@ FEWEST_BITS, MOST_BITS = 6, 14
 BLOCK = 200_000
 
 
-def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED, block: int = 1 << 16) -> int:
+def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
     """64-bit SimHash of the word shingles of a text, repeats included.
 
     A bit is 1 when more than half of the shingle hashes have it. A text with fewer words is
-    one shingle; one without words has fingerprint 0. Hashes are counted in blocks, so the
-    memory for a long text is bounded by the block.
+    one shingle; one without words has fingerprint 0. A text is read in blocks, so memory
+    does not grow with its length.
     """
-    tokens = text.lower().split()
-    if not tokens:
-        return 0
-    n = max(1, len(tokens) - words + 1)
+    ones, total, carry, block = np.zeros(64, np.int64), 0, [], []
+    for block in word_blocks(text):
+        tokens = [*carry, *(w.lower() for w in block)]
+        if len(tokens) >= words:
+            hashes = _shingle_hashes(tokens, words, seed)
+            ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+            total += len(hashes)
+        carry = tokens[max(0, len(tokens) - words + 1) :]
+    if not total and carry:
+        total, ones = 1, np.unpackbits(_shingle_hashes(carry, len(carry), seed).view(np.uint8)).astype(np.int64)
+    return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
+
+
+def _shingle_hashes(tokens: list[bytes], words: int, seed: int) -> np.ndarray:
+    """Big-endian XXH64 of each run of ``words`` tokens joined by spaces."""
     joined = b" ".join(tokens)
     length = np.fromiter(map(len, tokens), np.int64, len(tokens))
     ends = np.cumsum(length + 1) - 1
-    starts = (ends - length)[:n].tolist()
-    stops = (ends[words - 1 :] if len(tokens) >= words else ends[-1:]).tolist()
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    for at in range(0, n, block):
-        spans = zip(starts[at : at + block], stops[at : at + block], strict=True)
-        hashes = np.array([digest(joined[s:e], seed) for s, e in spans], dtype=">u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+    starts, stops = (ends - length)[: len(tokens) - words + 1].tolist(), ends[words - 1 :].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[s:e], seed) for s, e in zip(starts, stops, strict=True)], dtype=">u8")
 
 
 def _with_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

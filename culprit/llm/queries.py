@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from culprit.llm import embedding_dedup, language_id, line_dedup, mixture, quality, simhash
+from culprit.llm import embedding_dedup, language_id, line_dedup, mixture, quality, secrets, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
 
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, folder, "documents"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, folder, "documents"))
     return out.select("doc_id", "fingerprint", "component_id")
@@ -43,6 +47,7 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_secrets": op2_secrets,
         "op3_simhash": op3_simhash,
         "op5_line_dedup": op5_line_dedup,
         "op6_quality": op6_quality,

@@ -104,10 +104,11 @@ class Trees:
 
 
 def boost(
-    x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bins: int = BINS, rate: float = RATE
+    x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bins: int = BINS, rate: float = RATE, weight: np.ndarray | None = None
 ) -> Trees:
     """Fit by second-order boosting of the logistic loss on histograms of ``bins`` quantile bins."""
-    positive = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
+    weight = np.ones(len(y)) if weight is None else weight
+    positive = np.clip(np.average(y, weights=weight) if len(y) else 0.5, 1e-3, 1 - 1e-3)
     base = float(np.log(positive / (1 - positive)))
     nodes, leaves = 2**depth - 1, 2**depth
     model = Trees(np.zeros((trees, nodes), np.int64), np.full((trees, nodes), np.inf), np.zeros((trees, leaves)), base)
@@ -118,7 +119,7 @@ def boost(
     margin = np.full(len(y), base)
     for t in range(trees):
         p = 1 / (1 + np.exp(-margin))
-        slope, curve = p - y, p * (1 - p)
+        slope, curve = weight * (p - y), weight * p * (1 - p)
         node = np.zeros(len(y), np.int64)
         for level in range(depth):
             first, width = 2**level - 1, 2**level

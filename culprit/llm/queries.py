@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from culprit.llm import embedding_dedup, language_id, line_dedup, mixture, quality, secrets, simhash
+from culprit.llm import embedding_dedup, language_id, line_dedup, mixture, pii, quality, secrets, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
 def op8_mixture(spark: SparkSession, folder: str) -> DataFrame:
     _, shares = mixture.mix(table(spark, folder, "documents"))
     return shares.select("doc_id", "size", "source_size", "target", "taken")
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": op3_simhash,
         "op5_line_dedup": op5_line_dedup,
         "op6_quality": op6_quality,
+        "op7_pii": op7_pii,
         "op8_mixture": op8_mixture,
         "op9_embedding_dedup": op9_embedding_dedup,
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from culprit.llm import embedding_dedup, language_id, line_dedup, mixture, pii, quality, secrets, simhash
+from culprit.llm import decontaminate, embedding_dedup, language_id, line_dedup, mixture, pii, quality, secrets, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup.remove_repeats(table(spark, folder, "documents"))
     return out.select("doc_id", "text", "n_chunks", "n_removed")
@@ -53,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_secrets": op2_secrets,
         "op3_simhash": op3_simhash,
+        "op4_decontaminate": op4_decontaminate,
         "op5_line_dedup": op5_line_dedup,
         "op6_quality": op6_quality,
         "op7_pii": op7_pii,

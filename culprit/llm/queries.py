@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from culprit.llm import decontaminate, embedding_dedup, language_id, line_dedup, mixture, pii, quality, secrets, simhash
+from culprit.llm import decontaminate, embedding_dedup, language_id, line_dedup, lm_scoring, mixture, pii, quality, secrets, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_pii": op7_pii,
         "op8_mixture": op8_mixture,
         "op9_embedding_dedup": op9_embedding_dedup,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 

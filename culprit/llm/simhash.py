@@ -9,81 +9,118 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from culprit.llm.common import components, kept_table, merge_labels, texts_of, word_blocks
+from culprit.llm.common import components, kept_table, merge_labels, mixed, texts_of, word_blocks
 
 SEED = 42
 WORDS = 3
 BUDGET = 3
 LEAF_ROWS = 8192
-FEWEST_BITS, MOST_BITS = 6, 14
+FEWEST_BITS, MOST_BITS = 6, 18
 BLOCK = 200_000
 
+# Copies by similarity: 256 bits in eight bands of 32.
+COPY_WORDS = 5
+SIMILARITY = 0.8
+BANDS, BAND_BITS = 8, 32
+COPY_LEAF_ROWS, COPY_FEWEST_BITS = 65_536, 3
+LEADERS = 3
 
-def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
-    """64-bit SimHash of the word shingles of a text, repeats included.
 
-    A bit is 1 when more than half of the shingle hashes have it. A text with fewer words is
-    one shingle; one without words has fingerprint 0. A text is read in blocks, so memory
-    does not grow with its length.
+def bit_shares(text: bytes, words: int, seed: int, lanes: int = 1) -> tuple[np.ndarray, int]:
+    """How many shingles of a text have each of ``64 * lanes`` hash bits, and their number.
+
+    Shingles are runs of ``words`` words with A-Z in lower case, repeats included; a text with
+    fewer words is one shingle, one without words none. The first lane is XXH64, further ones
+    are mixed from it. A text is read in blocks, so memory does not grow with its length.
     """
-    ones, total, carry, block = np.zeros(64, np.int64), 0, [], []
-    for block in word_blocks(text):
+    ones, total, carry = np.zeros(64 * lanes, np.int64), 0, []
+    for block in word_blocks(text, 1 << 18):
         tokens = [*carry, *(w.lower() for w in block)]
         if len(tokens) >= words:
             hashes = _shingle_hashes(tokens, words, seed)
-            ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+            ones += _bit_sums(hashes, lanes)
             total += len(hashes)
         carry = tokens[max(0, len(tokens) - words + 1) :]
     if not total and carry:
-        total, ones = 1, np.unpackbits(_shingle_hashes(carry, len(carry), seed).view(np.uint8)).astype(np.int64)
+        total, ones = 1, _bit_sums(_shingle_hashes(carry, len(carry), seed), lanes)
+    return ones, total
+
+
+def _bit_sums(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    out = []
+    for lane in range(lanes):
+        bits = mixed(hashes, lane) if lane else hashes
+        out.append(np.unpackbits(bits.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64))
+    return np.concatenate(out)
+
+
+def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
+    """64-bit SimHash: a bit is 1 when more than half of the shingle hashes have it."""
+    ones, total = bit_shares(text, words, seed)
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
 
 
+def wide_fingerprint(text: bytes, words: int = COPY_WORDS, seed: int = SEED) -> bytes:
+    """256-bit SimHash."""
+    ones, total = bit_shares(text, words, seed, BANDS * BAND_BITS // 64)
+    return np.packbits(2 * ones > total).tobytes()
+
+
 def _shingle_hashes(tokens: list[bytes], words: int, seed: int) -> np.ndarray:
-    """Big-endian XXH64 of each run of ``words`` tokens joined by spaces."""
+    """XXH64 of each run of ``words`` tokens joined by spaces."""
     joined = b" ".join(tokens)
     length = np.fromiter(map(len, tokens), np.int64, len(tokens))
     ends = np.cumsum(length + 1) - 1
     starts, stops = (ends - length)[: len(tokens) - words + 1].tolist(), ends[words - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    return np.array([digest(joined[s:e], seed) for s, e in zip(starts, stops, strict=True)], dtype=">u8")
+    return np.array([digest(joined[s:e], seed) for s, e in zip(starts, stops, strict=True)], dtype=np.uint64)
 
 
-def _with_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Append the fingerprint of the column ``_text``, which is dropped."""
-    for batch in batches:
-        at = batch.schema.get_field_index("_text")
-        offsets, data = texts_of(batch.column(at))
-        prints = [fingerprint(data[s:e].tobytes()) for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
-        prints = pa.array(np.array(prints, np.uint64).view(np.int64), pa.int64())
-        names = [n for n in batch.schema.names if n != "_text"]
-        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], prints], [*names, "_fp"])
+def _with_prints(wide: bool):
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Append the fingerprint of the column ``_text``, which is dropped."""
+        for batch in batches:
+            at = batch.schema.get_field_index("_text")
+            offsets, data = texts_of(batch.column(at))
+            texts = (data[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:], strict=True))
+            if wide:
+                prints = pa.array([wide_fingerprint(t) for t in texts], pa.binary())
+            else:
+                prints = pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64), pa.int64())
+            names = [n for n in batch.schema.names if n != "_text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], prints], [*names, "_fp"])
 
+    return add
 
-def with_fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns and ``_fp``, the 64 bits of the fingerprint as a signed long."""
-    schema = docs.withColumn("_fp", F.lit(0).cast("long")).schema
-    return docs.withColumn("_text", F.col(text).cast("string")).mapInArrow(_with_prints, schema)
 
+def with_fingerprint(docs: DataFrame, text: str = "text", wide: bool = False) -> DataFrame:
+    """All columns and ``_fp``: 64 bits as a signed long, or 256 bits as binary."""
+    schema = docs.withColumn("_fp", F.lit(None).cast("binary" if wide else "long")).schema
+    return docs.withColumn("_text", F.col(text).cast("string")).mapInArrow(_with_prints(wide), schema)
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", wide: bool = False) -> DataFrame:
     """``doc_id`` and ``fp`` of each document."""
     pairs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("_body"))
-    return with_fingerprint(pairs, "_body").select("doc_id", F.col("_fp").alias("fp"))
+    pairs = pairs.select("doc_id", F.col("_body").alias("_text"))
+    schema = f"doc_id long, _fp {'binary' if wide else 'long'}"
+    return pairs.mapInArrow(_with_prints(wide), schema).withColumnRenamed("_fp", "fp")
 
 
-def trie_pairs(a: np.ndarray, b: np.ndarray | None, budget: int = BUDGET, block: int = BLOCK):
-    """Yield index pairs of sorted distinct fingerprints within ``budget`` bits of each other.
+def trie_pairs(a: np.ndarray, b: np.ndarray | None, budget: int = BUDGET, width: int = 64, block: int = BLOCK):
+    """Yield index pairs of sorted keys within ``budget`` bits, half of them in the first half.
 
-    Walks pairs of trie nodes from the highest bit down. A node is a range of the sorted
-    array; going down splits both ranges by the next bit, crossing sides costs one bit, and a
-    pair beyond the budget is dropped. Pairs of small nodes are compared by their remaining
-    bits. ``b=None`` joins ``a`` with itself, each pair once. At most a few blocks of node
-    pairs are held at a time, deepest first.
+    Keys are the top ``width`` bits of 64. Walks pairs of trie nodes from the highest bit
+    down. A node is a range of the sorted array; going down splits both ranges by the next
+    bit, crossing sides costs one bit, and a pair beyond the budget is dropped: half the
+    budget in the first half of the bits, all of it after. Pairs of small nodes are compared
+    by their remaining bits. ``b=None`` joins ``a`` with itself, each pair once. At most a few
+    blocks of node pairs are held at a time, deepest first.
     """
+    half = np.uint64(((1 << 64) - 1) << (64 - width // 2) & ((1 << 64) - 1))
     own, b = b is None, a if b is None else b
     cut_a = [None] * 64
     cut_b = cut_a if own else [None] * 64
@@ -99,20 +136,17 @@ def trie_pairs(a: np.ndarray, b: np.ndarray | None, budget: int = BUDGET, block:
         bit, nodes = stack.pop()
         size_a, size_b = nodes[1] - nodes[0], nodes[3] - nodes[2]
         twin = (nodes[0] == nodes[2]) if own else np.zeros(nodes.shape[1], bool)
-        alive = (size_a > 0) & (size_b > 0) & (nodes[4] <= budget) & ~(twin & (size_a == 1))
+        allowed = budget // 2 if 2 * bit <= width else budget
+        alive = (size_a > 0) & (size_b > 0) & (nodes[4] <= allowed) & ~(twin & (size_a == 1))
         nodes, twin, size_a, size_b = nodes[:, alive], twin[alive], size_a[alive], size_b[alive]
         product = size_a.astype(np.int64) * size_b
-        leaf = (product <= 16) if bit < 64 else np.ones(len(product), bool)
-        for at in _runs(product[leaf], block):
-            part, many = nodes[:, leaf][:, at], product[leaf][at]
-            which = np.repeat(np.arange(len(many)), many)
-            place = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-            width = (part[3] - part[2])[which]
-            i, j = part[0][which] + place // width, part[2][which] + place % width
+        leaf = (product <= 16) if bit < width else np.ones(len(product), bool)
+        for i, j in _all_pairs(nodes[:, leaf], block):
             if own:
                 ordered = i < j
                 i, j = i[ordered], j[ordered]
-            near = np.bitwise_count(a[i] ^ b[j]) <= budget
+            apart = a[i] ^ b[j]
+            near = (np.bitwise_count(apart) <= budget) & (np.bitwise_count(apart & half) <= budget // 2)
             if near.any():
                 yield i[near], j[near]
         nodes, twin = nodes[:, ~leaf], twin[~leaf]
@@ -135,71 +169,115 @@ def trie_pairs(a: np.ndarray, b: np.ndarray | None, budget: int = BUDGET, block:
             stack.append((bit + 1, children[:, at : at + block]))
 
 
-def _runs(sizes: np.ndarray, most: int) -> Iterator[slice]:
-    """Slices of consecutive entries whose sizes add up to about ``most``."""
-    if not len(sizes):
-        return
-    group = np.cumsum(sizes) // most
-    edges = np.flatnonzero(np.diff(group)) + 1
-    for start, stop in zip([0, *edges], [*edges, len(sizes)], strict=True):
-        yield slice(int(start), int(stop))
-
-
-def _join_units(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links between two trie parts, as a star per group of linked fingerprints."""
-    own = rows["u"].iat[0] == rows["v"].iat[0]
-    values = rows["fp"].to_numpy().view(np.uint64)
-    if own:
-        everything = np.unique(values)
-        found, shift = trie_pairs(everything, None), 0
-    else:
-        side = rows["side"].to_numpy()
-        a, b = np.unique(values[side == 0]), np.unique(values[side == 1])
-        everything, shift = np.concatenate([a, b]), len(a)
-        found = trie_pairs(a, b)
-    label = np.arange(len(everything))
-    for i, j in found:
-        merge_labels(label, i, j + shift)
-    child = np.flatnonzero(label != np.arange(len(label)))
-    return pd.DataFrame({"a": everything[child].view(np.int64), "b": everything[label[child]].view(np.int64)})
-
-
-def links(prints: DataFrame, n: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """Edges ``a``, ``b`` that connect all distinct ``fp`` within three bits of each other.
-
-    The trie is cut at a depth where parts hold about ``leaf_rows`` fingerprints; a part meets
-    the parts whose top bits differ in at most three. A part with many more is cut further
-    by hash, and its pieces meet pairwise, so no task grows with a crowded part. The number
-    of parts is at most 2 to the ``MOST_BITS``, which bounds the broadcast of their sizes.
+def _all_pairs(nodes: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All index pairs of each pair of ranges, in blocks of about ``block``."""
+    size_b = (nodes[3] - nodes[2]).astype(np.int64)
+    sizes = (nodes[1] - nodes[0]) * size_b
+    ends = np.cumsum(sizes)
+    for at in range(0, int(ends[-1]) if len(ends) else 0, block):
+        pair = np.arange(at, min(at + block, int(ends[-1])))
+        which = np.searchsorted(ends, pair, side="right")
+        place = pair - (ends[which] - sizes[which])
+        yield nodes[0][which] + place // size_b[which], nodes[2][which] + place % size_b[which]
+
+
+def _join_units(width: int, limit: int):
+    """Links between two trie parts, as a star per group of linked nodes.
+
+    ``limit``: for wide fingerprints, the most bits of all that linked ones may differ in.
+    """
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["side", "key", "node"], kind="stable")
+        key, node, side = rows["key"].to_numpy().view(np.uint64), rows["node"].to_numpy(), rows["side"].to_numpy()
+        key = np.concatenate([np.sort(key[side == s]) for s in (0, 1)])  # unsigned order
+        order = np.concatenate([np.flatnonzero(side == s)[np.argsort(rows["key"].to_numpy().view(np.uint64)[side == s], kind="stable")] for s in (0, 1)])
+        node, side = node[order], side[order]
+        wide = None
+        if limit:
+            wide = np.frombuffer(b"".join(rows["fp"]), np.uint64).reshape(len(rows), -1)[order]
+        label = np.arange(len(key))
+
+        def link(i, j):
+            if wide is not None:
+                near = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1) <= limit
+                i, j = i[near], j[near]
+            merge_labels(label, i, j)
+
+        kept = np.arange(len(key))
+        for _ in range(LEADERS if limit else 0):
+            # Of equal keys the first leads; those linked to it need no further comparison.
+            fresh = np.concatenate([[True], (key[kept][1:] != key[kept][:-1]) | (side[kept][1:] != side[kept][:-1])])
+            leader = kept[np.maximum.accumulate(np.where(fresh, np.arange(len(kept)), 0))]
+            link(kept, leader)
+            kept = kept[fresh | (label[kept] != label[leader])]
+        left, right = kept[side[kept] == 0], kept[side[kept] == 1]
+        own = not len(right)
+        for i, j in trie_pairs(key[left], None if own else key[right], width=width):
+            link(left[i], (left if own else right)[j])
+        child = np.flatnonzero(label != np.arange(len(label)))
+        return pd.DataFrame({"a": node[child], "b": node[label[child]]})
+
+    return join
+
+
+def links(prints: DataFrame, n: int, leaf_rows: int = LEAF_ROWS, limit: int = 0, fewest_bits: int = FEWEST_BITS) -> DataFrame:
+    """Edges ``a``, ``b`` that connect the nodes of ``prints`` whose keys are within three bits.
+
+    ``prints`` has ``node``, ``keys`` (signed longs, one per trie) and ``fp``. Each trie is cut
+    at a depth where parts hold about ``leaf_rows`` keys; a part meets the parts whose top bits
+    differ in at most one. A part with many more is cut further by hash, and its pieces meet
+    pairwise, so no task grows with a crowded part. The number of parts of a trie is at most 2
+    to the ``MOST_BITS``, which bounds the broadcast of their sizes.
     """
-    depth = min(MOST_BITS, max(FEWEST_BITS, math.ceil(math.log2(max(1, n) / leaf_rows))))
-    top = F.shiftrightunsigned("fp", 64 - depth).cast("int")
-    masks = [m for m in range(1 << depth) if m.bit_count() <= BUDGET]
-    rows = prints.select("fp", top.alias("own"))
-    sizes = rows.groupBy("own").agg(F.ceil(F.count("*") / (4 * leaf_rows)).cast("int").alias("pieces"))
+    width = BAND_BITS if limit else 64
+    most = min(MOST_BITS, width // 2)
+    depth = min(most, max(fewest_bits, math.ceil(math.log2(max(1, n) / leaf_rows))))
+    rows = prints.select("node", "fp", F.posexplode("keys").alias("trie", "key"))
+    rows = rows.withColumn("own", F.shiftrightunsigned("key", 64 - depth).cast("int"))
+    sizes = rows.groupBy("trie", "own").agg(F.ceil(F.count("*") / (4 * leaf_rows)).cast("int").alias("pieces"))
     sizes = kept_table(sizes, "trie-parts")
-    rows = rows.join(F.broadcast(sizes), "own")
-    rows = rows.withColumn("piece", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int")).drop("pieces")
-    flips = F.explode(F.array(*[F.lit(m) for m in masks])) if len(masks) <= 512 else None
-    if flips is None:
-        flips = F.explode(F.filter(F.sequence(F.lit(0), F.lit((1 << depth) - 1)), lambda m: F.bit_count(m) <= BUDGET))
+    rows = rows.join(F.broadcast(sizes), ["trie", "own"])
+    rows = rows.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")).drop("pieces")
+    flips = F.explode(F.array(F.lit(0), *[F.lit(1 << i) for i in range(depth)]))
     rows = rows.withColumn("flip", flips).withColumn("other", F.col("own").bitwiseXOR(F.col("flip")))
-    rows = rows.join(F.broadcast(sizes.select(F.col("own").alias("other"), "pieces")), "other")
+    rows = rows.join(F.broadcast(sizes.withColumnRenamed("own", "other")), ["trie", "other"])
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     mine = F.col("own").cast("long") * (1 << 32) + F.col("piece")
     theirs = F.col("other").cast("long") * (1 << 32) + F.col("with")
     rows = rows.select(
-        F.least(mine, theirs).alias("u"), F.greatest(mine, theirs).alias("v"), (mine > theirs).cast("int").alias("side"), "fp"
-    )
-    return rows.groupBy("u", "v").applyInPandas(_join_units, "a long, b long")
+        "trie", F.least(mine, theirs).alias("u"), F.greatest(mine, theirs).alias("v"), (mine > theirs).cast("int").alias("side"),
+        "key", "node", *(["fp"] if limit else []),
+    )
+    return rows.groupBy("trie", "u", "v").applyInPandas(_join_units(width, limit), "a long, b long")
+
+
+def rotated(fp: str) -> Column:
+    """Both halves of a 64-bit key in the lead: of three differing bits one half has at most one."""
+    other = F.shiftleft(fp, 32).bitwiseOR(F.shiftrightunsigned(fp, 32))
+    return F.array(F.col(fp), other)
+
 
+def banded(fp: str) -> Column:
+    """The bands of a wide fingerprint as left-aligned keys, either half of a band in the lead."""
+    keys = []
+    for band in range(BANDS):
+        at = 1 + band * BAND_BITS // 8
+        value = F.conv(F.hex(F.substring(fp, at, BAND_BITS // 8)), 16, 10).cast("long")
+        turned = F.shiftleft(value, 48).bitwiseOR(F.shiftleft(F.shiftrightunsigned(value, 16), 32))
+        keys += [F.shiftleft(value, 32), turned]
+    return F.array(*keys)
 
-def grouped(prints: DataFrame, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """``fp``, its smallest ``first`` id, and ``comp``: the smallest linked fingerprint."""
-    distinct = kept_table(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    linked = components(links(distinct.select("fp"), distinct.count(), leaf_rows))
-    groups = distinct.join(linked, distinct["fp"] == linked["node"], "left")
-    return groups.select("fp", "first", F.coalesce("comp", "fp").alias("comp"))
+
+def grouped(prints: DataFrame, keys: Column, leaf_rows: int = LEAF_ROWS, limit: int = 0, fewest_bits: int = FEWEST_BITS) -> DataFrame:
+    """``fp``, its smallest ``first`` id, and ``comp``: a number shared by linked fingerprints."""
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    node = F.xxhash64("fp") if limit else F.col("fp")
+    distinct = kept_table(distinct.withColumn("node", node), "distinct-fingerprints")
+    found = links(distinct.select("node", "fp", keys.alias("keys")), distinct.count(), leaf_rows, limit, fewest_bits)
+    linked = components(found).withColumnRenamed("node", "_node")
+    groups = distinct.join(linked, distinct["node"] == linked["_node"], "left")
+    return groups.select("fp", "first", F.coalesce("comp", "node").alias("comp"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", leaf_rows: int = LEAF_ROWS) -> DataFrame:
@@ -212,25 +290,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     where no other id is reachable ``component_id`` is null. Other columns are not read.
     """
     prints = kept_table(fingerprints(docs, key, text), "fingerprints")
-    groups = grouped(prints, leaf_rows)
+    groups = grouped(prints, rotated("fp"), leaf_rows)
     first = groups.groupBy("comp").agg(F.min("first").alias("component_id"))
     named = kept_table(groups.join(first, "comp").select("fp", "component_id"), "fingerprint-components")
     out = prints.join(named, "fp")
     return out.select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def most_bits_apart(similarity: float) -> int:
+    """The bits of a wide fingerprint that differ, as expected at a Jaccard similarity.
+
+    Shingle sets of Jaccard similarity J and about equal size have cosine 2 J / (1 + J); a bit
+    differs at the rate of their angle over pi.
+    """
+    return math.ceil(BANDS * BAND_BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi) + 1
+
+
+def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The documents without near copies: one row of each group stays, with its columns.
 
-    It is the row with the smallest id, a null id coming last; then the smallest fingerprint,
-    then the smallest row in the order of its columns. Only the kept rows are shuffled whole.
+    Copies are found by five-word shingles at a similarity of 0.8 or more: 256-bit
+    fingerprints that differ in few bits in one of eight bands are compared whole. It keeps
+    the row with the smallest id, a null id coming last; then the smallest fingerprint, then
+    the smallest row in the order of its columns. Only kept rows are shuffled whole.
     """
-    prints = fingerprints(docs, key, text)
-    groups = grouped(kept_table(prints, "fingerprints"))
+    prints = kept_table(fingerprints(docs, key, text, wide=True), "fingerprints")
+    groups = grouped(prints, banded("fp"), COPY_LEAF_ROWS, most_bits_apart(similarity), COPY_FEWEST_BITS)
     order = F.struct(F.col("first").isNull().alias("none"), "first", "fp")
     winners = groups.groupBy("comp").agg(F.min(order).alias("w")).select("w.fp", "w.first")
     winners = kept_table(winners, "winners")
     same = (F.col("_fp") == F.col("fp")) & F.col(key).cast("long").eqNullSafe(F.col("first"))
-    kept = with_fingerprint(docs, text).join(winners, same, "left_semi")
+    kept = with_fingerprint(docs, text, wide=True).join(winners.hint("merge"), same, "left_semi")
     row = F.min(F.struct(*docs.columns)).alias("_row")
     return kept.groupBy("_fp", F.col(key).alias("_key")).agg(row).select("_row.*")

@@ -218,5 +218,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without findings, with all their columns."""
     found = kept_table(matches(docs, benchmark, key, text).select("_id", "_body").distinct(), "contaminated")
-    same = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_body"))
-    return docs.join(found, same, "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("body"))
+    same = rows["id"].eqNullSafe(found["_id"]) & (rows["body"] == found["_body"])
+    return rows.join(found, same, "left_anti").select("row.*")

@@ -204,24 +204,23 @@ def predict(docs: DataFrame, net: Network, text: str = "text", keep: list[str] |
     """
     keep = [c for c in keep or docs.columns if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    fields = [T.StructField("row", docs.select(*keep).schema), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            offsets, data = texts_of(batch.column(batch.schema.get_field_index("_text")))
-            able = np.asarray(batch.column(batch.schema.get_field_index("_able")).to_pylist(), bool) & bool(model.names)
+            offsets, data = texts_of(batch.column(1))
+            able = (np.diff(offsets) > 0) & bool(model.names)
             share = pooled(model, data, offsets) if model.names else np.zeros((len(able), 1))
             best = share.argmax(axis=1)
             names = [model.names[b] if ok else UNDECIDED for b, ok in zip(best, able, strict=True)]
             score = np.where(able, np.clip(share[np.arange(len(best)), best], 0.0, 1.0), 0.0)
-            columns = [batch.column(batch.schema.get_field_index(n)) for n in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(score)], [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], [f.name for f in fields])
 
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    able = body.rlike(r"\p{L}")
-    rows = docs.select(*keep, F.when(able, body).otherwise("").alias("_text"), able.alias("_able"))
-    return rows.mapInArrow(label, schema)
+    # A text without a letter is sent as an empty one.
+    body = F.col(text).cast("string")
+    rows = docs.select(F.struct(*keep).alias("row"), F.when(body.rlike(r"\p{L}"), body).otherwise(""))
+    return rows.mapInArrow(label, T.StructType(fields)).select("row.*", "lang_pred", "score")
 
 
 def held_out(key: str = "doc_id", parts: int = 5) -> Column:

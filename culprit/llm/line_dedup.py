@@ -84,14 +84,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", div
     gone = places.join(repeated, ["_a", "_b"]).select("_id", "_body", drop.alias("_drop"))
     gone = gone.groupBy("_id", "_body").agg(F.flatten(F.collect_list("_drop")).alias("_drop"))
     gone = kept_table(gone.filter(F.size("_drop") > 0), "chunks-to-remove")
-    same_row = docs[key].eqNullSafe(F.col("_id")) & (body == F.col("_body"))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_key"), body.alias("_of"), F.col(text).alias("_text"))
+    same_row = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_body"))
     # Merged at every size: a plan that broadcasts small lists would change with the input.
-    whole = with_chunks(docs.join(gone.hint("merge"), same_row, "left").drop("_id", "_body"), text, divisor)
+    whole = with_chunks(rows.join(gone.hint("merge"), same_row, "left"), "_text", divisor)
     kept = F.array_except(F.sequence(F.lit(0), F.size("_chunks") - 1), F.col("_drop"))
     cleaned = F.array_join(F.transform(kept, lambda i: F.get("_chunks", i)), "\n")
-    cleaned = F.when(F.col("_drop").isNull(), F.col(text)).otherwise(cleaned)
+    cleaned = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(cleaned)
     counts = [F.size("_chunks").alias("n_chunks"), F.coalesce(F.size("_drop"), F.lit(0)).alias("n_removed")]
-    return whole.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns], *counts)
+    return whole.select(*[(cleaned if c == text else F.col("_row")[c]).alias(c) for c in docs.columns], *counts)
 
 
 ORACLE_SQL = f"""

@@ -178,19 +178,16 @@ def predict(docs: DataFrame, model: Trees, text: str = "text", keep: list[str] |
     """
     keep = [c for c in keep or docs.columns if c not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    schema = T.StructType([*docs.select(*keep).schema.fields, *added])
+    fields = [T.StructField("row", docs.select(*keep).schema), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
-            scores = shared.value.score(statistics(*texts_of(batch.column(at))))
-            columns = [batch.column(batch.schema.get_field_index(n)) for n in keep]
-            found = [pa.array(scores), pa.array((scores >= cut).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*columns, *found], [*keep, "score", "predicted"])
+            scores = shared.value.score(statistics(*texts_of(batch.column(1))))
+            columns = [batch.column(0), pa.array(scores), pa.array((scores >= cut).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(*keep, body.alias("_text")).mapInArrow(score, schema)
+    rows = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("string"))
+    return rows.mapInArrow(score, T.StructType(fields)).select("row.*", "score", "predicted")
 
 
 def held_out(key: str = "doc_id", parts: int = 4, which: int = 2) -> Column:
@@ -204,5 +201,5 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     results; a row with a null id is scored and not held out.
     """
     model = fit(docs.filter(crc_part(key, 4) != 2), labels, key, text)
-    rows = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("_body"))
-    return predict(rows, model, "_body", keep=["doc_id", "held_out"])
+    rows = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("_text"))
+    return predict(rows, model, "_text", keep=["doc_id", "held_out"])

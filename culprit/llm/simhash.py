@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from culprit.llm.common import components, kept_table, merge_labels, mixed, texts_of, word_blocks
 
@@ -79,35 +80,33 @@ def _shingle_hashes(tokens: list[bytes], words: int, seed: int) -> np.ndarray:
     return np.array([digest(joined[s:e], seed) for s, e in zip(starts, stops, strict=True)], dtype=np.uint64)
 
 
-def _with_prints(wide: bool):
+def _print_batches(wide: bool):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Append the fingerprint of the column ``_text``, which is dropped."""
+        """(row, text) -> (row, fp)."""
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
-            offsets, data = texts_of(batch.column(at))
+            offsets, data = texts_of(batch.column(1))
             texts = (data[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:], strict=True))
             if wide:
                 prints = pa.array([wide_fingerprint(t) for t in texts], pa.binary())
             else:
                 prints = pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64), pa.int64())
-            names = [n for n in batch.schema.names if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], prints], [*names, "_fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["row", "fp"])
 
     return add
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", wide: bool = False) -> DataFrame:
-    """All columns and ``_fp``: 64 bits as a signed long, or 256 bits as binary."""
-    schema = docs.withColumn("_fp", F.lit(None).cast("binary" if wide else "long")).schema
-    return docs.withColumn("_text", F.col(text).cast("string")).mapInArrow(_with_prints(wide), schema)
+    """``row``, a struct of all columns, and ``fp``: 64 bits as a signed long, or 256 bits as binary."""
+    kind = T.BinaryType() if wide else T.LongType()
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("fp", kind)])
+    return docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string")).mapInArrow(_print_batches(wide), schema)
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", wide: bool = False) -> DataFrame:
     """``doc_id`` and ``fp`` of each document."""
-    pairs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("_body"))
-    pairs = pairs.select("doc_id", F.col("_body").alias("_text"))
-    schema = f"doc_id long, _fp {'binary' if wide else 'long'}"
-    return pairs.mapInArrow(_with_prints(wide), schema).withColumnRenamed("_fp", "fp")
+    pairs = docs.select(F.col(key).cast("long").alias("row"), F.col(text).cast("string").alias("text"))
+    prints = pairs.mapInArrow(_print_batches(wide), f"row long, fp {'binary' if wide else 'long'}")
+    return prints.withColumnRenamed("row", "doc_id")
 
 
 def trie_pairs(a: np.ndarray, b: np.ndarray | None, budget: int = BUDGET, width: int = 64, block: int = BLOCK):
@@ -319,7 +318,7 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", simi
     order = F.struct(F.col("first").isNull().alias("none"), "first", "fp")
     winners = groups.groupBy("comp").agg(F.min(order).alias("w")).select("w.fp", "w.first")
     winners = kept_table(winners, "winners")
-    same = (F.col("_fp") == F.col("fp")) & F.col(key).cast("long").eqNullSafe(F.col("first"))
-    kept = with_fingerprint(docs, text, wide=True).join(winners.hint("merge"), same, "left_semi")
-    row = F.min(F.struct(*docs.columns)).alias("_row")
-    return kept.groupBy("_fp", F.col(key).alias("_key")).agg(row).select("_row.*")
+    rows = with_fingerprint(docs, text, wide=True).withColumn("id", F.col("row")[key].cast("long"))
+    same = (rows["fp"] == winners["fp"]) & rows["id"].eqNullSafe(winners["first"])
+    kept = rows.join(winners.hint("merge"), same, "left_semi")
+    return kept.groupBy("fp", "id").agg(F.min("row").alias("row")).select("row.*")

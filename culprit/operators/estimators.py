@@ -377,23 +377,16 @@ def grid_search(
     is a set of distributed jobs; ``parallelism`` of them are in flight at a time.
     """
     points = spec.points()
-    results = []
-    if len(points) > 1:
-        with ThreadPool(parallelism) as pool:
-            for k in range(folds):
-                seen = train.filter(F.col("fold") != k)
-                unseen = train.filter(F.col("fold") == k)
-
-                def trial(p, seen=seen, unseen=unseen):
-                    model = fit(seen, spec, p, features, classes, seed, 1, calibrate=False)
-                    return accuracy(model, unseen, label)
-
-                for p, value in zip(points, pool.map(trial, points)):
-                    results.append({"params": p, "fold": k, "accuracy": value})
-    means = [
-        float(np.mean([r["accuracy"] for r in results if r["params"] == p])) if results else float("nan")
-        for p in points
-    ]
-    best = points[int(np.argmax(means))] if results else points[0]
+    trials = [(p, k) for k in range(folds) for p in points]
+
+    def trial(which):
+        p, k = which
+        model = fit(train.filter(F.col("fold") != k), spec, p, features, classes, seed, 1, calibrate=False)
+        return {"params": p, "fold": k, "accuracy": accuracy(model, train.filter(F.col("fold") == k), label)}
+
+    with ThreadPool(parallelism) as pool:
+        results = pool.map(trial, trials)
+    means = [float(np.mean([r["accuracy"] for r in results if r["params"] == p])) for p in points]
+    best = points[int(np.argmax(means))]
     model = fit(train, spec, best, features, classes, seed, parallelism)
     return model, results

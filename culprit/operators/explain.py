@@ -18,7 +18,8 @@ from culprit.functions.draws import quoted, shuffle_key
 from culprit.operators.splits import sample_n, with_rank
 from culprit.sources.shared import written
 
-EXACT_FEATURES = 12
+RANKED_ROWS = 20_000  # rows of a range that is ranked in one task
+MOST_SUBSETS = 1 << 16  # exact values score so many variants of a row for each background row
 
 
 def background_sample(df: DataFrame, key: str, n: int = V.BACKGROUND_ROWS, seed: int = V.SEED) -> DataFrame:
@@ -62,11 +63,11 @@ def shapley(model, df: DataFrame, background: DataFrame, key: str, tasks: int |
     spread by key once; expanding, scoring and both sums then run in the same task.
     """
     m = len(model.features)
-    if m > EXACT_FEATURES:
-        raise ValueError(f"{m} features have {2**m} subsets: use sampled_shapley")
-    expanded = _spread(df, key, tasks).withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2**m - 1))))
+    if 2**m > MOST_SUBSETS:
+        raise ValueError(f"{m} features have {2**m} subsets: ask for random orders (orders=n)")
+    expanded = _spread(_called(model, df), key, tasks).withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2**m - 1))))
     inside = [f"(_mask & {1 << j}) <> 0" for j in range(m)]
-    values = _subset_values(model, expanded, _inlined(background, model.features), inside, [key, "_mask"])
+    values = _subset_values(model, expanded, _inlined(background, model.features), inside, [key, CALLED, "_mask"])
     # Weight of each feature in the value of a subset of each size.
     weight = [math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)]
     joins = ", ".join(f"{w!r}D" for w in [0.0, *weight])
@@ -85,7 +86,7 @@ def shapley(model, df: DataFrame, background: DataFrame, key: str, tasks: int |
     ]
     ends = [F.expr(f"max(CASE WHEN _mask = 0 THEN _v{c} END) AS _base{c}") for c in range(n)]
     ends += [F.expr(f"max(CASE WHEN _mask = {2**m - 1} THEN _v{c} END) AS _full{c}") for c in range(n)]
-    return _as_arrays(values.groupBy(key).agg(*sums, *ends), key, n, m)
+    return _as_arrays(values.groupBy(key, CALLED).agg(*sums, *ends), key, n, m)
 
 
 def sampled_shapley(
@@ -97,7 +98,7 @@ def sampled_shapley(
     Additivity holds exactly, the values themselves up to sampling error.
     """
     m, n = len(model.features), len(model.classes)
-    expanded = _spread(df, key, tasks).withColumn("_turn", F.explode(F.sequence(F.lit(1), F.lit(orders))))
+    expanded = _spread(_called(model, df), key, tasks).withColumn("_turn", F.explode(F.sequence(F.lit(1), F.lit(orders))))
     draws = F.array(
         *[
             F.struct(F.xxhash64(F.lit(f"{seed}|order|{j}"), F.col(key), F.col("_turn")).alias("h"), F.lit(j).alias("j"))
@@ -107,7 +108,7 @@ def sampled_shapley(
     expanded = expanded.withColumn("_order", F.transform(F.sort_array(draws), lambda d: d["j"]))
     expanded = expanded.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(m))))
     inside = [f"array_position(_order, {j}) <= _step" for j in range(m)]
-    keys = [key, "_turn", "_order", "_step"]
+    keys = [key, CALLED, "_turn", "_order", "_step"]
     values = _subset_values(model, expanded, _inlined(background, model.features), inside, keys)
     values = values.withColumns(
         {
@@ -125,7 +126,15 @@ def sampled_shapley(
     ]
     ends = [F.expr(f"max(CASE WHEN _step = 0 THEN _v{c} END) AS _base{c}") for c in range(n)]
     ends += [F.expr(f"max(CASE WHEN _step = {m} THEN _v{c} END) AS _full{c}") for c in range(n)]
-    return _as_arrays(values.groupBy(key).agg(*sums, *ends), key, n, m)
+    return _as_arrays(values.groupBy(key, CALLED).agg(*sums, *ends), key, n, m)
+
+
+CALLED = "_called"
+
+
+def _called(model, df: DataFrame) -> DataFrame:
+    """The rows with the class that the model calls them."""
+    return model.with_scores(df.drop("proba", "prediction")).withColumnRenamed("prediction", CALLED).drop("proba")
 
 
 def _spread(df: DataFrame, key: str, tasks: int | None) -> DataFrame:
@@ -156,6 +165,7 @@ def _as_arrays(sums: DataFrame, key: str, n: int, m: int) -> DataFrame:
     rows = ["array(" + ", ".join(f"_phi{c}_{j}" for j in range(m)) + ")" for c in range(n)]
     return sums.select(
         key,
+        F.col(CALLED).alias("prediction"),
         F.expr(f"array({', '.join(rows)}) AS phi"),
         F.array(*[f"_base{c}" for c in range(n)]).alias("base"),
         F.array(*[f"_full{c}" for c in range(n)]).alias("proba"),
@@ -216,31 +226,28 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean drop in accuracy when one feature is shuffled among the explained rows.
 
-    All features and repeats are scored in one job. Shuffling joins a row's place in one
-    random order with another row's place in the key order. With ``n=None`` the whole
-    table is used and its places are found piecewise.
+    All features and repeats are scored in one job. The donor order is ranked once; a taker's
+    place in the order of its feature and repeat names its donor. Only places and values move
+    for every feature and repeat; a row and its values meet once, by key, and are expanded
+    and scored where they meet. Places are found piecewise, at any table size.
     """
     rows = written(explain_sample(df, key, n, seed).select(key, *model.features, label), "explained")
-    buckets = buckets or (1 if n is not None and n <= 10_000 else 1024)
-    feature_list = F.array(*[F.lit(f) for f in model.features])
-    trials = rows.withColumn("feature", F.explode(feature_list)).withColumn(
-        "repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
-    )
+    buckets = buckets or max(1, rows.count() // RANKED_ROWS)
     groups = ["feature", "repeat"]
+    doubles = [F.col(f).cast("double").alias(f) for f in model.features]
+    donors = rows.select(key, *doubles, shuffle_key(key, "donor", seed).alias("_donor"), F.lit(0).alias("_all"))
+    donors = with_rank(donors, ["_all"], "_donor", key, "_place", buckets).select("_place", F.array(*model.features).alias("_values"))
+    trials = rows.select(key, F.posexplode(F.array(*[F.lit(f) for f in model.features])).alias("_j", "feature"))
+    trials = trials.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     stream = F.concat_ws("|", F.lit(f"{seed}|permute"), "feature", F.col("repeat").cast("string"))
-    trials = trials.withColumns(
-        {
-            "_donor": shuffle_key(key, "donor", seed),
-            "_taker": F.shiftrightunsigned(F.xxhash64(stream, F.col(key)), 12),
-        }
-    )
-    value = F.coalesce(*[F.when(F.col("feature") == f, F.col(f).cast("double")) for f in model.features])
-    donors = with_rank(trials, groups, "_donor", key, "_place", buckets).select(*groups, "_place", value.alias("_value"))
-    takers = with_rank(trials, groups, "_taker", key, "_place", buckets)
-    shuffled = takers.join(donors, [*groups, "_place"])
-    shuffled = shuffled.withColumns(
-        {f: F.when(F.col("feature") == f, F.col("_value")).otherwise(F.col(f).cast("double")) for f in model.features}
-    ).select(key, label, *groups, *model.features)
+    trials = trials.withColumn("_taker", F.shiftrightunsigned(F.xxhash64(stream, F.col(key)), 12))
+    takers = with_rank(trials, groups, "_taker", key, "_place", buckets).select(key, "_j", *groups, "_place")
+    given = takers.join(donors, "_place").select(key, F.struct(*groups, F.get("_values", F.col("_j")).alias("_value")).alias("_t"))
+    given = given.groupBy(key).agg(F.collect_list("_t").alias("_trials"))
+    shuffled = rows.join(given, key).withColumn("_t", F.explode("_trials")).select(
+        key, label, "_t.feature", "_t.repeat",
+        *[F.when(F.col("_t.feature") == f, F.col("_t._value")).otherwise(F.col(f).cast("double")).alias(f) for f in model.features],
+    )
     untouched = rows.select(
         key, label, F.lit(None).cast("string").alias("feature"), F.lit(-1).alias("repeat"),
         *[F.col(f).cast("double").alias(f) for f in model.features],
@@ -283,16 +290,21 @@ def contributions(
     background_rows: int = V.BACKGROUND_ROWS,
     kernel_rows: int | None = None,
     seed: int = V.SEED,
+    orders: int | None = None,
 ) -> DataFrame:
-    """Contributions of ``rows`` with the background drawn from ``table``."""
+    """Contributions of ``rows`` with the background drawn from ``table``.
+
+    Models without a closed form are explained exactly, over all feature subsets, or, where
+    the caller asks for it, by so many random ``orders``; the size of the model decides nothing.
+    """
     method = choose_method(model.kind, len(model.classes), scope)
     if method == "shap_linear":
         return linear_shap(model, rows, background_sample(table, key, background_rows, seed))
     if kernel_rows is None:
         kernel_rows = V.KERNEL_BACKGROUND_ROWS if scope == "global" else V.LOCAL_BACKGROUND_ROWS
     background = background_sample(table, key, kernel_rows, seed)
-    if len(model.features) > EXACT_FEATURES:
-        return sampled_shapley(model, rows, background, key, seed=seed)
+    if orders is not None:
+        return sampled_shapley(model, rows, background, key, orders, seed)
     return shapley(model, rows, background, key)
 
 
@@ -307,23 +319,33 @@ def global_importance(
     repeats: int = V.PERMUTATION_REPEATS,
     top_k: int = V.TOP_FEATURES,
     seed: int = V.SEED,
+    orders: int | None = None,
 ) -> DataFrame:
-    """``model_name, method, feature, importance, rank``, the largest ``top_k`` features."""
+    """``model_name, method, feature, importance, rank``, the largest ``top_k`` features.
+
+    ``method`` also names the number of random orders where those were asked for.
+    """
     method = choose_method(model.kind, len(model.classes))
     if method == "permutation":
         table = permutation_importance(model, df, key, label, n, repeats, seed, top_k)
     else:
         rows = explain_sample(df, key, n, seed)
-        phi = contributions(model, rows, df, key, "global", background_rows, kernel_rows, seed)
+        phi = contributions(model, rows, df, key, "global", background_rows, kernel_rows, seed, orders)
         table = mean_absolute(phi, model.features, top_k)
+        if orders is not None and method != "shap_linear":
+            method = f"{method}, {orders} orders"
     return table.select(
         F.lit(model.name).alias("model_name"), F.lit(method).alias("method"), "feature", "importance", "rank"
     )
 
 
 def local_explanation(contributions: DataFrame, key: str, classes: list[str], features: list[str], top: int = V.TOP_FEATURES) -> DataFrame:
-    """Contributions to the most likely class of each row, largest first, with the base value."""
-    return topk_rca(contributions, key, classes, features, 1, top).drop("class_rank")
+    """Contributions to the class that the model calls each row, largest first, with the base value.
+
+    A support vector machine calls the class of the largest margin, which need not have the
+    largest calibrated probability.
+    """
+    return topk_rca(contributions, key, classes, features, 1, top, called=True).drop("class_rank")
 
 
 def topk_rca(
@@ -333,13 +355,17 @@ def topk_rca(
     features: list[str],
     k: int = V.RCA_CAUSES,
     top: int = V.RCA_FEATURES,
+    called: bool = False,
 ) -> DataFrame:
     """The ``k`` most likely causes of each row and the ``top`` strongest signals of each.
 
+    With ``called`` the class in ``prediction`` comes first.
+
     Both rankings sort arrays inside the row: nothing is shuffled.
     """
+    first = "CASE WHEN prediction = {name} THEN 0 ELSE 1 END" if called else "0"
     causes = ", ".join(
-        f"struct(-proba[{c}] AS low, {c} AS c, {quoted(name)} AS class, proba[{c}] AS proba, "
+        f"struct({first.format(name=quoted(name))} AS first, -proba[{c}] AS low, {c} AS c, {quoted(name)} AS class, proba[{c}] AS proba, "
         f"base[{c}] AS base, phi[{c}] AS row)"
         for c, name in enumerate(classes)
     )

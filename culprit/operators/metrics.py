@@ -169,11 +169,14 @@ def _with_path(table: DataFrame, paths: dict[str, str]) -> DataFrame:
     )
 
 
-def roc_auc(scored: DataFrame, by: list[str], score: str, positive: str, buckets: int = 256) -> DataFrame:
+RANGE_ROWS = 50_000
+
+
+def roc_auc(scored: DataFrame, by: list[str], score: str, positive: str, buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve per group: the share of correctly ordered pairs, ties half.
 
     Equal scores are merged first (with pre-aggregation, so a score shared by a third of
-    the rows is one row). The distinct scores are then cut into ranges of about equal size;
+    the rows is one row). The distinct scores are then cut into ranges of about ``RANGE_ROWS``;
     ranks run inside a range, and the counts of the lower ranges are added. No group is
     sorted in one task.
     """
@@ -184,6 +187,7 @@ def roc_auc(scored: DataFrame, by: list[str], score: str, positive: str, buckets
         ),
         "scores",
     )
+    buckets = buckets or max(16, ties.count() // RANGE_ROWS)
     steps = [i / buckets for i in range(1, buckets)]
     quantiles = F.percentile_approx("_score", steps, 4 * buckets)
     cuts = sorted(set(ties.agg(quantiles.alias("q")).first()["q"] or []))

@@ -19,7 +19,6 @@ from culprit.functions.draws import shuffle_key
 from culprit.sources.shared import small
 
 BUCKETS = 4096
-TOP_ROWS = 10_000
 
 
 def check_shares(train: str | float, val: str | float) -> Fraction:
@@ -96,10 +95,9 @@ def quotas(counts: DataFrame, label: str, shares: list[Fraction]) -> DataFrame:
         of_rest = share / left
         left -= share
         table = table.withColumn("_total", F.sum("_rest").over(everything))
-        table = table.withColumn(
-            "_size", F.expr(f"_total * {of_rest.numerator}L div {of_rest.denominator}L")
-        )
-        exact = F.col("_rest").cast("decimal(19,0)") * F.col("_size").cast("decimal(18,0)")
+        product = f"cast(_total AS decimal(19,0)) * cast('{of_rest.numerator}' AS decimal(19,0))"
+        table = table.withColumn("_size", F.expr(f"{product} div cast('{of_rest.denominator}' AS decimal(19,0))"))
+        exact = F.col("_rest").cast("decimal(19,0)") * F.col("_size").cast("decimal(19,0)")
         table = table.withColumn("_exact", exact)
         table = table.withColumns(
             {
@@ -119,8 +117,11 @@ def quotas(counts: DataFrame, label: str, shares: list[Fraction]) -> DataFrame:
 def _with_part(
     df: DataFrame, key: str, label: str, shares: list[Fraction], stream: str, seed: int, buckets: int
 ) -> DataFrame:
+    """Add ``_part``. Null labels are a class of their own; equal keys share a part."""
     n_cuts = len(shares) - 1
     order = shuffle_key(key, stream, seed)
+    whole, df = df, df.withColumn("_class", F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("")))
+    label = "_class"
     rows = df.select(label, F.col(key).alias("_key"), order.alias("_order"))
     rows = rows.withColumn("_bucket", _bucket(F.col("_order"), buckets))
     per_bucket = small(rows.groupBy(label, "_bucket").agg(F.count("*").alias("n")))
@@ -162,7 +163,7 @@ def _with_part(
         df.withColumn("_order", order)
         .join(limits, label, "left")
         .withColumn("_part", part)
-        .drop("_order", *[f"_limit_{i}" for i in range(n_cuts)])
+        .select(*whole.columns, "_part")
     )
 
 
@@ -174,17 +175,15 @@ def _bucket(order: Column, buckets: int) -> Column:
 def sample_n(
     df: DataFrame, key: str, n: int, seed: int = V.SEED, stream: str = "sample"
 ) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows without replacement.
+    """Exactly ``min(n, rows)`` rows without replacement, for unique keys.
 
-    Small samples keep the n first rows of every partition; larger ones cut the hash order
-    at the n-th row, as the splits do.
+    The hash order is cut at the n-th row, as the splits do, whatever n is.
     """
-    order = shuffle_key(key, stream, seed)
-    if n <= TOP_ROWS:
-        return df.withColumn("_order", order).orderBy("_order", key).limit(n).drop("_order")
     total = df.count()
     if total <= n:
         return df
+    if n <= 0:
+        return df.limit(0)
     shares = [Fraction(n, total), 1 - Fraction(n, total)]
     part = _with_part(df.withColumn("_all", F.lit(0)), key, "_all", shares, stream, seed, BUCKETS)
     return part.filter(F.col("_part") == 0).drop("_part", "_all")
@@ -195,11 +194,9 @@ def with_rank(
 ) -> DataFrame:
     """Add each row's place (from 1) within its group by a hash order.
 
-    With more than one bucket a group is ranked piecewise: rows per bucket give the offset,
-    so a group of any size is spread over ``buckets`` tasks.
+    A group is ranked piecewise: rows per bucket give the offset, so a group of any size is
+    spread over ``buckets`` tasks.
     """
-    if buckets == 1:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(order, key)))
     keys = [*groups, "_bucket"]
     df = df.withColumn("_bucket", _bucket(F.col(order), buckets))
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))

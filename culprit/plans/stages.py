@@ -114,10 +114,17 @@ def evaluate_models(
     All models score the table in one pass, whose result all metrics share.
     """
     fitted = list(models.values())
-    scored = written(scoring.score_models(fitted, df, label, key), "evaluated")
-    classes = fitted[0].classes
-    report = metrics.evaluate(scored, classes)
-    table = metrics.eval_summary(scored, classes, {m.name: p for p, m in models.items()}) if summary else None
+    everything = written(scoring.score_models(fitted, df, label, key), "evaluated")
+    report = table = None
+    for classes in dict.fromkeys(tuple(m.classes) for m in fitted):
+        # Models of one set of classes share the columns of their probabilities.
+        own = {m.name: p for p, m in models.items() if tuple(m.classes) == classes}
+        scored = everything.filter(F.col("model_name").isin(list(own)))
+        part = metrics.evaluate(scored, list(classes))
+        report = part if report is None else report.unionByName(part)
+        if summary:
+            part = metrics.eval_summary(scored, list(classes), own)
+            table = part if table is None else table.unionByName(part)
     if out:
         rows = F.collect_list(F.struct("part", "class", "metric", "value"))
         document = report.groupBy("model_name").agg(rows.alias("metrics")).withColumn("label_col", F.lit(label))

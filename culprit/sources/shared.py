@@ -1,4 +1,4 @@
-"""The shared folder for intermediate tables, and small-table joins with a size check."""
+"""The shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 50_000
-
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``."""
@@ -35,16 +31,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A derived table ready to join: broadcast when it has at most ``rows`` rows.
+def small(df: DataFrame) -> DataFrame:
+    """A derived table of a few rows per class, written so that joins know its size.
 
-    At most ``rows + 1`` rows are fetched to find out. A larger table comes back as it is,
-    and the join then shuffles with adaptive skew handling.
+    Spark broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` bytes and else merges,
+    with adaptive skew handling. Nothing is fetched to the driver.
     """
-    fetched = df.limit(rows + 1).collect()
-    if len(fetched) > rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(fetched, df.schema))
+    return written(df, "derived")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -153,7 +153,19 @@ incidents AS (SELECT incident_id, avg_cpu AS avg_cpu_usage, greatest(mem_growth,
   FROM raised JOIN oom_n USING (incident_id) JOIN timeout_n USING (incident_id))"""
 
 
-INCIDENTS = "WITH " + incident_steps()
+SIMULATED = "WITH " + incident_steps()
+
+OBSERVED = f"""WITH incidents AS (
+  SELECT event_id AS incident_id, least(value, 100.0::DOUBLE) AS avg_cpu_usage, value / 10.0::DOUBLE AS mem_growth,
+    (user_id % 7)::BIGINT AS oom_log_count, json_extract_string(props, '$.k')::DOUBLE * 10.0::DOUBLE AS request_rate,
+    value - floor(value) AS error_rate, value * 2.0::DOUBLE + 50.0::DOUBLE AS latency,
+    json_extract_string(props, '$.k')::DOUBLE / 100.0::DOUBLE - 0.5::DOUBLE AS upstream_error_rate,
+    extract('minute' FROM ts)::DOUBLE * 5.0::DOUBLE + 1.0::DOUBLE AS dependency_latency,
+    extract('second' FROM ts)::BIGINT AS timeout_log_count,
+    CASE event_type WHEN 'error' THEN 'bad_deployment' WHEN 'view' THEN 'normal' WHEN 'click' THEN 'traffic_spike'
+      WHEN 'purchase' THEN 'external_dependency_failure'
+      WHEN 'signup' THEN CASE WHEN value > 40.0::DOUBLE THEN 'memory_leak' ELSE 'cpu_saturation' END END AS {V.LABEL}
+  FROM events)"""
 DOUBLE_SIGNALS = [s for s in V.SIGNALS if not s.endswith("_count")]
 ROUNDED_SIGNALS = ", ".join(s if s.endswith("_count") else r6(s) for s in V.SIGNALS)
 
@@ -372,7 +384,7 @@ drops AS (SELECT feature, j, (SELECT accuracy FROM baseline) - sum(hits)::DOUBLE
 
 
 def oracle_sql() -> dict[str, str]:
-    inc, label = INCIDENTS, V.LABEL
+    inc, sim, label = OBSERVED, SIMULATED, V.LABEL
     card = CARDS[0]
     sp = splits()
     evaluated = f"{inc},\n{sp},\nheld AS (SELECT i.* FROM incidents i JOIN split USING (incident_id) WHERE part = 2)"
@@ -402,10 +414,10 @@ def oracle_sql() -> dict[str, str]:
     return {
         "read_table": "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users, round(sum(value), 3) + 0.0 AS total_value FROM events GROUP BY event_type",
         "csv_roundtrip": f"{inc} SELECT {label}, count(*) AS n, {', '.join(r6(f'avg({s})', f'avg_{s}') for s in V.SIGNALS)} FROM incidents GROUP BY {label}",
-        "mixture_table": f"{inc}, drawn AS (SELECT root_cause, metric, k, count(*) AS n_drawn FROM ({picks}) GROUP BY ALL) "
+        "mixture_table": f"{sim}, drawn AS (SELECT root_cause, metric, k, count(*) AS n_drawn FROM ({picks}) GROUP BY ALL) "
         f"SELECT m.root_cause, m.metric, m.k, m.p, m.mean, m.std, {r6('m.lo', 'lo')}, {r6('m.hi', 'hi')}, coalesce(n_drawn, 0) AS n_drawn "
         "FROM mixture m LEFT JOIN drawn USING (root_cause, metric, k)",
-        "mixture_check": f"{inc} SELECT m.root_cause, m.metric, {r6('sum(p)', 'total')}, abs(sum(p) - 1.0) <= 1e-8 + 1e-5 AS valid, "
+        "mixture_check": f"{sim} SELECT m.root_cause, m.metric, {r6('sum(p)', 'total')}, abs(sum(p) - 1.0) <= 1e-8 + 1e-5 AS valid, "
         f"(SELECT count(*) FROM shifted WHERE {label} = m.root_cause) AS n_rows FROM mixture m GROUP BY m.root_cause, m.metric",
         "feature_projection": f"{inc} SELECT incident_id, {ROUNDED_SIGNALS} FROM incidents",
         "head": f"{inc} SELECT incident_id, {ROUNDED_SIGNALS}, {label} FROM incidents ORDER BY incident_id LIMIT 5",
@@ -416,10 +428,10 @@ def oracle_sql() -> dict[str, str]:
         f"rates AS (SELECT event_id AS incident_id, u, 0.5::DOUBLE + abs(value) / 20.0::DOUBLE AS rate FROM events JOIN d ON id = event_id), "
         f"{poisson('pn', 'u', 'rate', 'rates')} SELECT incident_id, {r6('rate')}, n FROM rates JOIN pn USING (incident_id)",
         "weighted_label": f"WITH {order} SELECT id AS incident_id, {label_case('u')} AS {label} FROM d",
-        "mixture_shift": f"{inc} SELECT incident_id, {label}, {rounded} FROM shifted",
-        "coupled_metrics": f"{inc} SELECT incident_id, {label}, {rounded} FROM coupled",
-        "stress_score": f"{inc} SELECT incident_id, {r6('stress', 'stress_score')}, {r6('error_rate')} FROM raised",
-        "incidents": f"{inc} SELECT incident_id, {ROUNDED_SIGNALS}, {label} FROM incidents",
+        "mixture_shift": f"{sim} SELECT incident_id, {label}, {rounded} FROM shifted",
+        "coupled_metrics": f"{sim} SELECT incident_id, {label}, {rounded} FROM coupled",
+        "stress_score": f"{sim} SELECT incident_id, {r6('stress', 'stress_score')}, {r6('error_rate')} FROM raised",
+        "incidents": f"{sim} SELECT incident_id, {ROUNDED_SIGNALS}, {label} FROM incidents",
         "incident_profile": f"{inc} SELECT {label}, count(*) AS n, {r6('count(*) / (SELECT count(*) FROM incidents)', 'share')}, "
         f"{', '.join(r6(f'avg({s})', f'avg_{s}') for s in V.SIGNALS)} FROM incidents GROUP BY {label}",
         "stratified_split": f"{inc},\n{sp} SELECT incident_id, {label}, {SPLIT_NAME} AS split FROM split",

@@ -1,4 +1,5 @@
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,12 +71,28 @@ def test_bad_shares(incidents, train, val):
         splits.stratified_split(incidents, KEY, train=train, val=val)
 
 
-def test_sample_is_exact_and_the_same_both_ways(incidents, monkeypatch):
-    top = {r[KEY] for r in splits.sample_n(incidents, KEY, 137).collect()}
-    monkeypatch.setattr(splits, "TOP_ROWS", 0)
+def test_sample_is_exact_and_comes_first_in_the_hash_order(incidents):
+    order = shuffle_key(KEY, "sample", 42)
+    first = {r[KEY] for r in incidents.orderBy(order, KEY).limit(137).collect()}
     cut = {r[KEY] for r in splits.sample_n(incidents, KEY, 137).collect()}
-    assert len(top) == 137 and top == cut
+    assert len(cut) == 137 and cut == first
     assert splits.sample_n(incidents, KEY, 10_000).count() == 3000
+    assert splits.sample_n(incidents, KEY, 0).count() == 0
+
+
+def test_quotas_of_large_tables_do_not_overflow(spark):
+    counts = spark.createDataFrame([("a", 4_000_000_019), ("b", 6_000_000_000)], "label string, n long")
+    shares = [Fraction(3_000_000_019, 10_000_000_019), 1 - Fraction(3_000_000_019, 10_000_000_019)]
+    cuts = {r.label: r.cut_0 for r in splits.quotas(counts, "label", shares).collect()}
+    assert sum(cuts.values()) == 3_000_000_019
+    assert abs(cuts["a"] - 3_000_000_019 * 4_000_000_019 / 10_000_000_019) <= 1
+
+
+def test_null_labels_are_split_like_any_class(spark):
+    df = spark.range(1000).select(F.col("id").alias(KEY), F.when(F.col("id") % 10 > 0, F.lit("x")).alias("cause"))
+    got = splits.stratified_split(df, KEY, "cause").groupBy("cause", "split").count().collect()
+    assert {(r.cause, r.split): r["count"] for r in got if r.cause is None} == {(None, "train"): 70, (None, "val"): 15, (None, "eval"): 15}
+    assert {(r.cause, r.split): r["count"] for r in got if r.cause} == {("x", "train"): 630, ("x", "val"): 135, ("x", "eval"): 135}
 
 
 @pytest.mark.parametrize("buckets", [1, 16])

@@ -16,7 +16,7 @@ from culprit.llm.common import crc_part, texts_of
 UNITS = 8
 WINDOW = 128
 TRAIN_ROWS = 6_000
-EPOCHS = 6
+STEPS = 300
 BATCH = 128
 RATE = 0.015
 LANES = 4096
@@ -89,7 +89,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> Iter
         start = offsets[doc] + (lane - (ends[doc] - count[doc])) * window
         place = start[None, :] + np.arange(window)[:, None]
         inside = place < offsets[doc + 1][None, :]
-        codes = np.where(inside, data[np.minimum(place, len(data) - 1)], 256).astype(np.int16)
+        codes = np.where(inside, data[np.minimum(place, len(data) - 1)].astype(np.int16), np.int16(256))
         yield doc, codes
 
 
@@ -108,10 +108,12 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def train(
-    codes: np.ndarray, target: np.ndarray, names: list[str], units: int = UNITS, epochs: int = EPOCHS, rate: float = RATE, seed: int = 3
+    codes: np.ndarray, target: np.ndarray, names: list[str], units: int = UNITS, steps: int = STEPS, rate: float = RATE, seed: int = 3
 ) -> Network:
     """Fit by backpropagation through time with Adam; the loss is cross-entropy at every byte.
 
+    ``steps`` batches are drawn, going through all windows in turn.
+
     ``codes`` is (windows, time) with 256 past the end, ``target`` the language number of each.
     """
     draw = np.random.default_rng(seed)
@@ -121,20 +123,19 @@ def train(
         normal(len(names), 2 * units, scale=0.3), np.zeros(len(names), np.float32), names,
     )
     weights = [net.table, net.cross, net.out, net.bias]
-    first, second, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
-    total = max(1, epochs * -(-len(codes) // BATCH))
-    for _ in range(epochs):
-        mixed = draw.permutation(len(codes))
-        for at in range(0, len(codes), BATCH):
-            rows = mixed[at : at + BATCH]
-            slopes = _gradients(net, codes[rows].T, target[rows])
-            step += 1
-            speed = rate * (1 - 0.9 * step / total)
-            for w, m, v, g in zip(weights, first, second, slopes, strict=True):
-                g = np.clip(g, -1.0, 1.0)
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                w -= speed * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
+    first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
+    mixed = np.zeros(0, np.int64)
+    for step in range(1, steps + 1 if len(codes) else 1):
+        while len(mixed) < BATCH:
+            mixed = np.concatenate([mixed, draw.permutation(len(codes))])
+        rows, mixed = mixed[:BATCH], mixed[BATCH:]
+        slopes = _gradients(net, codes[rows].T, target[rows])
+        speed = rate * (1 - 0.9 * step / steps)
+        for w, m, v, g in zip(weights, first, second, slopes, strict=True):
+            g = np.clip(g, -1.0, 1.0)
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            w -= speed * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
     return net
 
 

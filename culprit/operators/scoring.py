@@ -17,14 +17,12 @@ def predicted_class(proba: str, classes: list[str]) -> Column:
 def predict(model, df: DataFrame) -> DataFrame:
     """All input columns, ``prediction`` and one ``proba_<class>`` per class.
 
-    A model without probabilities gives no such columns; one without class names gives
-    ``proba_class_<i>``.
+    A model without probabilities gives no such columns.
     """
     scored = model.with_scores(df)
     if "proba" not in scored.columns:
         return scored
-    names = [f"class_{i}" for i in range(model.n_classes)] if model.classes is None else model.classes
-    columns = {f"proba_{c}": F.get("proba", F.lit(i)) for i, c in enumerate(names)}
+    columns = {f"proba_{c}": F.get("proba", F.lit(i)) for i, c in enumerate(model.classes)}
     return scored.withColumns(columns).drop("proba")
 
 

@@ -485,6 +485,9 @@ def oracle_sql() -> dict[str, str]:
         "topk_rca": f"{rca},\n{rca_steps(V.RCA_CAUSES, V.RCA_FEATURES)} SELECT incident_id, class_rank, class, {r6('proba')}, {r6('base')}, feature_rank, feature, {r6('shap_value')} FROM rca",
         "permutation_importance": f"{inc},\n{FEATURE_VALUES},\n{sample('ex', 'explain', V.EXPLAIN_ROWS)},\n{permutation_steps(card)} "
         f"SELECT feature, {r6('importance')}, {r6('importance_std')}, row_number() OVER (ORDER BY importance DESC, j)::INTEGER AS rank FROM drops",
+        "permutation_whole": f"{inc},\n{FEATURE_VALUES},\nex AS (SELECT * FROM incidents),\n{permutation_steps(card)} "
+        f"SELECT feature, {r6('importance')}, {r6('importance_std')}, row_number() OVER (ORDER BY importance DESC, j)::INTEGER AS rank FROM drops",
+        "model_roundtrip": f"{inc},\n{sp} SELECT count(*) AS n, count(*) AS n_same FROM split WHERE part = 2",
         "exact_shapley": f"{exact},\n{shapley_steps(card)},\n{CLASS_VALUES},\n{FEATURE_VALUES} "
         f"SELECT incident_id, class, feature, {r6('v', 'shap_value')} FROM phi JOIN classes USING (c) JOIN features USING (j)",
         "global_importance": f"{rca},\n{importance_steps()} SELECT '{card.name}' AS model_name, 'shap_linear' AS method, feature, {r6('importance')}, rank FROM ranked",

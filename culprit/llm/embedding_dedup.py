@@ -129,7 +129,7 @@ def near_duplicates(
     node = F.coalesce("first", F.xxhash64("label", "vector"))
     nodes = kept_table(nodes.withColumn("node", node), "vectors")
     sizes = nodes.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n")).collect()
-    parts = []
+    parts, kind = [], dict(nodes.dtypes)["label"]
     for width, n in sorted((r["width"], r["n"]) for r in sizes):
         some = nodes.filter(F.size("vector") == width)
         cells = int(min(max_cells, max(1, n // cell_rows), n))
@@ -137,7 +137,7 @@ def near_duplicates(
         sample = np.stack(sample["vector"].to_numpy()).astype(np.float64)
         centres = fit_cells(sample / np.linalg.norm(sample, axis=1)[:, None], cells)
         placed = some.select("label", "vector", "node", "copies").mapInPandas(
-            _assigner(centres, threshold), "label int, vector array<double>, node long, copies long, cell int, guest boolean"
+            _assigner(centres, threshold), f"label {kind}, vector array<double>, node long, copies long, cell int, guest boolean"
         )
         parts.append(placed.withColumn("width", F.lit(width)))
     if not parts:

@@ -157,14 +157,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Train on the ``rows`` labelled documents that come first by a hash of key and text.
 
     Rows with a null key or label are not used; a document with several labels is used with
-    each of them. Without any labelled row every score is 0.5.
+    each of them, rows that repeat key, text and label once. Without any labelled row every score is 0.5.
     """
     marks = labels.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("y")).filter("y IN (0, 1)")
     order = F.xxhash64(F.col(key), F.col(text))
     pairs = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"), order.alias("_h"))
     chosen = docs.select(F.col(key).alias("_key"), order.alias("_h")).join(marks, F.col("_key") == F.col("_id"))
-    chosen = chosen.select("_key", "_h", "y").orderBy("_h", "_key", "y").limit(rows)
-    picked = pairs.join(F.broadcast(chosen), ["_key", "_h"]).select("y", F.coalesce("_text", F.lit("")).alias("_text"))
+    chosen = chosen.select("_key", "_h", "y").distinct().orderBy("_h", "_key", "y").limit(rows)
+    picked = pairs.join(F.broadcast(chosen), ["_key", "_h"]).dropDuplicates(["_key", "_h", "y"])
+    picked = picked.select("y", F.coalesce("_text", F.lit("")).alias("_text"))
     got = picked.mapInArrow(_feature_rows, "y int, x array<double>").collect()
     got.sort()
     x = np.array([r["x"] for r in got]).reshape(len(got), len(FEATURES))

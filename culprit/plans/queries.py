@@ -83,7 +83,10 @@ def queries(table: Callable, key: str) -> dict[str, Callable[[SparkSession, str]
         return spark.createDataFrame(rows, "model_name string, param string, value string")
 
     def roundtrip(spark, folder):
-        one = model(spark, folder, "Logistic Regression")
+        train, classes = training_table(part(spark, folder, "train"), key)
+        name = "Logistic Regression"
+        one = fit(train.persist(), ModelSpec(name, FAMILIES[name], {}, {}), {"C": 1}, V.SIGNALS, classes)
+        train.unpersist()
         path = save_model(one, f"{fresh_path(spark, 'saved')}/{model_folder(one.name)}")
         again = load_model(spark, path)
         rows = part(spark, folder, "eval")

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +19,7 @@ from culprit.llm.common import kept_table, texts_of, word_blocks
 WINDOW = 8
 FEWEST = 4
 COVERAGE = 0.5
+LONGEST_RUN = 32
 FILTER_BITS = 1 << 22
 VOCABULARY_BYTES = 32 << 20
 
@@ -24,43 +28,66 @@ NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve t
 UNITS = "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds ton tons ml l litre litres liter liters gallon gallons second seconds minute minutes hour hours day days week weeks month months year years cent cents dollar dollars euro euros percent degree degrees km/h mph".split()
 
 EDGES = b"\"'()[]{}<>.,;:!?*_`"
+CLOSING = b")]}.,;:!?"
 DIGITS = re.compile(rb"[+-]?[$]?[0-9]+(?:[.,:/][0-9]+)*(%|[a-z]{1,3})?$")
 PLACEHOLDERS = {"number": b"<number>", "unit": b"<unit>", "name": b"<name>"}
 
 
+def folded(bare: bytes) -> bytes:
+    """A word without its case, in any script."""
+    return bare.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
+
+
+def capitalised(bare: bytes) -> bool:
+    word = bare.decode("utf-8", "surrogateescape")
+    return word[:1].isupper() and word[1:].islower()
+
+
+def _upper(bare: bytes) -> bool:
+    """Two or more characters, the first in upper case."""
+    word = bare.decode("utf-8", "surrogateescape")
+    return len(word) > 1 and word[0].isupper()
+
+
 class Canon:
-    """Canonical form of a token, given the words that are known in lower case.
+    """Canonical form of a token, given the benchmark's names and its other words.
 
-    A number, in figures or words, a unit and a capitalised word that is not known in lower
-    case become typed placeholders; all else is the token in lower case without punctuation
-    at its edges. The form depends on the token alone, so it is the same on both sides.
+    A number, in figures or words, a unit and a name become typed placeholders; all else is
+    the token in lower case without punctuation at its edges. Words of the benchmark have the
+    same form in any case; others are names where they are capitalised. The form depends on
+    the token alone, so it is the same on both sides.
     """
 
-    def __init__(self, known: set[bytes]):
-        self.known = known
+    def __init__(self, known: set[bytes], names: set[bytes]):
+        self.known, self.names = known, names
         self.numbers = {w.encode() for w in NUMBERS}
         self.units = {w.encode() for w in UNITS}
 
     def __call__(self, token: bytes) -> bytes:
         bare = token.strip(EDGES)
-        low = bare.lower()
+        low = folded(bare)
         if low in self.numbers or DIGITS.match(low):
             return PLACEHOLDERS["number"]
         if low in self.units:
             return PLACEHOLDERS["unit"]
-        if bare[:1].isupper() and bare[1:].islower() and low not in self.known:
+        if low in self.names or (low not in self.known and _upper(bare)):
             return PLACEHOLDERS["name"]
         return low
 
 
-def known_words(texts: list[str]) -> set[bytes]:
-    """Words that the benchmark has in lower case."""
+def known_words(texts: list[str]) -> tuple[set[bytes], set[bytes]]:
+    """Words of the benchmark in lower case, and those that it only has capitalised: its names."""
     bare = {t.strip(EDGES) for text in texts for t in text.encode().split()}
-    return {w for w in bare if w == w.lower()}
+    names = {folded(w) for w in bare if capitalised(w)}
+    known = {folded(w) for w in bare if not capitalised(w)}
+    return known, names - known
 
 
 class Numbered(dict):
-    """Token -> number of its canonical form in the benchmark, 0 for others; slots are negative."""
+    """Token -> number of its canonical form in the benchmark, 0 for others.
+
+    Slots are negative: minus twice the number, and one less where punctuation closes the token.
+    """
 
     MOST = 300_000
 
@@ -72,10 +99,27 @@ class Numbered(dict):
             self.clear()
         form = self.canon(token)
         number = self.vocabulary.get(form, 0)
-        self[token] = out = -number if form in PLACEHOLDERS.values() else number
+        closed = token[-1:] in CLOSING
+        self[token] = out = -2 * number - closed if number and form in PLACEHOLDERS.values() else number
         return out
 
 
+def runs_of(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places and numbers of the runs: neighbouring slots of one kind are one slot.
+
+    Punctuation ends a run, and so do ``LONGEST_RUN`` tokens.
+    """
+    if not len(numbers):
+        return np.zeros(0, np.int64), numbers
+    kind = np.where(numbers < 0, -(-numbers // 2), numbers)
+    closed = (numbers < 0) & (numbers % 2 != 0)
+    fresh = np.concatenate([[True], (kind[1:] >= 0) | (kind[1:] != kind[:-1]) | closed[:-1]])
+    places = np.arange(len(numbers))
+    fresh |= (places - np.maximum.accumulate(np.where(fresh, places, 0))) % LONGEST_RUN == 0
+    starts = np.flatnonzero(fresh)
+    return starts, kind[starts]
+
+
 def _mixed(numbers: np.ndarray) -> np.ndarray:
     """64 well-spread bits of each vocabulary number."""
     x = numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -99,8 +143,11 @@ def window_hashes(numbers: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarr
     return places, out.view(np.int64)
 
 
-def _slots(words: list[bytes], numbers: np.ndarray, place: int, width: int) -> list[str]:
-    return [words[i].strip(EDGES).decode("utf-8", "replace") for i in range(place, place + width) if numbers[i] < 0]
+def _slots(words: list[bytes], starts: np.ndarray, numbers: np.ndarray, place: int, width: int) -> list[str]:
+    """The values of the slots of a window, in lower case."""
+    stop = lambda i: starts[i + 1] if i + 1 < len(starts) else len(words)
+    value = lambda i: b" ".join(w.strip(EDGES) for w in words[starts[i] : stop(i)])
+    return [value(i).decode("utf-8", "replace").casefold() for i in range(place, place + width) if numbers[i] < 0]
 
 
 def benchmark_windows(items: list[tuple], numbered: Numbered) -> list[tuple]:
@@ -111,39 +158,44 @@ def benchmark_windows(items: list[tuple], numbered: Numbered) -> list[tuple]:
     out = []
     for item, text in items:
         words = (text or "").encode().split()
-        width = min(WINDOW, len(words))
+        starts, numbers = runs_of(np.fromiter(map(numbered.__getitem__, words), np.int64, len(words)))
+        width = min(WINDOW, len(numbers))
         if width < FEWEST:
             continue
-        numbers = np.fromiter(map(numbered.__getitem__, words), np.int64, len(words))
         places, hashes = window_hashes(numbers, width)
-        out += [(item, int(p), width, int(h), _slots(words, numbers, p, width)) for p, h in zip(places, hashes, strict=True)]
+        out += [(item, int(p), width, int(h), _slots(words, starts, numbers, p, width)) for p, h in zip(places, hashes, strict=True)]
     return out
 
 
-def document_windows(docs: DataFrame, known: set[bytes], vocabulary: dict[bytes, int], passing: np.ndarray, widths: list[int]) -> DataFrame:
-    """(_id, _body, place, width, hash, slots) of the windows that pass the benchmark's filter."""
-    shared = docs.sparkSession.sparkContext.broadcast((known, vocabulary, passing, widths))
+def document_windows(docs: DataFrame, canon: Canon, vocabulary: dict[bytes, int], passing: np.ndarray, widths: list[int]) -> DataFrame:
+    """(_id, _body, place, width, hash, slots) of the windows that pass the benchmark's filter.
+
+    Places count runs. The last run of a block may go on in the next, so it is read there.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((canon, vocabulary, passing, widths))
     longest = max(widths)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, vocabulary, passing, widths = shared.value
-        numbered = Numbered(Canon(known), vocabulary)
+        canon, vocabulary, passing, widths = shared.value
+        numbered = Numbered(canon, vocabulary)
         for batch in batches:
             rows: list[tuple] = []
             offsets, data = texts_of(batch.column(2))
             for r, (start, stop) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
                 carry, at, had = [], 0, 0
-                for block in word_blocks(data[start:stop].tobytes()):
-                    words = [*carry, *block]
-                    numbers = np.fromiter(map(numbered.__getitem__, words), np.int64, len(words))
+                for block in chain(word_blocks(data[start:stop].tobytes()), [None]):
+                    words = carry + (block or [])
+                    starts, numbers = runs_of(np.fromiter(map(numbered.__getitem__, words), np.int64, len(words)))
+                    whole = len(numbers) - (block is not None and len(numbers) > 0)
                     for width in widths:
-                        places, hashes = window_hashes(numbers, width)
+                        places, hashes = window_hashes(numbers[:whole], width)
                         bit = hashes.view(np.uint64) % np.uint64(FILTER_BITS)
                         near = (passing[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                        near &= places + width > had  # windows within the carried words were seen before
-                        rows += [(r, at + int(p), width, int(h), _slots(words, numbers, p, width)) for p, h in zip(places[near], hashes[near], strict=True)]
-                    carry = words[max(0, len(words) - longest + 1) :]
-                    at, had = at + len(words) - len(carry), len(carry)
+                        near &= places + width > had  # windows within the carried runs were seen before
+                        rows += [(r, at + int(p), width, int(h), _slots(words, starts, numbers, p, width)) for p, h in zip(places[near], hashes[near], strict=True)]
+                    first = max(0, whole - longest + 1)
+                    carry = words[starts[first] :] if len(starts) else []
+                    at, had = at + first, whole - first
             if rows:
                 r, place, width, hashes, slots = zip(*rows, strict=True)
                 which = pa.array(r, pa.int64())
@@ -153,17 +205,85 @@ def document_windows(docs: DataFrame, known: set[bytes], vocabulary: dict[bytes,
     return docs.mapInArrow(scan, "_id long, _body long, place long, width int, hash long, slots array<string>")
 
 
+def longest_chain(pairs: list[tuple]) -> list[tuple]:
+    """Most of the (offset, q, width, own, slots) that lie in one order in the item and the document."""
+    pairs = sorted(pairs, key=lambda p: (p[1], -p[0]))
+    tails, ends, before = [], [], []
+    for n, (offset, q, *_) in enumerate(pairs):
+        i = bisect_left(tails, offset + q)
+        tails[i : i + 1], ends[i : i + 1] = [offset + q], [n]
+        before.append(ends[i - 1] if i else -1)
+    out, n = [], ends[-1]
+    while n >= 0:
+        out.append(pairs[n])
+        n = before[n]
+    return out[::-1]
+
+
+def _covered(places: list[int], width: int) -> int:
+    """How many places the windows at sorted ``places`` cover."""
+    return width + sum(min(width, b - a) for a, b in zip(places, places[1:], strict=False))
+
+
+def _same_value(own: str, other: str) -> bool:
+    """Equal, or one with more words before or after it."""
+    short, long = sorted((own, other), key=len)
+    return own == other or f" {long} ".startswith(f" {short} ") or f" {long} ".endswith(f" {short} ")
+
+
+def judged(pairs: list[tuple], of: int, cover: int) -> tuple[int, int, float] | None:
+    """(windows, -changed, coverage) of a chain, or nothing where an item value has several values.
+
+    Coverage is the share of the item's windows, or of its runs covered by windows, less the
+    width on both sides: the windows across an insertion do not count as lost.
+    """
+    values: dict[str, str] = {}
+    for _, _, _, own, slots in pairs:
+        for mine, other in zip(own, slots, strict=True):
+            other = mine if _same_value(mine, other) else other
+            if values.setdefault(mine, other) != other:
+                return None
+    width, places = pairs[0][2], [p[1] for p in pairs]
+    share = (_covered(places, width) - width + 1) / (cover - width + 1)
+    return len(pairs), -sum(a != b for a, b in values.items()), max(len(pairs) / of, share)
+
+
+def best_chain(pairs: list[tuple], of: int, cover: int, coverage: float) -> tuple[int, int, float] | None:
+    """The best chain over one offset, two neighbouring ones or all of them."""
+    offsets = sorted({p[0] for p in pairs})
+    spans = {(a, a) for a in offsets} | set(zip(offsets, offsets[1:], strict=False)) | {(offsets[0], offsets[-1])}
+    found = (judged(longest_chain([p for p in pairs if low <= p[0] <= high]), of, cover) for low, high in spans)
+    return max((f for f in found if f and f[2] >= coverage), default=None)
+
+
+def chains(pairs: DataFrame, coverage: float) -> DataFrame:
+    """The best chain of each document, item and band of offsets."""
+
+    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            kept, out = [], []
+            for n, (of, cover, group) in enumerate(zip(frame["of"], frame["cover"], frame["pairs"], strict=True)):
+                group = [(p["offset"], p["q"], p["width"], tuple(p["own"]), tuple(p["slots"])) for p in group]
+                if best := best_chain(group, of, cover, coverage):
+                    kept.append(n)
+                    out.append(best)
+            rows = frame.iloc[kept][["_id", "_body", "item_id"]].reset_index(drop=True)
+            yield rows.join(pd.DataFrame(out, columns=["n_windows", "kept", "coverage"]))
+
+    return pairs.mapInPandas(judge, "_id long, _body long, item_id long, n_windows long, kept int, coverage double")
+
+
 def matches(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", question: str = "text", coverage: float = COVERAGE,
     most: int = VOCABULARY_BYTES,
 ) -> DataFrame:
     """Contaminated documents: ``_id``, ``_body``, ``item_id``, ``n_windows``, ``coverage``, ``changed``.
 
-    Windows of eight canonical tokens are joined by hash, and grouped by document, item and
-    offset, so that they lie in the same order on both sides. A group counts when its windows
-    cover at least ``coverage`` of the item's windows and its slots are consistent: equal
-    values of the item have equal values in the document and different ones different.
-    ``changed`` is the number of item values that have another value in the document.
+    Windows of eight canonical runs are joined by hash and chained in the order of both sides,
+    where offsets drift by at most eight runs or a quarter of the item. A chain counts when it
+    covers at least ``coverage`` of the item and its slots are consistent: equal values of the
+    item have equal values in the document. ``changed`` is the number of item values that
+    have another value in the document.
 
     The benchmark's words are sent to the tasks; one of more than ``most`` characters is
     matched in parts by hash of the item, each with its own words.
@@ -178,8 +298,7 @@ def matches(
         found = [matches(docs, benchmark.filter(share == p), key, text, item, question, coverage, 1 << 62) for p in range(parts)]
         return reduce(DataFrame.unionByName, found)
     items = [(r[0], r[1]) for r in benchmark.select(F.col(item).cast("long"), F.col(question).cast("string")).collect()]
-    known = known_words([t for _, t in items if t])
-    canon = Canon(known)
+    canon = Canon(*known_words([t for _, t in items if t]))
     forms = sorted({canon(w) for _, t in items if t for w in t.encode().split()})
     vocabulary = {form: i + 1 for i, form in enumerate(forms)}
     own = benchmark_windows(sorted(set(items), key=str), Numbered(canon, vocabulary))
@@ -189,18 +308,23 @@ def matches(
     bits = np.array([w[3] for w in own], np.int64).view(np.uint64) % np.uint64(FILTER_BITS)
     np.bitwise_or.at(passing, bits >> np.uint64(3), (1 << (bits & np.uint64(7))).astype(np.uint8))
     theirs = spark.createDataFrame(own, "item_id long, q long, width int, hash long, own array<string>")
-    theirs = theirs.withColumn("of", F.count("*").over(Window.partitionBy("item_id")))
-    found = document_windows(rows, known, vocabulary, passing, sorted({w[2] for w in own}))
+    item_of = Window.partitionBy("item_id")
+    step = F.col("q") - F.lag("q").over(item_of.orderBy("q"))
+    theirs = theirs.withColumn("step", F.least(F.coalesce(step, "width"), "width"))
+    theirs = theirs.withColumns({"of": F.count("*").over(item_of), "cover": F.sum("step").over(item_of)}).drop("step")
+    found = document_windows(rows, canon, vocabulary, passing, sorted({w[2] for w in own}))
     pairs = found.join(theirs, ["hash", "width"]).filter(F.size("own") == F.size("slots"))
-    pairs = pairs.withColumn("slot", F.arrays_zip("own", "slots"))
-    pairs = pairs.groupBy("_id", "_body", "item_id", (F.col("place") - F.col("q")).alias("_offset")).agg(
-        F.count_distinct("q").alias("n_windows"), F.max("of").alias("of"), F.array_distinct(F.flatten(F.collect_set("slot"))).alias("slot")
+    # Offsets at most a drift apart share a band of two drifts.
+    drift = F.greatest(F.lit(WINDOW).cast("long"), F.floor(F.col("cover") / 4))
+    pairs = pairs.withColumn("offset", F.col("place") - F.col("q")).withColumn("band", F.floor(F.col("offset") / drift))
+    pairs = pairs.withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
+    pair = F.struct("offset", "q", "width", "own", "slots")
+    pairs = pairs.groupBy("_id", "_body", "item_id", "band").agg(
+        F.collect_set(pair).alias("pairs"), F.count_distinct("q").alias("n"), F.max("of").alias("of"), F.max("cover").alias("cover"), F.max("width").alias("w")
     )
-    values = lambda side: F.size(F.array_distinct(F.transform("slot", lambda s: s[side])))
-    changed = F.size(F.filter("slot", lambda s: s["own"] != s["slots"]))
-    pairs = pairs.withColumns({"coverage": F.col("n_windows") / F.col("of"), "changed": changed, "_own": values("own"), "_theirs": values("slots")})
-    pairs = pairs.filter((F.col("coverage") >= coverage) & (F.col("_own") == F.size("slot")) & (F.col("_theirs") == F.size("slot")))
-    best = F.struct("n_windows", (-F.col("changed")).alias("kept"), "coverage")
+    reach = F.greatest(F.col("n") / F.col("of"), (F.least(F.col("n") * F.col("w"), "cover") - F.col("w") + 1) / (F.col("cover") - F.col("w") + 1))
+    pairs = chains(pairs.filter(reach >= coverage).select("_id", "_body", "item_id", "of", "cover", "pairs"), coverage)
+    best = F.struct("n_windows", "kept", "coverage")
     out = pairs.groupBy("_id", "_body", "item_id").agg(F.max(best).alias("b"))
     return out.select("_id", "_body", "item_id", "b.n_windows", "b.coverage", (-F.col("b.kept")).alias("changed"))
 

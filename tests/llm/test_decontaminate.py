@@ -82,3 +82,38 @@ def test_given_table(spark):
 def test_empty_tables(spark, prose, benchmark):
     assert decontaminate.contaminated(frame(spark, []), benchmark).count() == 0
     assert decontaminate.contaminated(frame(spark, rows_of(prose)), benchmark.filter("false")).count() == 0
+
+
+def test_edited_questions_and_other_case(spark, prose, benchmark):
+    first, second = QUESTIONS[0][1], QUESTIONS[1][1]
+    words = second.split()
+    rows = [
+        (20, " ".join([*words[:10], "really", *words[10:]])),
+        (21, " ".join(words[:11] + words[12:])),
+        (22, " ".join([*words[:7], "of", "the", *words[7:]])),
+        (23, second.upper()),
+        (24, second.lower()),
+        (25, second.replace("Anna", "Mary Ann").replace("12", "twenty five")),
+        (26, f"Question Five {second}"),
+        (27, " ".join([prose(3, 1), *first.split()[:12], "slowly", *first.split()[12:], prose(3, 2)])),
+        (28, " ".join(words[:9] + [prose(20, 3)])),
+        (29, second.replace("Peter", "Olga").replace("Anna", "Olga")),
+        (30, prose(3, 4) + " 7 8 9" * 100_000 + " " + second),
+    ]
+    got = found(spark, rows, benchmark)
+    assert set(got) == {(i, 2) for i in (20, 21, 22, 23, 24, 25, 26, 29, 30)} | {(27, 1)}
+    assert {i: c for (i, _), c in got.items() if c} == {25: 2, 29: 2}
+
+
+def test_edits_of_the_given_benchmark(spark):
+    benchmark = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    rows = []
+    for r in benchmark.collect():
+        words = r.text.split()
+        half = len(words) // 2
+        edits = [[*words[:half], "xyzzy", *words[half:]], words[:half] + words[half + 1 :], r.text.upper().split(), r.text.lower().split()]
+        rows += [(10 * r.item_id + n, " ".join(e)) for n, e in enumerate(edits)]
+    got = found(spark, rows, benchmark)
+    missed = [i for i, _ in rows if (i, i // 10) not in got]
+    assert len([i for i in missed if i % 10 > 1]) == 0
+    assert len(missed) <= 0.05 * len(rows)

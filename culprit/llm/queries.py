@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from culprit.llm import decontaminate, embedding_dedup, language_id, line_dedup, lm_scoring, mixture, pii, quality, secrets, simhash
+from culprit.llm import (
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    mixture,
+    packing,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    spelling,
+    whitening,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,6 +70,20 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score(table(spark, folder, "documents"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -68,8 +96,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixture": op8_mixture,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_spelling": op11_spelling,
+        "op12_packing": op12_packing,
+        "op13_whitening": op13_whitening,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": line_dedup.ORACLE_SQL, "op8_mixture": mixture.ORACLE_SQL, "op9_embedding_dedup": embedding_dedup.ORACLE_SQL}
+    return {
+        "op5_line_dedup": line_dedup.ORACLE_SQL,
+        "op8_mixture": mixture.ORACLE_SQL,
+        "op9_embedding_dedup": embedding_dedup.ORACLE_SQL,
+        "op11_spelling": spelling.ORACLE_SQL,
+    }

@@ -10,8 +10,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -25,10 +26,11 @@ from culprit.llm.common import kept_table, texts_of, word_blocks
 
 WINDOW = 4_096
 END_ID = 2
-CACHED = 300_000  # strings of a generation of those whose ids a worker remembers
+CACHED = 500_000  # strings of a generation of those whose ids a worker remembers
 LONG_CHUNK = 1 << 16
 ID_BYTES = 4
 DIGIT = re.compile(rb"[0-9]")
+PLAIN = re.compile(rb"[!-&(-~]+")  # printable ASCII without the apostrophe
 PARTS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
 
 
@@ -130,9 +132,10 @@ class Encoder:
     """Ids of a text as bytes, put together from those of its parts, which are remembered.
 
     The vocabulary drops white space and no rule looks across it, so a white-space separated
-    chunk has the same ids in every text. An ASCII chunk without apostrophes and special
-    tokens is further made of runs of letters, single digits and runs of other characters.
-    A chunk without any white space for long is cut after ASCII digits.
+    chunk has the same ids in every text. A chunk of printable ASCII without apostrophes and
+    special tokens is further made of runs of letters, single digits and runs of other
+    characters, which go to the byte-pair model as they are; any other chunk takes the whole
+    way. A chunk without any white space for long is cut after ASCII digits.
     """
 
     def __init__(self, path: str):
@@ -140,27 +143,53 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.chunks, self.parts = Remembered(), Remembered()
 
-    def encoded(self, strings: list[bytes]) -> Iterator[bytes]:
-        texts = [s.decode("utf-8", "replace") for s in strings]
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, dtype="<u4").tobytes()
+    def learn(self, chunks: set[bytes]) -> None:
+        """Remember the ids of these chunks."""
+        new = self.chunks.missing(chunks)
+        plain = {c: PARTS.findall(c.lower()) for c in new if PLAIN.fullmatch(c) and b"<|" not in c}
+        for part in self.parts.missing({part for parts in plain.values() for part in parts}):
+            self.parts[part] = array("I", [t.id for t in self.model.tokenize(part.decode())]).tobytes()
+        known = self.parts.__getitem__
+        self.chunks.update((c, b"".join(map(known, parts))) for c, parts in plain.items())
+        other = [c for c in new if c not in plain]
+        found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in other], add_special_tokens=False)
+        self.chunks.update((c, array("I", e.ids).tobytes()) for c, e in zip(other, found))
 
     def ids(self, text: bytes) -> bytes:
-        out = []
-        for chunks in word_blocks(text):
-            if any(len(c) > LONG_CHUNK for c in chunks):
-                chunks = [part for c in chunks for part in (digit_blocks(c) if len(c) > LONG_CHUNK else (c,))]
-            new = self.chunks.missing(set(chunks))
-            plain = {c: PARTS.findall(c.lower()) for c in new if c.isascii() and b"'" not in c and b"<|" not in c}
-            unknown = self.parts.missing({part for parts in plain.values() for part in parts})
-            self.parts.update(zip(unknown, self.encoded(unknown)))
-            self.chunks.update((c, b"".join(map(self.parts.__getitem__, parts))) for c, parts in plain.items())
-            other = [c for c in new if c not in plain]
-            self.chunks.update(zip(other, self.encoded(other)))
-            out.append(b"".join(map(self.chunks.__getitem__, chunks)))
-        return b"".join(out)
+        return next(self.every([text]))
+
+    def every(self, texts: Iterable[bytes], size: int = 1 << 20) -> Iterator[bytes]:
+        """Ids of every text; texts share a look-up up to ``size`` bytes, and longer ones are cut to that."""
+        waiting: list[list[bytes]] = []
+        held = 0
+        for text in texts:
+            if len(text) > size:
+                yield from self.looked_up(waiting)
+                waiting, held = [], 0
+                yield b"".join(ids for chunks in word_blocks(text, size) for ids in self.looked_up([chunks]))
+                continue
+            waiting.append(text.split())
+            held += len(text)
+            if held > size:
+                yield from self.looked_up(waiting)
+                waiting, held = [], 0
+        yield from self.looked_up(waiting)
+
+    def looked_up(self, texts: list[list[bytes]]) -> Iterator[bytes]:
+        different = set().union(*texts)
+        long = {c: list(digit_blocks(c)) for c in different if len(c) > LONG_CHUNK}
+        for c, parts in long.items():
+            different.remove(c)
+            different.update(parts)
+        self.learn(different)
+        known = self.chunks.__getitem__
+        for chunks in texts:
+            if long:
+                chunks = [part for c in chunks for part in long.get(c, (c,))]
+            yield b"".join(map(known, chunks))
 
 
 @lru_cache(maxsize=1)
@@ -204,8 +233,9 @@ def _packer(path: str, window: int, end_id: int, key: pa.DataType):
 
         for batch in batches:
             where, data = texts_of(batch.column("text"))
-            for doc, low, high in zip(batch.column("doc_id").to_pylist(), where[:-1], where[1:]):
-                ids = encoder.ids(data[low:high].tobytes()) + end
+            texts = (data[low:high].tobytes() for low, high in zip(where[:-1], where[1:]))
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.every(texts)):
+                ids += end
                 whole = Piece(doc, 0, ids, len(ids) // ID_BYTES)
                 full = whole.length - whole.length % window
                 for at in range(0, full, window):

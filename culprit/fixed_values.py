@@ -176,3 +176,28 @@ SCORECARD = {
     "normal": (19.373, [-0.0534, -4.0229, -0.02, 0.0003, -1.3516, -0.0129, -1.3398, -0.0079, 0.0325]),
     "traffic_spike": (-8.547, [0.0043, 0.9514, -0.0199, 0.016, -0.1979, 0.0037, 0.154, -0.0009, -0.0247]),
 }
+
+# A fixed forest (ours): given splits, so that tree explanations can be checked exactly. Node ->
+# (signal, threshold, left node, right node); a node without an entry is a leaf.
+FOREST = [
+    {
+        0: ("avg_cpu_usage", 35.0, 1, 2),
+        1: ("request_rate", 500.0, 3, 4),
+        2: ("mem_growth", 8.0, 5, 6),
+        4: ("avg_cpu_usage", 15.0, 7, 8),
+        5: ("error_rate", 0.5, 9, 10),
+    },
+    {
+        0: ("upstream_error_rate", 0.0, 1, 2),
+        1: ("timeout_log_count", 29.5, 3, 4),
+        2: ("dependency_latency", 150.0, 5, 6),
+        6: ("upstream_error_rate", 0.25, 7, 8),
+    },
+    {
+        0: ("latency", 130.0, 1, 2),
+        1: ("oom_log_count", 3.5, 3, 4),
+        2: ("latency", 250.0, 5, 6),
+        3: ("latency", 90.0, 7, 8),
+        5: ("request_rate", 250.0, 9, 10),
+    },
+]

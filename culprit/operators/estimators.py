@@ -25,11 +25,12 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from culprit import fixed_values as V
 from culprit.operators.scoring import predicted_class
+from culprit.operators.trees import forest_nodes
 
 # Depth that stands for "no limit": MLlib accepts at most 30.
 DEEPEST = 30
@@ -172,6 +173,12 @@ class FittedModel:
         ]
         return factors, [float(m) for m in scaler.mean.toArray()]
 
+    def node_table(self, spark: SparkSession) -> DataFrame:
+        """The trees of a forest as rows, see ``trees``."""
+        if self.kind != "tree":
+            raise ValueError(f"{self.name} has no forest")
+        return forest_nodes(spark, self.heads.stages[0])
+
     def tree_importance(self) -> list[tuple[str, float]]:
         """Impurity importance, largest first; the mean over the per-class models for boosting."""
         if self.kind not in ("tree", "boosting"):

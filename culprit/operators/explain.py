@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from culprit import fixed_values as V
 from culprit.functions.draws import quoted, shuffle_key
 from culprit.operators.splits import sample_n, with_rank
+from culprit.operators.trees import tree_contributions
 from culprit.sources.shared import written
 
 RANKED_ROWS = 20_000  # rows of a range that is ranked in one task
@@ -294,12 +295,15 @@ def contributions(
 ) -> DataFrame:
     """Contributions of ``rows`` with the background drawn from ``table``.
 
-    Models without a closed form are explained exactly, over all feature subsets, or, where
-    the caller asks for it, by so many random ``orders``; the size of the model decides nothing.
+    Trees are explained along their own paths, without a background. Models without a closed
+    form are explained exactly, over all feature subsets, or, where the caller asks for it, by
+    so many random ``orders``; the size of the model decides nothing.
     """
     method = choose_method(model.kind, len(model.classes), scope)
     if method == "shap_linear":
         return linear_shap(model, rows, background_sample(table, key, background_rows, seed))
+    if method == "shap_tree":
+        return tree_contributions(model, rows, key)
     if kernel_rows is None:
         kernel_rows = V.KERNEL_BACKGROUND_ROWS if scope == "global" else V.LOCAL_BACKGROUND_ROWS
     background = background_sample(table, key, kernel_rows, seed)
@@ -332,7 +336,7 @@ def global_importance(
         rows = explain_sample(df, key, n, seed)
         phi = contributions(model, rows, df, key, "global", background_rows, kernel_rows, seed, orders)
         table = mean_absolute(phi, model.features, top_k)
-        if orders is not None and method != "shap_linear":
+        if orders is not None and method == "shap_kernel":
             method = f"{method}, {orders} orders"
     return table.select(
         F.lit(model.name).alias("model_name"), F.lit(method).alias("method"), "feature", "importance", "rank"

@@ -383,6 +383,65 @@ drops AS (SELECT feature, j, (SELECT accuracy FROM baseline) - sum(hits)::DOUBLE
   stddev_pop(hits::DOUBLE / n::DOUBLE) AS importance_std FROM trial JOIN features USING (feature) GROUP BY feature, j)"""
 
 
+# The forest with given splits, (tree, node, signal, threshold, left, right).
+FOREST_NODES = """(VALUES
+  (0, 0, 'avg_cpu_usage', 35.0, 1, 2), (0, 1, 'request_rate', 500.0, 3, 4), (0, 2, 'mem_growth', 8.0, 5, 6),
+  (0, 4, 'avg_cpu_usage', 15.0, 7, 8), (0, 5, 'error_rate', 0.5, 9, 10),
+  (1, 0, 'upstream_error_rate', 0.0, 1, 2), (1, 1, 'timeout_log_count', 29.5, 3, 4),
+  (1, 2, 'dependency_latency', 150.0, 5, 6), (1, 6, 'upstream_error_rate', 0.25, 7, 8),
+  (2, 0, 'latency', 130.0, 1, 2), (2, 1, 'oom_log_count', 3.5, 3, 4), (2, 2, 'latency', 250.0, 5, 6),
+  (2, 3, 'latency', 90.0, 7, 8), (2, 5, 'request_rate', 250.0, 9, 10)) AS t(tree, node, signal, threshold, l, r)"""
+
+
+def forest_steps() -> str:
+    """CTEs of the forest with given splits: ``cover`` of every node, ``leaf_share`` per class."""
+    unpivot = " UNION ALL ".join(f"SELECT incident_id, {j} AS j, {s}::DOUBLE AS x FROM incidents" for j, s in enumerate(V.SIGNALS))
+    names = ", ".join(f"({j}, '{s}')" for j, s in enumerate(V.SIGNALS))
+    return f"""signals(j, signal) AS (VALUES {names}),
+xs AS ({unpivot}),
+splits AS (SELECT tree, node, j, signal, threshold::DOUBLE AS threshold, l, r FROM {FOREST_NODES} JOIN signals USING (signal)),
+reach(incident_id, tree, node) AS (
+  WITH RECURSIVE g(incident_id, tree, node) AS (
+    SELECT incident_id, tree, 0 FROM incidents, (SELECT DISTINCT tree FROM splits)
+    UNION ALL
+    SELECT g.incident_id, g.tree, CASE WHEN x <= threshold THEN l ELSE r END
+    FROM g JOIN splits s ON g.tree = s.tree AND g.node = s.node JOIN xs ON xs.incident_id = g.incident_id AND xs.j = s.j)
+  SELECT * FROM g),
+cover AS (SELECT tree, node, count(*)::DOUBLE AS n FROM reach GROUP BY tree, node),
+class_names AS (SELECT DISTINCT {V.LABEL} AS class FROM incidents),
+leaf_count AS (SELECT tree, node, {V.LABEL} AS class, count(*)::DOUBLE AS n FROM reach JOIN incidents USING (incident_id) GROUP BY ALL),
+leaf_share AS (
+  SELECT c.tree, c.node, k.class, coalesce(m.n, 0.0) / c.n AS share
+  FROM cover c CROSS JOIN class_names k LEFT JOIN leaf_count m ON m.tree = c.tree AND m.node = c.node AND m.class = k.class
+  WHERE NOT EXISTS (SELECT 1 FROM splits s WHERE s.tree = c.tree AND s.node = c.node))"""
+
+
+def tree_shap_steps() -> str:
+    """CTE ``phi``: the score expected for every subset of a tree's signals, following the cover."""
+    return f"""{forest_steps()},
+used AS (SELECT tree, bit_or(1 << j) AS bits, count(DISTINCT j) AS m FROM splits GROUP BY tree),
+masks AS (SELECT tree, mask::INTEGER AS mask FROM used, range({2 ** len(V.SIGNALS)}) t(mask) WHERE mask & ~bits = 0),
+walked AS (
+  WITH RECURSIVE w(incident_id, tree, mask, node, part) AS (
+    SELECT incident_id, tree, mask, 0, 1.0::DOUBLE FROM incidents, masks
+    UNION ALL
+    SELECT w.incident_id, w.tree, w.mask, c.node, CASE WHEN w.mask & (1 << s.j) <> 0 THEN w.part ELSE w.part * c.n / p.n END
+    FROM w JOIN splits s ON w.tree = s.tree AND w.node = s.node
+    JOIN xs ON xs.incident_id = w.incident_id AND xs.j = s.j
+    JOIN cover c ON c.tree = w.tree AND c.node IN (s.l, s.r) JOIN cover p ON p.tree = w.tree AND p.node = w.node
+    WHERE w.mask & (1 << s.j) = 0 OR c.node = CASE WHEN x <= threshold THEN s.l ELSE s.r END)
+  SELECT * FROM w),
+worth AS (
+  SELECT incident_id, tree, mask, class, sum(part * share) / (SELECT count(*) FROM used) AS v
+  FROM walked JOIN leaf_share USING (tree, node) GROUP BY ALL),
+phi AS (
+  SELECT a.incident_id, a.class, s.j,
+    sum((b.v - a.v) * factorial(bit_count(a.mask)) * factorial((u.m - bit_count(a.mask) - 1)::INTEGER) / factorial(u.m::INTEGER)) AS v
+  FROM worth a JOIN used u USING (tree) JOIN signals s ON u.bits & (1 << s.j) <> 0 AND a.mask & (1 << s.j) = 0
+  JOIN worth b ON b.incident_id = a.incident_id AND b.tree = a.tree AND b.class = a.class AND b.mask = a.mask | (1 << s.j)
+  GROUP BY ALL)"""
+
+
 def oracle_sql() -> dict[str, str]:
     inc, sim, label = OBSERVED, SIMULATED, V.LABEL
     card = CARDS[0]
@@ -488,6 +547,14 @@ def oracle_sql() -> dict[str, str]:
         "permutation_whole": f"{inc},\n{FEATURE_VALUES},\nex AS (SELECT * FROM incidents),\n{permutation_steps(card)} "
         f"SELECT feature, {r6('importance')}, {r6('importance_std')}, row_number() OVER (ORDER BY importance DESC, j)::INTEGER AS rank FROM drops",
         "model_roundtrip": f"{inc},\n{sp} SELECT count(*) AS n, count(*) AS n_same FROM split WHERE part = 2",
+        "tree_nodes": f"{inc}, {forest_steps()} SELECT c.tree, c.node, s.signal AS feature, s.threshold, coalesce(s.l, -1) AS \"left\", coalesce(s.r, -1) AS \"right\", c.n AS cover, "
+        + ", ".join(r6(f"max(f.share) FILTER (f.class = '{c}') / 3", f"value_{c}") for c in sorted(V.SCORECARD))
+        + " FROM cover c LEFT JOIN splits s USING (tree, node) LEFT JOIN leaf_share f USING (tree, node) GROUP BY ALL",
+        "tree_shap": f"{inc}, {tree_shap_steps()} SELECT i.incident_id, k.class, g.signal AS feature, {r6('coalesce(p.v, 0.0)', 'shap_value')} "
+        "FROM incidents i CROSS JOIN class_names k CROSS JOIN signals g LEFT JOIN phi p ON p.incident_id = i.incident_id AND p.class = k.class AND p.j = g.j",
+        "tree_importance_paths": f"{inc}, {tree_shap_steps()}, means AS (SELECT j, sum(abs(v)) AS total FROM phi GROUP BY j), "
+        f"ranked AS (SELECT signal, j, coalesce(total, 0.0) / (SELECT count(*) FROM incidents) / {len(V.SCORECARD)} AS importance FROM signals LEFT JOIN means USING (j)) "
+        f"SELECT 'Fixed forest' AS model_name, 'shap_tree' AS method, signal AS feature, {r6('importance')}, row_number() OVER (ORDER BY importance DESC, j)::INTEGER AS rank FROM ranked",
         "exact_shapley": f"{exact},\n{shapley_steps(card)},\n{CLASS_VALUES},\n{FEATURE_VALUES} "
         f"SELECT incident_id, class, feature, {r6('v', 'shap_value')} FROM phi JOIN classes USING (c) JOIN features USING (j)",
         "global_importance": f"{rca},\n{importance_steps()} SELECT '{card.name}' AS model_name, 'shap_linear' AS method, feature, {r6('importance')}, rank FROM ranked",

@@ -2,7 +2,8 @@
 
 A fitted model is two MLlib pipelines, ``prep`` (features) and ``heads`` (one multiclass
 model, or one binary model per class), and a card with what MLlib does not keep: class
-names, parameters and calibration.
+names, parameters and calibration. Boosting is not MLlib's, which knows two classes only;
+see ``boosting``.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     RandomForestClassifier,
@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from culprit import fixed_values as V
+from culprit.operators.boosting import BINS, BoostedModel, fit_boosting, search_boosting
+from culprit.operators.logistic import MOST_PARAMETERS, search_logistic
 from culprit.operators.scoring import predicted_class
 from culprit.operators.trees import forest_nodes
 
@@ -104,7 +106,7 @@ class FittedModel:
     def kind(self) -> str:
         if self.family == "svm":
             return "linear" if self.fourier is None else "kernel"
-        return {"logistic": "linear", "forest": "tree", "boosting": "boosting"}[self.family]
+        return {"logistic": "linear", "forest": "tree"}[self.family]
 
     def prepared(self, df: DataFrame) -> DataFrame:
         return with_fourier(self.prep.transform(df), self.fourier)
@@ -124,7 +126,7 @@ class FittedModel:
             best = "proba"
         else:
             scored = self.margins(df)
-            # Boosting margins are half log-odds; support vector margins are calibrated.
+            # Margins that were not calibrated are taken for half the log-odds.
             lines = self.calibration or [(2.0, 0.0)] * len(self.classes)
             scored = scored.withColumns(
                 {f"_p{i}": F.expr(f"1D / (1D + exp(-({a!r}D * _margins[{i}] + {b!r}D)))") for i, (a, b) in enumerate(lines)}
@@ -180,11 +182,10 @@ class FittedModel:
         return forest_nodes(spark, self.heads.stages[0])
 
     def tree_importance(self) -> list[tuple[str, float]]:
-        """Impurity importance, largest first; the mean over the per-class models for boosting."""
-        if self.kind not in ("tree", "boosting"):
+        """Impurity importance, largest first."""
+        if self.kind != "tree":
             raise ValueError(f"{self.name} has no trees")
-        each = np.array([h.featureImportances.toArray() for h in self.heads.stages])
-        mean = each.mean(axis=0)
+        mean = self.heads.stages[0].featureImportances.toArray()
         order = np.argsort(-mean, kind="stable")
         return [(self.features[j], float(mean[j])) for j in order]
 
@@ -243,8 +244,10 @@ def fit(
     seed: int = V.SEED,
     parallelism: int = 4,
     calibrate: bool = True,
-) -> FittedModel:
+) -> FittedModel | BoostedModel:
     """Fit one family with one grid point on a table with ``label_index``."""
+    if spec.family == "boosting":
+        return fit_boosting(df, params, features, classes, spec.options.get("bins", BINS))
     n = df.count()
     prep = fit_prep(df, spec.family, features, n)
     if spec.family == "logistic":
@@ -277,21 +280,6 @@ def fit(
         )
         heads = PipelineModel([head.fit(prep.transform(df))])
         return FittedModel(spec.name, spec.family, params, classes, features, prep, heads)
-    if spec.family == "boosting":
-        def booster(i: int):
-            booster = GBTClassifier(
-                labelCol=f"_is{i}",
-                featuresCol="_features",
-                predictionCol=f"_prediction{i}",
-                maxIter=params["n_estimators"],
-                stepSize=params.get("learning_rate", 0.1),
-                maxDepth=params.get("max_depth", 3),
-                seed=seed,
-            )
-            return booster.setRawPredictionCol(f"_raw{i}").setProbabilityCol(f"_proba{i}")
-
-        heads = one_per_class(prep.transform(df), len(classes), booster, parallelism)
-        return FittedModel(spec.name, spec.family, params, classes, features, prep, heads)
     fourier = None
     if params.get("kernel", "rbf") == "rbf":
         gamma = kernel_width(params.get("gamma", "scale"), prep)
@@ -379,11 +367,16 @@ def grid_search(
 ) -> tuple[FittedModel, list[dict]]:
     """Mean accuracy of every grid point over the folds, and the best point fitted on all rows.
 
-    ``train`` has ``label_index`` and ``fold``. The loop over points and folds is written
-    out because the regularisation of a point depends on the rows of its fold. Every fit
+    ``train`` has ``label_index`` and ``fold``. Boosting and logistic regression fit all points
+    and folds in the same scans, logistic regression up to so many weights as one step can hold. For the other families the loop over points and folds is written out because the regularisation of a point depends on the rows of its fold. Every fit
     is a set of distributed jobs; ``parallelism`` of them are in flight at a time.
     """
     points = spec.points()
+    if spec.family == "boosting":
+        return search_boosting(train, points, features, classes, folds, spec.options.get("bins", BINS))
+    if spec.family == "logistic" and len(classes) * (len(features) + 1) <= MOST_PARAMETERS:
+        results, _ = search_logistic(train, [p["C"] for p in points], features, classes, folds)
+        return fit(train, spec, best_point(points, results), features, classes, seed, parallelism), results
     trials = [(p, k) for k in range(folds) for p in points]
 
     def trial(which):
@@ -393,7 +386,10 @@ def grid_search(
 
     with ThreadPool(parallelism) as pool:
         results = pool.map(trial, trials)
+    return fit(train, spec, best_point(points, results), features, classes, seed, parallelism), results
+
+
+def best_point(points: list[dict], results: list[dict]) -> dict:
+    """The grid point of the best mean accuracy over the folds, the first of equals."""
     means = [float(np.mean([r["accuracy"] for r in results if r["params"] == p])) for p in points]
-    best = points[int(np.argmax(means))]
-    model = fit(train, spec, best, features, classes, seed, parallelism)
-    return model, results
+    return points[int(np.argmax(means))]

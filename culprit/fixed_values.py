@@ -146,6 +146,9 @@ LOCAL_EXAMPLES = 3
 RCA_CAUSES = 3
 RCA_FEATURES = 8
 HISTOGRAM_BINS = 30
+DENSITY_POINTS = 200
+DENSITY_CELLS = 512
+PAIR_BINS = 20
 
 # Parameter grids per model family; None means no depth limit.
 GRIDS = {

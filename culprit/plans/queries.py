@@ -1,4 +1,4 @@
-"""Queries that fit models. They use whole splits, with short grids and few rounds."""
+"""Queries that fit models. They use whole splits; forests and support vector machines have short grids."""
 
 from __future__ import annotations
 
@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from culprit import fixed_values as V
 from culprit.operators import explain, metrics, scoring, splits
+from culprit.operators.boosting import fit_boosting, search_boosting
 from culprit.operators.estimators import FAMILIES, ModelSpec, fit, grid_search, registry
+from culprit.operators.logistic import search_logistic
+from culprit.operators.trees import tree_contributions
 from culprit.plans.stages import (
     evaluate_models,
     explain_models,
@@ -21,11 +24,12 @@ from culprit.sources.models import load_model, model_folder, save_model
 from culprit.sources.shared import fresh_path, written
 from culprit.sources.tables import read_split, write_splits
 
+PATH_COSTS = [10.0 ** (i / 4) for i in range(-12, 8)]
 SHORT_SVM = {"max_iter": 20, "calibration_folds": 3, "dims": 64}
 SHORT_GRIDS = {
-    "Logistic Regression": {"C": [0.1, 1]},
+    "Logistic Regression": V.GRIDS["Logistic Regression"],
     "Random Forest": {"n_estimators": [20], "max_depth": [8]},
-    "Gradient Boosting": {"n_estimators": [5], "learning_rate": [0.1]},
+    "Gradient Boosting": {"n_estimators": [100], "learning_rate": [0.1]},
     "SVM (RBF)": {"C": [1], "gamma": ["scale"]},
 }
 
@@ -78,6 +82,27 @@ def queries(table: Callable, key: str) -> dict[str, Callable[[SparkSession, str]
         rows = [(float(r["params"]["C"]), r["fold"], r["accuracy"]) for r in results]
         return spark.createDataFrame(rows, "C double, fold int, accuracy double")
 
+    def logistic_path(spark, folder):
+        """Twenty penalties on every fold, fitted in the same scans."""
+        train, classes = training_table(part(spark, folder, "train"), key)
+        results, _ = search_logistic(train, PATH_COSTS, V.SIGNALS, classes)
+        rows = [(float(r["params"]["C"]), r["fold"], r["accuracy"]) for r in results]
+        return spark.createDataFrame(rows, "C double, fold int, accuracy double")
+
+    def grid_boosting(spark, folder):
+        """The whole grid of boosting on every fold, grown in the same scans."""
+        train, classes = training_table(part(spark, folder, "train"), key)
+        points = ModelSpec("Gradient Boosting", "boosting", V.GRIDS["Gradient Boosting"]).points()
+        _, results = search_boosting(train, points, V.SIGNALS, classes)
+        rows = [(r["params"]["n_estimators"], r["params"]["learning_rate"], r["fold"], r["accuracy"]) for r in results]
+        return spark.createDataFrame(rows, "n_estimators int, learning_rate double, fold int, accuracy double")
+
+    def boosting_shap(spark, folder):
+        """Path-dependent contributions to the scores of a jointly boosted model, whole evaluation split."""
+        train, classes = training_table(part(spark, folder, "train"), key)
+        one, rows = fit_boosting(train, {"n_estimators": 20, "learning_rate": 0.1}, V.SIGNALS, classes), part(spark, folder, "eval")
+        return explain.normalize_shap(tree_contributions(one, rows, key), key, one.classes, one.features)
+
     def grid_results(spark, folder):
         rows = [(m.name, p, str(v)) for m in trained(spark, folder)["models"] for p, v in m.params.items()]
         return spark.createDataFrame(rows, "model_name string, param string, value string")
@@ -140,10 +165,13 @@ def queries(table: Callable, key: str) -> dict[str, Callable[[SparkSession, str]
     return {
         "fit_logreg": fitted("Logistic Regression", {"C": 1}),
         "fit_forest": fitted("Random Forest", {"n_estimators": 50, "max_depth": 10}),
-        "fit_gbt": fitted("Gradient Boosting", {"n_estimators": 10, "learning_rate": 0.1}),
+        "fit_gbt": fitted("Gradient Boosting", {"n_estimators": 100, "learning_rate": 0.1}),
         "fit_svm_linear": fitted("SVM", {"C": 1, "kernel": "linear"}, max_iter=20, calibration_folds=3),
         "fit_svm_rbf": fitted("SVM (RBF)", {"C": 1, "gamma": "scale"}, max_iter=20, calibration_folds=3),
         "grid_search": search,
+        "logistic_path": logistic_path,
+        "grid_boosting": grid_boosting,
+        "boosting_shap": boosting_shap,
         "grid_results": grid_results,
         "train_leaderboard": lambda s, d: trained(s, d)["leaderboard"],
         "train_report": lambda s, d: trained(s, d)["report"],

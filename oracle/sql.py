@@ -538,6 +538,18 @@ def oracle_sql() -> dict[str, str]:
         "histogram": f"{inc}, ranges AS (SELECT {label}, min(latency) AS lo, (max(latency) - min(latency)) / {number(bins)} AS w FROM incidents GROUP BY {label}), "
         f"binned AS (SELECT {label}, least(coalesce(floor((latency - lo) / nullif(w, 0.0)), 0), {bins - 1})::INTEGER AS bin, lo, w FROM incidents JOIN ranges USING ({label})) "
         f"SELECT {label}, bin, {r6('lo + bin * w', 'bin_start')}, {r6('lo + (bin + 1) * w', 'bin_end')}, count(*) AS n FROM binned GROUP BY {label}, bin, lo, w",
+        "density_curve": f"{inc}, stats AS (SELECT {label}, min(latency) AS lo, max(latency) AS hi, count(*)::DOUBLE AS n, stddev_samp(latency) * pow(count(*)::DOUBLE, -0.2) AS h FROM incidents GROUP BY {label}), "
+        f"cells AS (SELECT {label}, least(floor((latency - lo) / ((hi - lo) / 512.0::DOUBLE)), 511) AS cell, count(*) AS k FROM incidents JOIN stats USING ({label}) WHERE hi > lo GROUP BY ALL), "
+        f"curve AS (SELECT {label}, g::INTEGER AS point, lo + g * (hi - lo) / 199.0::DOUBLE AS x, n, lo, hi, "
+        "sum(k * exp(-0.5::DOUBLE * pow((lo + g * (hi - lo) / 199.0::DOUBLE - (lo + (cell + 0.5) * ((hi - lo) / 512.0::DOUBLE))) / h, 2))) / (n * h * sqrt(2 * pi())) AS density "
+        f"FROM cells JOIN stats USING ({label}), range(200) t(g) GROUP BY {label}, g, lo, hi, n, h) "
+        f"SELECT {label}, point, {r6('x')}, {r6('density', digits=9)}, {r6('density * n * (hi - lo) / 30', 'height')} FROM curve",
+        "pair_table": f"{inc}, ends AS (SELECT {', '.join(f'min({s_}) AS lo_{s_}, max({s_}) AS hi_{s_}' for s_ in V.PROFILE_SIGNALS)} FROM incidents), "
+        f"placed AS (SELECT {label}, {', '.join(f'least(floor(({s_} - lo_{s_}) / ((hi_{s_} - lo_{s_}) / 20)), 19)::INTEGER AS {s_}' for s_ in V.PROFILE_SIGNALS)} FROM incidents, ends) "
+        + " UNION ALL ".join(
+            f"SELECT {label}, '{a}' AS signal_x, '{b}' AS signal_y, {a} AS bin_x, {b} AS bin_y, count(*) AS n FROM placed GROUP BY ALL"
+            for a, b in combinations(V.PROFILE_SIGNALS, 2)
+        ),
         "signal_profile": f"{inc} SELECT {label}, count(*) AS n, {profile} FROM incidents GROUP BY {label}",
         "linear_shap": f"{rca} SELECT incident_id, class, feature, {r6('v', 'shap_value')} FROM phi JOIN classes USING (c) JOIN features USING (j)",
         "local_explanation": f"{rca},\n{rca_steps(1, V.TOP_FEATURES)} SELECT incident_id, class, {r6('proba')}, {r6('base')}, feature_rank, feature, {r6('shap_value')} FROM rca",

@@ -85,3 +85,31 @@ def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared.shared_folder(Session())
+
+
+def test_density_curve_comes_close_to_the_kernel_sum_over_rows(spark):
+    import numpy as np
+
+    draw = np.random.default_rng(0)
+    values = {"a": draw.normal(size=400) * 3 + 1, "b": draw.exponential(size=250), "c": np.ones(5)}
+    rows = [(k, float(x)) for k, v in values.items() for x in v] + [("a", None)]
+    got = tables.density_curve(spark.createDataFrame(rows, f"{V.LABEL} string, x double"), "x").collect()
+    assert len(got) == 400 and {r[V.LABEL] for r in got} == {"a", "b"}
+    for r in got:
+        v = values[r[V.LABEL]]
+        h = v.std(ddof=1) * len(v) ** -0.2
+        plain = np.exp(-0.5 * ((r["x"] - v) / h) ** 2).sum() / (len(v) * h * np.sqrt(2 * np.pi))
+        assert abs(r["density"] - plain) < 2e-3 * max(plain, 0.05)
+        assert abs(r["height"] - r["density"] * len(v) * (v.max() - v.min()) / 30) < 1e-9
+
+
+def test_pair_table_counts_every_pair(spark):
+    rows = [("a", 0.0, 1.0, 5.0), ("a", 10.0, 2.0, 5.0), ("b", 5.0, None, 5.0), (None, 9.99, 1.5, 5.0)]
+    df = spark.createDataFrame(rows, f"{V.LABEL} string, x double, y double, z double")
+    got = {tuple(r) for r in tables.pair_table(df, ["x", "y", "z"], bins=10).collect()}
+    assert got == {
+        ("a", "x", "y", 0, 0, 1), ("a", "x", "y", 9, 9, 1), (None, "x", "y", 9, 5, 1),
+        ("a", "x", "z", 0, 0, 1), ("a", "x", "z", 9, 0, 1), ("b", "x", "z", 5, 0, 1), (None, "x", "z", 9, 0, 1),
+        ("a", "y", "z", 0, 0, 1), ("a", "y", "z", 9, 0, 1), (None, "y", "z", 5, 0, 1),
+    }
+    assert tables.pair_table(df.limit(0), ["x", "y"]).count() == 0

@@ -139,6 +139,7 @@ FOLDS = 5
 BACKGROUND_ROWS = 100
 EXPLAIN_ROWS = 200
 KERNEL_BACKGROUND_ROWS = 40
+KERNEL_SAMPLES = 80
 PERMUTATION_REPEATS = 10
 TOP_FEATURES = 20
 LOCAL_BACKGROUND_ROWS = 30

@@ -117,7 +117,7 @@ def _prepare(features: list[str], cuts: list[np.ndarray], start: np.ndarray):
                 continue
             binned = binned_rows(_columns(batch, features), cuts)
             packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, binned.size + 1, binned.shape[1], dtype=np.int32)), pa.py_buffer(binned.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("fold"), packed, _lists(np.tile(start, (n, 1)))], names=["y", "fold", "bins", "scores"])
+            yield pa.RecordBatch.from_arrays([batch.column("_y"), batch.column("_fold"), packed, _lists(np.tile(start, (n, 1)))], names=["y", "fold", "bins", "scores"])
 
     return prepare
 
@@ -340,14 +340,14 @@ def grow(
         raise ValueError("a feature can have at most 256 bins")
     n_bins = max(map(len, cuts), default=0) + 1
     growth = Growth(tasks, len(classes), len(features), n_bins)
-    rows = df.select(F.col("label_index").cast("int").alias("y"), F.col("fold").cast("int").alias("fold"), *[F.col(f).cast("double").alias(f) for f in features])
-    found = rows.groupBy("fold", "y").agg(F.count("*").alias("n")).collect()
+    rows = df.select(F.col("label_index").cast("int").alias("_y"), F.col("fold").cast("int").alias("_fold"), *[F.col(f).cast("double").alias(f) for f in features])
+    found = rows.groupBy("_fold", "_y").agg(F.count("*").alias("n")).collect()
     starts = []
     for task in tasks:
         n = np.zeros(len(classes))
         for r in found:
-            if task.without is None or r["fold"] != task.without:
-                n[r["y"]] += r["n"]
+            if task.without is None or r["_fold"] != task.without:
+                n[r["_y"]] += r["n"]
         share = np.maximum(n / max(n.sum(), 1), 1e-12)
         starts.append([math.log(share[1] / share[0])] if growth.scores == 1 else np.log(share).tolist())
     # A task's sums are as large whatever its rows, so a small table is held in few parts.
@@ -394,7 +394,7 @@ def staged_hits(df: DataFrame, models: list[tuple[BoostedModel, int]], stages: l
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for batch in batches:
-            x, y, fold = _columns(batch, features), *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "fold"))
+            x, y, fold = _columns(batch, features), *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("_y", "_fold"))
             for m, (model, own) in enumerate(models):
                 rows = fold == own
                 if rows.any():
@@ -403,7 +403,7 @@ def staged_hits(df: DataFrame, models: list[tuple[BoostedModel, int]], stages: l
         columns = list(zip(*out)) or [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["model", "stage", "hits", "n"])
 
-    rows = df.select(F.col("label_index").cast("int").alias("y"), F.col("fold").cast("int").alias("fold"), *[F.col(f).cast("double").alias(f) for f in features])
+    rows = df.select(F.col("label_index").cast("int").alias("_y"), F.col("fold").cast("int").alias("_fold"), *[F.col(f).cast("double").alias(f) for f in features])
     table = rows.mapInArrow(count, "model long, stage long, hits long, n long").groupBy("model", "stage")
     return {(r["model"], r["stage"]): r["hits"] / r["n"] for r in table.agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).collect()}
 

@@ -9,7 +9,11 @@ of a row needs no shuffle.
 from __future__ import annotations
 
 import math
+import random
+from collections import Counter
+from itertools import combinations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,7 +69,7 @@ def shapley(model, df: DataFrame, background: DataFrame, key: str, tasks: int |
     """
     m = len(model.features)
     if 2**m > MOST_SUBSETS:
-        raise ValueError(f"{m} features have {2**m} subsets: ask for random orders (orders=n)")
+        raise ValueError(f"{m} features have {2**m} subsets: ask for random orders (orders=n) or sampled subsets (samples=n)")
     expanded = _spread(_called(model, df), key, tasks).withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2**m - 1))))
     inside = [f"(_mask & {1 << j}) <> 0" for j in range(m)]
     values = _subset_values(model, expanded, _inlined(background, model.features), inside, [key, CALLED, "_mask"])
@@ -130,6 +134,78 @@ def sampled_shapley(
     return _as_arrays(values.groupBy(key, CALLED).agg(*sums, *ends), key, n, m)
 
 
+def coalitions(m: int, samples: int, seed: int = V.SEED) -> tuple[list[list[int]], list[float]]:
+    """Feature subsets (1 inside, 0 outside) and their weights, the empty and the whole one left out.
+
+    Sizes are taken in pairs, from the outside in, as a size and its complement weigh most
+    there: whole while the budget lasts, the rest as drawn subsets with their complements,
+    which share the weight of the sizes that are not whole. A budget of 2 ** m - 2 takes all.
+    """
+    weight = {s: (m - 1) / (s * (m - s)) for s in range(1, m)}  # of all subsets of a size
+    chosen: dict[tuple[int, ...], float] = {}
+    left = list(range(1, m // 2 + 1))
+    while left:
+        sizes = sorted({left[0], m - left[0]})
+        count = sum(math.comb(m, s) for s in sizes)
+        if len(chosen) + count > samples:
+            break
+        for s in sizes:
+            for inside in combinations(range(m), s):
+                chosen[inside] = weight[s] / math.comb(m, s)
+        left.pop(0)
+    if left:
+        draw = random.Random(f"{seed}|coalitions|{m}")
+        sizes = [s for s in range(1, m) if min(s, m - s) in left]
+        mass, drawn = sum(weight[s] for s in sizes), Counter()
+        budget = max(2, samples - len(chosen))
+        for _ in range(64 * budget):
+            if len(drawn) >= budget - 1:
+                break
+            inside = tuple(sorted(draw.sample(range(m), draw.choices(sizes, [weight[s] for s in sizes])[0])))
+            drawn[inside] += 1
+            drawn[tuple(j for j in range(m) if j not in inside)] += 1
+        for inside, n in drawn.items():
+            chosen[inside] = mass * n / drawn.total()
+    return [[int(j in inside) for j in range(m)] for inside in chosen], list(chosen.values())
+
+
+def kernel_shap(
+    model, df: DataFrame, background: DataFrame, key: str, samples: int = V.KERNEL_SAMPLES, seed: int = V.SEED, tasks: int | None = None
+) -> DataFrame:
+    """Shapley values by weighted least squares over feature subsets (Lundberg and Lee, 2017).
+
+    All rows share one design of ``samples`` subsets, so the solution under the constraint
+    that contributions add up is the same linear map for every row: each value is a weighted
+    sum of the subsets' mean scores. Any number of features; additivity is exact, and with
+    2 ** m - 2 subsets or more the values are.
+    """
+    m, n = len(model.features), len(model.classes)
+    if m == 1:
+        return shapley(model, df, background, key, tasks)
+    design, weights = coalitions(m, samples, seed)
+    z, w = np.array(design, dtype=np.float64), np.array(weights)
+    # The last feature takes what the constraint leaves: regress on the differences to it.
+    reduced = z[:, :-1] - z[:, -1:]
+    solve = np.linalg.pinv(reduced.T @ (reduced * w[:, None])) @ (reduced * w[:, None]).T
+    on_subset = np.concatenate([solve, -solve.sum(axis=0, keepdims=True)])  # feature x subset, of v - base
+    on_total = -on_subset @ z[:, -1]  # of full - base
+    on_total[-1] += 1
+    subsets = [[0] * m, *design, [1] * m]
+    bits = F.lit(subsets)
+    expanded = _spread(_called(model, df), key, tasks).withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(len(subsets) - 1))))
+    expanded = expanded.withColumn("_in", F.get(bits, F.col("_s")))
+    inside = [f"_in[{j}] = 1" for j in range(m)]
+    values = _subset_values(model, expanded, _inlined(background, model.features), inside, [key, CALLED, "_s"])
+    # The weight of every subset's value in each feature's: its own, the base's and the whole's.
+    rest = on_subset.sum(axis=1)
+    table = [[float(-rest[j] - on_total[j]), *map(float, on_subset[j]), float(on_total[j])] for j in range(m)]
+    values = values.withColumn("_w", F.get(F.lit([list(row) for row in zip(*table)]), F.col("_s")))
+    sums = [F.expr(f"sum(_w[{j}] * _v{c}) AS _phi{c}_{j}") for c in range(n) for j in range(m)]
+    ends = [F.expr(f"max(CASE WHEN _s = 0 THEN _v{c} END) AS _base{c}") for c in range(n)]
+    ends += [F.expr(f"max(CASE WHEN _s = {len(subsets) - 1} THEN _v{c} END) AS _full{c}") for c in range(n)]
+    return _as_arrays(values.groupBy(key, CALLED).agg(*sums, *ends), key, n, m)
+
+
 CALLED = "_called"
 
 
@@ -292,12 +368,14 @@ def contributions(
     kernel_rows: int | None = None,
     seed: int = V.SEED,
     orders: int | None = None,
+    samples: int | None = None,
 ) -> DataFrame:
     """Contributions of ``rows`` with the background drawn from ``table``.
 
     Trees are explained along their own paths, without a background. Models without a closed
     form are explained exactly, over all feature subsets, or, where the caller asks for it, by
-    so many random ``orders``; the size of the model decides nothing.
+    so many random ``orders`` or weighted ``samples`` of subsets; the size of the model decides
+    nothing.
     """
     method = choose_method(model.kind, len(model.classes), scope)
     if method == "shap_linear":
@@ -307,6 +385,8 @@ def contributions(
     if kernel_rows is None:
         kernel_rows = V.KERNEL_BACKGROUND_ROWS if scope == "global" else V.LOCAL_BACKGROUND_ROWS
     background = background_sample(table, key, kernel_rows, seed)
+    if samples is not None:
+        return kernel_shap(model, rows, background, key, samples, seed)
     if orders is not None:
         return sampled_shapley(model, rows, background, key, orders, seed)
     return shapley(model, rows, background, key)

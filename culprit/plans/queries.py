@@ -12,6 +12,8 @@ from culprit.operators import explain, metrics, scoring, splits
 from culprit.operators.boosting import fit_boosting, search_boosting
 from culprit.operators.estimators import FAMILIES, ModelSpec, fit, grid_search, registry
 from culprit.operators.logistic import search_logistic
+from culprit.operators.machines import fit_pair_machines
+from culprit.operators.scorecard import Scorecard
 from culprit.operators.trees import tree_contributions
 from culprit.plans.stages import (
     evaluate_models,
@@ -103,6 +105,21 @@ def queries(table: Callable, key: str) -> dict[str, Callable[[SparkSession, str]
         one, rows = fit_boosting(train, {"n_estimators": 20, "learning_rate": 0.1}, V.SIGNALS, classes), part(spark, folder, "eval")
         return explain.normalize_shap(tree_contributions(one, rows, key), key, one.classes, one.features)
 
+    def pair_machines(params):
+        def run(spark, folder):
+            train, classes = training_table(part(spark, folder, "train"), key)
+            one = fit_pair_machines(train, params, V.SIGNALS, classes, key)
+            return metrics.classification_report(scoring.score_models([one], part(spark, folder, "val"), V.LABEL, key))
+
+        return run
+
+    def kernel_values(spark, folder):
+        """Weighted subsets, as many as the defaults say, for the sample of rows the defaults say."""
+        card, rows = Scorecard.fixed(), table(spark, folder)
+        background = explain.background_sample(rows, key, V.KERNEL_BACKGROUND_ROWS)
+        phi = explain.kernel_shap(card, explain.explain_sample(rows, key), background, key)
+        return explain.normalize_shap(phi, key, card.classes, card.features)
+
     def grid_results(spark, folder):
         rows = [(m.name, p, str(v)) for m in trained(spark, folder)["models"] for p, v in m.params.items()]
         return spark.createDataFrame(rows, "model_name string, param string, value string")
@@ -169,6 +186,9 @@ def queries(table: Callable, key: str) -> dict[str, Callable[[SparkSession, str]
         "fit_svm_linear": fitted("SVM", {"C": 1, "kernel": "linear"}, max_iter=20, calibration_folds=3),
         "fit_svm_rbf": fitted("SVM (RBF)", {"C": 1, "gamma": "scale"}, max_iter=20, calibration_folds=3),
         "grid_search": search,
+        "fit_svm_pairs": pair_machines({"C": 1, "kernel": "linear"}),
+        "fit_svm_landmarks": pair_machines({"C": 1, "kernel": "rbf", "gamma": "scale"}),
+        "kernel_shap": kernel_values,
         "logistic_path": logistic_path,
         "grid_boosting": grid_boosting,
         "boosting_shap": boosting_shap,

@@ -6,7 +6,6 @@ where the rows are; what is shuffled has at most models x classes x classes rows
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -176,9 +175,9 @@ def roc_auc(scored: DataFrame, by: list[str], score: str, positive: str, buckets
     """Area under the ROC curve per group: the share of correctly ordered pairs, ties half.
 
     Equal scores are merged first (with pre-aggregation, so a score shared by a third of
-    the rows is one row). The distinct scores are then cut into ranges of about ``RANGE_ROWS``;
-    ranks run inside a range, and the counts of the lower ranges are added. No group is
-    sorted in one task.
+    the rows is one row). The distinct scores are then dealt by range, about ``RANGE_ROWS`` a
+    partition; ranks run inside a partition, and the counts of the lower partitions are added.
+    No group is sorted in one task, and no limits are fetched to the driver.
     """
     ties = written(
         scored.groupBy(*by, F.col(score).cast("double").alias("_score")).agg(
@@ -188,14 +187,8 @@ def roc_auc(scored: DataFrame, by: list[str], score: str, positive: str, buckets
         "scores",
     )
     buckets = buckets or max(16, ties.count() // RANGE_ROWS)
-    steps = [i / buckets for i in range(1, buckets)]
-    quantiles = F.percentile_approx("_score", steps, 4 * buckets)
-    cuts = sorted(set(ties.agg(quantiles.alias("q")).first()["q"] or []))
-    if cuts:
-        edges = [float("-inf"), *cuts, float("inf")]
-        ranged = Bucketizer(splits=edges, inputCol="_score", outputCol="_range", handleInvalid="keep").transform(ties)
-    else:
-        ranged = ties.withColumn("_range", F.lit(0.0))
+    # Written, so that a range keeps its number whoever computes it again.
+    ranged = written(ties.repartitionByRange(buckets, "_score").withColumn("_range", F.spark_partition_id()), "ranges")
     # Pairs won against lower scores of the same range; then, from one row per range,
     # against all lower ranges.
     inside = Window.partitionBy(*by, "_range").orderBy("_score")

@@ -31,7 +31,7 @@ SHORT_SVM = {"max_iter": 20, "calibration_folds": 3, "dims": 64}
 SHORT_GRIDS = {
     "Logistic Regression": V.GRIDS["Logistic Regression"],
     "Random Forest": {"n_estimators": [20], "max_depth": [8]},
-    "Gradient Boosting": {"n_estimators": [100], "learning_rate": [0.1]},
+    "Gradient Boosting": {"n_estimators": [20], "learning_rate": [0.1]},
     "SVM (RBF)": {"C": [1], "gamma": ["scale"]},
 }
 
@@ -160,7 +160,11 @@ def queries(table: Callable, key: str) -> dict[str, Callable[[SparkSession, str]
         return evaluate_models(models, part(spark, folder, "eval"), key, out=fresh_path(spark, "evaluation"))[1]
 
     def forest_shap(spark, folder):
-        one, rows = model(spark, folder, "Random Forest"), part(spark, folder, "eval")
+        train, classes = training_table(part(spark, folder, "train"), key)
+        spec = ModelSpec("Random Forest", "forest", {})
+        one = fit(train.persist(), spec, {"n_estimators": 100, "max_depth": 10}, V.SIGNALS, classes)
+        train.unpersist()
+        rows = part(spark, folder, "eval")
         phi = explain.contributions(one, rows, rows, key)
         return explain.normalize_shap(phi, key, one.classes, one.features)
 

@@ -562,7 +562,7 @@ def oracle_sql() -> dict[str, str]:
         "tree_nodes": f"{inc}, {forest_steps()} SELECT c.tree, c.node, s.signal AS feature, s.threshold, coalesce(s.l, -1) AS \"left\", coalesce(s.r, -1) AS \"right\", c.n AS cover, "
         + ", ".join(r6(f"max(f.share) FILTER (f.class = '{c}') / 3", f"value_{c}") for c in sorted(V.SCORECARD))
         + " FROM cover c LEFT JOIN splits s USING (tree, node) LEFT JOIN leaf_share f USING (tree, node) GROUP BY ALL",
-        "tree_shap": f"{inc}, {tree_shap_steps()} SELECT i.incident_id, k.class, g.signal AS feature, {r6('coalesce(p.v, 0.0)', 'shap_value')} "
+        "tree_shap": f"{inc}, {tree_shap_steps()} SELECT i.incident_id, k.class, g.signal AS feature, {r6('coalesce(p.v, 0.0)', 'shap_value', 8)} "
         "FROM incidents i CROSS JOIN class_names k CROSS JOIN signals g LEFT JOIN phi p ON p.incident_id = i.incident_id AND p.class = k.class AND p.j = g.j",
         "tree_importance_paths": f"{inc}, {tree_shap_steps()}, means AS (SELECT j, sum(abs(v)) AS total FROM phi GROUP BY j), "
         f"ranked AS (SELECT signal, j, coalesce(total, 0.0) / (SELECT count(*) FROM incidents) / {len(V.SCORECARD)} AS importance FROM signals LEFT JOIN means USING (j)) "

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from culprit import fixed_values as V
 from culprit.operators import explain, metrics, scoring, splits
-from culprit.operators.boosting import fit_boosting, search_boosting
+from culprit.operators.boosting import fit_boosting
 from culprit.operators.estimators import FAMILIES, ModelSpec, fit, grid_search, registry
 from culprit.operators.logistic import search_logistic
 from culprit.operators.machines import fit_pair_machines
@@ -91,14 +91,6 @@ def queries(table: Callable, key: str) -> dict[str, Callable[[SparkSession, str]
         rows = [(float(r["params"]["C"]), r["fold"], r["accuracy"]) for r in results]
         return spark.createDataFrame(rows, "C double, fold int, accuracy double")
 
-    def grid_boosting(spark, folder):
-        """The whole grid of boosting on every fold, grown in the same scans."""
-        train, classes = training_table(part(spark, folder, "train"), key)
-        points = ModelSpec("Gradient Boosting", "boosting", V.GRIDS["Gradient Boosting"]).points()
-        _, results = search_boosting(train, points, V.SIGNALS, classes)
-        rows = [(r["params"]["n_estimators"], r["params"]["learning_rate"], r["fold"], r["accuracy"]) for r in results]
-        return spark.createDataFrame(rows, "n_estimators int, learning_rate double, fold int, accuracy double")
-
     def boosting_shap(spark, folder):
         """Path-dependent contributions to the scores of a jointly boosted model, whole evaluation split."""
         train, classes = training_table(part(spark, folder, "train"), key)
@@ -194,7 +186,6 @@ def queries(table: Callable, key: str) -> dict[str, Callable[[SparkSession, str]
         "fit_svm_landmarks": pair_machines({"C": 1, "kernel": "rbf", "gamma": "scale"}),
         "kernel_shap": kernel_values,
         "logistic_path": logistic_path,
-        "grid_boosting": grid_boosting,
         "boosting_shap": boosting_shap,
         "grid_results": grid_results,
         "train_leaderboard": lambda s, d: trained(s, d)["leaderboard"],

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from culprit.llm.quality import boost
-from culprit.llm.spans import apart_from, kept_as, span, with_matches, written_out
+from culprit.llm.spans import apart_from, covers, kept_as, span, with_matches, without_repeats, written_out
 
 # A run of local-part characters that fails from its start fails from every later place, so
 # matches begin at the start of a run or where the last match ended.
@@ -77,14 +77,11 @@ def features(found: Column, before: Column, after: Column) -> dict[str, Column]:
     }
 
 
-def with_cell(generator: str, text: str):
+def with_cell(generator: str):
     """A proposal as (start, end, cell): its features as one string name a cell of the model."""
 
     def write(m: Column) -> Column:
-        start = F.greatest(m["start"] - CONTEXT, F.lit(0))
-        before = F.substr(F.col(text), start + 1, m["start"] - start)
-        after = F.substr(F.col(text), m["end"] + 1, F.lit(CONTEXT))
-        cell = F.concat_ws(",", F.lit(generator), *features(m["found"], before, after).values())
+        cell = F.concat_ws(",", F.lit(generator), *features(m["found"], m["before"], m["after"]).values())
         return F.struct(m["start"].alias("start"), m["end"].alias("end"), cell.alias("cell"))
 
     return write
@@ -95,12 +92,12 @@ def with_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     patterns = {**dict(zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True)), **GENERATORS}
     for name, pattern in patterns.items():
-        rows = with_matches(rows, "_text", pattern, f"_{name}")
+        rows = with_matches(rows, "_text", pattern, f"_{name}", CONTEXT if name in GENERATORS else 0)
     keep = {"email": lambda m: F.lit(True), "ip": is_ip, "card": is_card, "phone": is_phone}
     rows = rows.withColumns({f"_{k}": kept_as(f"_{k}", k, i, keep[k]) for i, k in enumerate(KINDS)})
     rows = rows.withColumn("_base", F.concat(*[f"_{k}" for k in KINDS]))
     for name in GENERATORS:
-        rows = rows.withColumn(f"_{name}", F.transform(f"_{name}", with_cell(name, "_text")))
+        rows = rows.withColumn(f"_{name}", F.transform(f"_{name}", with_cell(name)))
     return rows.withColumn("_proposed", F.concat(*[f"_{name}" for name in GENERATORS])).drop("_text", *[f"_{n}" for n in GENERATORS])
 
 
@@ -113,9 +110,13 @@ def learn(spans: DataFrame, precision: float = PRECISION) -> list[str]:
     score from which the second half is right at the rate ``precision``. Features are small
     numbers, so the cells that reach the driver are bounded by their combinations.
     """
-    base = F.col("_base")
-    covers = lambda p: F.exists(base, lambda b: (p["start"] <= b["start"]) & (b["end"] <= p["end"]))
-    marked = F.transform("_proposed", lambda p: F.struct(p["cell"].alias("cell"), covers(p).cast("int").alias("y")))
+    def marks(p: Column) -> Column:
+        held = F.lit(False)
+        for kind in KINDS:
+            held = held | ((F.size(f"_{kind}") > 0) & covers(p, F.col(f"_{kind}")))
+        return F.struct(p["cell"].alias("cell"), held.cast("int").alias("y"))
+
+    marked = F.transform("_proposed", marks)
     half = (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("fit")
     rows = spans.select(half, F.explode_outer(marked).alias("p")).filter("p IS NOT NULL").groupBy("fit", "p.cell", "p.y").agg(F.count("*").alias("n"))
     counts = sorted(tuple(r) for r in rows.collect())
@@ -151,9 +152,9 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     spans = with_spans(docs, key, text)
     chosen = learn(spans, precision)
-    rows = spans.withColumn("_rest", apart_from("_proposed", "_base"))
+    rows = spans.withColumn("_rest", apart_from("_proposed", [f"_{kind}" for kind in KINDS]))
     picked = F.filter("_rest", lambda p: p["cell"].isin(chosen)) if chosen else F.filter("_rest", lambda p: F.lit(False))
-    rows = rows.withColumn("_more", F.array_distinct(F.transform(picked, lambda p: span(p["start"], p["end"], "likely", len(KINDS)))))
+    rows = rows.withColumn("_more", without_repeats(F.transform(picked, lambda p: span(p["start"], p["end"], "likely", len(KINDS)))))
     return rows.select(
         "doc_id",
         *[F.size(f"_{kind}").cast("long").alias(f"n_{kind}") for kind in KINDS],

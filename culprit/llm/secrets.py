@@ -7,15 +7,20 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from culprit.llm.spans import apart_from, kept_as, span, with_matches, written_out
+from culprit.llm.common import kept_table
+from culprit.llm.spans import apart_from, bound, kept_as, span, with_matches, written_out
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
 LEAST = 16
 TOKEN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+SHORT = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9]{{1,{LEAST - 1}}}+(?![A-Za-z0-9+/_=-])"
 RATE = 0.05
 BINS = 80
+LAST_CLASS = 72
+NULL_LETTERS = 1 << 19
+STRUNG = 512  # short words in one string
 KINDS = ("assign", "access", "hex")
 
 
@@ -38,95 +43,152 @@ def _log_tail(z: Column) -> Column:
     return -F.log1p(F.exp(0.07056 * z * z * z + 1.5976 * z))
 
 
-def evidence(token: Column, alphabet: Column) -> Column:
+def evidence(token: Column) -> Column:
     """Sum of the log p-values of three tests that the characters are drawn evenly and apart.
 
-    Chi-squared of the character counts (Wilson and Hilferty's cube root), Wald and
-    Wolfowitz's runs above and below the middle of the alphabet, and the serial correlation
-    of neighbouring ranks. Near zero for random strings, far below for words.
+    Chi-squared of the character counts over the inferred alphabet (Wilson and Hilferty's cube
+    root), Wald and Wolfowitz's runs above and below the middle of the alphabet, and the serial
+    correlation of neighbouring ranks. Near zero for random strings, far below for words.
+    Alphabet and ranks are worked out once; the time is in proportion to the length.
     """
-    k, n = F.length(alphabet).cast("double"), F.length(token).cast("double")
-    signs = F.filter(F.array_distinct(F.split(token, "")), lambda c: c != "")
-    squares = F.aggregate(signs, F.lit(0.0), lambda s, c: s + F.pow(n - F.length(F.replace(token, c, F.lit(""))), F.lit(2.0)))
+    return bound(F.struct(token.alias("token"), encoding(token).alias("alphabet")), _with_ranks)
+
+
+def _letters(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
+def _with_ranks(t: Column) -> Column:
+    """The numbers that the tests need, each from one pass by a built-in function."""
+    token, alphabet = t["token"], t["alphabet"]
+    ranks = F.transform(_letters(token), lambda c: F.instr(alphabet, c) - 1)
+    counts = F.transform(_letters(alphabet), lambda c: F.length(token) - F.length(F.replace(token, c, F.lit(""))))
+    half = F.ceil(F.length(alphabet) / 2).cast("int")
+    bits = F.concat(F.repeat(F.lit("0"), half), F.repeat(F.lit("1"), F.length(alphabet) - half))
+    halves = F.call_function("translate", token, alphabet, bits)
+    return bound(F.struct(F.length(alphabet).alias("k"), ranks.alias("ranks"), counts.alias("counts"), halves.alias("halves"), half.alias("half")), _tests)
+
+
+def _tests(t: Column) -> Column:
+    ranks, counts, halves = t["ranks"], t["counts"], t["halves"]
+    k, n = t["k"].cast("double"), F.size(ranks).cast("double")
+    zero = F.lit(0.0)
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, zero, lambda s, v: s + v)
+
+    squares = total(F.transform(counts, lambda c: c.cast("double") * c))
     spread = 2 / (9 * (k - 1))
     chi = (F.pow((k / n * squares - n) / (k - 1), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
-    zero = F.lit(0.0)
-    names = ("sum", "squares", "cross", "first", "last", "high", "runs", "seen")
-
-    def state(*values):
-        return F.struct(*[v.cast("double").alias(name) for name, v in zip(names, values, strict=True)])
-
-    def add(s: Column, i: Column) -> Column:
-        x = F.instr(alphabet, F.substring(token, i, F.lit(1))).cast("double") - 1
-        up, new = F.when(2 * x >= k, 1.0).otherwise(0.0), s["seen"] == 0
-        was = F.when(2 * s["last"] >= k, 1.0).otherwise(0.0)
-        return state(
-            s["sum"] + x, s["squares"] + x * x, F.when(new, zero).otherwise(s["cross"] + s["last"] * x),
-            F.when(new, x).otherwise(s["first"]), x, s["high"] + up,
-            s["runs"] + F.when(new | (was != up), 1.0).otherwise(0.0), s["seen"] + 1,
-        )
-
-    def finish(s: Column) -> Column:
-        mean = s["sum"] / n
-        vary = s["squares"] - n * mean * mean
-        together = s["cross"] - mean * (2 * s["sum"] - s["first"] - s["last"]) + (n - 1) * mean * mean
-        serial = F.when(vary > 1e-9, F.abs(together / vary) * F.sqrt(n)).otherwise(F.sqrt(n))
-        wanted = 2 * s["high"] * (n - s["high"]) / n + 1
-        width = (wanted - 1) * (wanted - 2) / (n - 1)
-        runs = F.when(width > 1e-9, F.abs(s["runs"] - wanted) / F.sqrt(width)).otherwise(F.sqrt(n))
-        return _log_tail(serial) + _log_tail(runs) + 2 * math.log(2)
-
-    start = state(*[zero] * len(names))
-    return _log_tail(chi) + F.aggregate(F.sequence(F.lit(1), F.length(token)), start, add, finish)
+    mean = total(F.transform(counts, lambda c, i: c.cast("double") * i)) / n
+    vary = total(F.transform(counts, lambda c, i: c.cast("double") * i * i)) - n * mean * mean
+    cross = total(F.zip_with(F.slice(ranks, 2, F.size(ranks)), F.slice(ranks, 1, F.size(ranks) - 1), lambda x, y: x.cast("double") * y))
+    ends = F.get(ranks, F.lit(0)) + F.element_at(ranks, -1)
+    together = cross - mean * (2 * n * mean - ends) + (n - 1) * mean * mean
+    serial = F.when(vary > 1e-9, F.abs(together / vary) * F.sqrt(n)).otherwise(F.sqrt(n))
+    high = total(F.slice(counts, t["half"] + 1, F.size(counts)))
+    runs = 1 + 2 * n - F.length(F.replace(halves, F.lit("01"), F.lit("0"))) - F.length(F.replace(halves, F.lit("10"), F.lit("1")))
+    wanted = 2 * high * (n - high) / n + 1
+    width = (wanted - 1) * (wanted - 2) / (n - 1)
+    apart = F.when(width > 1e-9, F.abs(runs - wanted) / F.sqrt(width)).otherwise(F.sqrt(n))
+    return _log_tail(chi) + _log_tail(serial) + _log_tail(apart) + 2 * math.log(2)
 
 
 def length_class(length: Column) -> Column:
-    """Half octaves of the length: 16, 23, 32, 46, 64, .. and all of 512 and more together."""
-    return F.least(F.floor(F.log2(length.cast("double")) * 2), F.lit(18)).cast("int")
+    """Eighths of an octave of the length up to 64, half octaves to 512, and all beyond together."""
+    octaves = F.log2(length.cast("double"))
+    return F.least(F.when(length < 64, F.floor(octaves * 8)).otherwise(F.floor(octaves * 2) * 4), F.lit(LAST_CLASS)).cast("int")
 
 
 def evidence_bin(token: Column) -> Column:
     """Evidence in half units from 0 (most random) to ``BINS``."""
-    return F.least(F.floor(-2 * evidence(token, encoding(token))), F.lit(BINS)).cast("int")
+    return F.least(F.floor(-2 * evidence(token)), F.lit(BINS)).cast("int")
 
 
-def thresholds(docs: DataFrame, text: str = "text", rate: float = RATE) -> dict[int, int]:
-    """For each length class the last evidence bin that is called random.
+def candidate(token: Column) -> Column:
+    """Letters and digits together, or letters in both cases, and none of the base patterns."""
+    mixed = (token.rlike("[A-Za-z]") & token.rlike("[0-9]")) | (token.rlike("[A-Z]") & token.rlike("[a-z]"))
+    return mixed & ~token.rlike(rf"{HEX}|AKIA[A-Z0-9]{{12}}")
+
+
+def null_strings(docs: DataFrame, classes: list[int], text: str = "text") -> DataFrame:
+    """``class`` and ``t``: the short words of the table strung together to the length of each class.
 
-    Tokens of letters only are the null sample of a class. The p-value of a bin is the share
-    of them at least as random; Benjamini and Hochberg's step-up rule, over the candidates of
-    the class, finds the last bin whose false discoveries stay below ``rate``. All tokens of
-    all documents are counted; what reaches the driver is one row per class and bin.
+    Words are the distinct runs of letters and digits that are too short for a candidate. In
+    an order by hash they are written one behind the other and cut into pieces of the least
+    length of each class, so every word comes once per class and there are as many pieces at
+    lengths that no word has. Where the vocabulary has fewer than ``NULL_LETTERS`` letters it
+    is strung together again in other orders, so that small p-values can be told apart.
     """
-    tokens = docs.select(F.explode_outer(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(0))).alias("t"))
-    tokens = tokens.filter("t IS NOT NULL").groupBy("t").agg(F.count("*").alias("m"))
-    kind = F.when(F.col("t").rlike(r"^[A-Za-z]+$"), "null").when(candidate(F.col("t")), "candidate")
-    counted = tokens.select(kind.alias("kind"), length_class(F.length("t")).alias("class"), "t", "m").filter("kind IS NOT NULL")
-    counted = counted.withColumn("bin", evidence_bin(F.col("t"))).groupBy("class", "kind", "bin").agg(F.sum("m").alias("m"))
-    sums: dict[tuple, int] = {(r["class"], r["kind"], r["bin"]): r["m"] for r in counted.collect()}
-    out = {}
-    for c in {key[0] for key in sums}:
-        null = [sums.get((c, "null", b), 0) for b in range(BINS + 1)]
-        mine = [sums.get((c, "candidate", b), 0) for b in range(BINS + 1)]
-        all_null, all_mine, seen_null, seen = sum(null), sum(mine), 0, 0
-        for b in range(BINS + 1):
-            seen_null, seen = seen_null + null[b], seen + mine[b]
-            if (seen_null + 1) / (all_null + 1) <= rate * seen / max(1, all_mine):
-                out[c] = b
-    return out
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    words = docs.select(F.explode_outer(F.regexp_extract_all(body, F.lit(SHORT), F.lit(0))).alias("w"))
+    words = kept_table(words.filter("w IS NOT NULL").distinct(), "short-words")
+    size = words.agg(F.count("*").alias("n"), F.sum(F.length("w")).alias("letters")).first()
+    rounds = math.ceil(NULL_LETTERS / max(1, size["letters"] or 0)) if size["n"] else 1
+    strung = words.select("w", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"))
+    part = F.pmod(F.xxhash64(F.lit(1), "w", "round"), F.lit(size["n"] // STRUNG + 1))
+    strung = strung.select("w", "round", F.xxhash64("w", "round").alias("h"), part.alias("part"))
+    strung = strung.repartition(max(32, rounds * (size["letters"] or 0) >> 19), "round", "part")
+    ordered = F.array_sort(F.collect_list(F.struct("h", "w")))
+    strung = strung.groupBy("round", "part").agg(F.array_join(F.transform(ordered, lambda s: s["w"]), "").alias("all"))
+    lengths = F.explode(F.array(*[F.struct(F.lit(c).alias("class"), F.lit(math.ceil(2 ** (c / 8))).alias("long")) for c in classes]))
+    cuts = strung.select("all", lengths.alias("c")).select("all", "c.class", "c.long").filter(F.length("all") >= F.col("long"))
+    starts = F.sequence(F.lit(1), F.length("all") - F.col("long") + 1, F.col("long"))
+    return cuts.select("class", "all", "long", F.explode(starts).alias("at")).select("class", F.substr("all", F.col("at"), F.col("long")).alias("t"))
+
+
+def step_up(null: dict[int, list[int]], mine: dict[int, list[int]], rate: float) -> dict[int, int]:
+    """For each class the last bin that is called random, by Benjamini and Hochberg's rule.
+
+    The p-value of a candidate is the share of the null strings of its class that are at least
+    as random. The p-values of all classes are stepped through together: the largest that is
+    at most ``rate`` times the share of candidates at or below it is the limit of all.
+    """
+    p_values: dict[int, list[float]] = {}
+    counts: dict[float, int] = {}
+    for c, bins in mine.items():
+        below, all_null, p_values[c] = 0, sum(null.get(c, [])), []
+        for b, n in enumerate(bins):
+            below += null[c][b] if c in null else 0
+            p_values[c].append((below + 1) / (all_null + 1))
+            if n:
+                counts[p_values[c][b]] = counts.get(p_values[c][b], 0) + n
+    total, seen, limit = sum(counts.values()), 0, -1.0
+    for p in sorted(counts):
+        seen += counts[p]
+        if p <= rate * seen / total:
+            limit = p
+    last = {c: max((b for b, p in enumerate(ps) if p <= limit), default=-1) for c, ps in p_values.items()}
+    return {c: b for c, b in last.items() if b >= 0}
 
 
-def candidate(token: Column) -> Column:
-    """Letters and digits together."""
-    return token.rlike("[A-Za-z]") & token.rlike("[0-9]")
+def thresholds(docs: DataFrame, text: str = "text", rate: float = RATE) -> dict[int, int]:
+    """For each length class the last evidence bin that is called random (see ``step_up``).
+
+    All distinct candidates of all documents are tested against strings of all its short
+    words; what reaches the driver is one row per class and bin.
+    """
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    tokens = docs.select(F.explode_outer(F.regexp_extract_all(body, F.lit(TOKEN), F.lit(0))).alias("t"))
+    tokens = tokens.filter("t IS NOT NULL").filter(candidate(F.col("t"))).distinct()
+    mine = _by_bin(tokens.select(length_class(F.length("t")).alias("class"), "t"))
+    return step_up(_by_bin(null_strings(docs, sorted(mine), text)) if mine else {}, mine, rate)
+
+
+def _by_bin(tokens: DataFrame) -> dict[int, list[int]]:
+    """How many of the strings fall into each bin, by class."""
+    out: dict[int, list[int]] = {}
+    for r in tokens.select("class", evidence_bin(F.col("t")).alias("bin")).groupBy("class", "bin").agg(F.count("*").alias("n")).collect():
+        out.setdefault(r["class"], [0] * (BINS + 1))[r["bin"]] = r["n"]
+    return out
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: float = RATE) -> DataFrame:
     """``doc_id``, counts and digest of the base spans, and all spans, one row per row.
 
     Base kinds are ``assign``, ``access`` and ``hex``. The battery adds ``random``: runs of
-    sixteen or more characters of an encoding, with letters and digits, that pass the
-    randomness tests at their length and overlap no base span. A null text is empty. Repeated
+    sixteen or more characters of an encoding, with letters and digits or both cases, that pass
+    the randomness tests at their length and overlap no base span. A null text is empty. Repeated
     rows give equal rows; a null id stays null; other columns are not read.
     """
     limits = thresholds(docs, text, rate)
@@ -143,7 +205,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rate:
         }
     ).drop("_text")
     rows = rows.withColumn("_base", F.concat("_assign", "_access", "_hex"))
-    rows = rows.withColumn("_random", apart_from("_random", "_base"))
+    rows = rows.withColumn("_random", apart_from("_random", ["_assign", "_access", "_hex"]))
     passes = F.lit(False)
     at = F.filter("_random", lambda m: _passes(m["found"], limits)) if limits else F.filter("_random", lambda m: passes)
     rows = rows.withColumn("_more", F.transform(at, lambda m: span(m["start"], m["end"], "random", 3)))
@@ -158,7 +220,5 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rate:
 
 
 def _passes(token: Column, limits: dict[int, int]) -> Column:
-    limit = F.lit(-1)
-    for c, last in sorted(limits.items()):
-        limit = F.when(length_class(F.length(token)) == c, last).otherwise(limit)
-    return evidence_bin(token) <= limit
+    limit = F.get(F.array(*[F.lit(limits.get(c, -1)) for c in range(LAST_CLASS + 1)]), length_class(F.length(token)))
+    return (limit >= 0) & (evidence_bin(token) <= limit)

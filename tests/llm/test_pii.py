@@ -88,3 +88,9 @@ def test_empty_table(spark):
     empty = pii.find_personal_data(spark.createDataFrame([], SCHEMA))
     assert empty.count() == 0
     assert empty.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_likely"]
+
+
+def test_a_text_with_very_many_matches(spark):
+    text = " ".join(f"a{i}@b{i}.com" for i in range(20_000))
+    row = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_email == 20_000 and row.spans.startswith("email:0:9,email:10:19,")

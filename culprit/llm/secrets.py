@@ -39,8 +39,8 @@ def encoding(token: Column) -> Column:
 
 def _log_tail(z: Column) -> Column:
     """Logarithm of the upper tail of the normal distribution, by a logistic fit."""
-    z = F.least(F.greatest(z, F.lit(-12.0)), F.lit(12.0))
-    return -F.log1p(F.exp(0.07056 * z * z * z + 1.5976 * z))
+    inside = F.least(F.greatest(z, F.lit(-12.0)), F.lit(12.0))
+    return bound(inside, lambda x: -F.log1p(F.exp(0.07056 * x * x * x + 1.5976 * x)))
 
 
 def evidence(token: Column) -> Column:
@@ -77,20 +77,30 @@ def _tests(t: Column) -> Column:
     def total(values: Column) -> Column:
         return F.aggregate(values, zero, lambda s, v: s + v)
 
-    squares = total(F.transform(counts, lambda c: c.cast("double") * c))
+    sums = {
+        "k": k,
+        "n": n,
+        "squares": total(F.transform(counts, lambda c: c.cast("double") * c)),
+        "mean": total(F.transform(counts, lambda c, i: c.cast("double") * i)) / n,
+        "power": total(F.transform(counts, lambda c, i: c.cast("double") * i * i)),
+        "cross": total(F.zip_with(F.slice(ranks, 2, F.size(ranks)), F.slice(ranks, 1, F.size(ranks) - 1), lambda x, y: x.cast("double") * y)),
+        "ends": F.get(ranks, F.lit(0)) + F.element_at(ranks, -1),
+        "high": total(F.slice(counts, t["half"] + 1, F.size(counts))),
+        "runs": 1 + 2 * n - F.length(F.replace(halves, F.lit("01"), F.lit("0"))) - F.length(F.replace(halves, F.lit("10"), F.lit("1"))),
+    }
+    return bound(F.struct(*[value.alias(name) for name, value in sums.items()]), _combined)
+
+
+def _combined(s: Column) -> Column:
+    k, n, mean, high = s["k"], s["n"], s["mean"], s["high"]
     spread = 2 / (9 * (k - 1))
-    chi = (F.pow((k / n * squares - n) / (k - 1), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
-    mean = total(F.transform(counts, lambda c, i: c.cast("double") * i)) / n
-    vary = total(F.transform(counts, lambda c, i: c.cast("double") * i * i)) - n * mean * mean
-    cross = total(F.zip_with(F.slice(ranks, 2, F.size(ranks)), F.slice(ranks, 1, F.size(ranks) - 1), lambda x, y: x.cast("double") * y))
-    ends = F.get(ranks, F.lit(0)) + F.element_at(ranks, -1)
-    together = cross - mean * (2 * n * mean - ends) + (n - 1) * mean * mean
+    chi = (F.pow((k / n * s["squares"] - n) / (k - 1), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
+    vary = s["power"] - n * mean * mean
+    together = s["cross"] - mean * (2 * n * mean - s["ends"]) + (n - 1) * mean * mean
     serial = F.when(vary > 1e-9, F.abs(together / vary) * F.sqrt(n)).otherwise(F.sqrt(n))
-    high = total(F.slice(counts, t["half"] + 1, F.size(counts)))
-    runs = 1 + 2 * n - F.length(F.replace(halves, F.lit("01"), F.lit("0"))) - F.length(F.replace(halves, F.lit("10"), F.lit("1")))
     wanted = 2 * high * (n - high) / n + 1
     width = (wanted - 1) * (wanted - 2) / (n - 1)
-    apart = F.when(width > 1e-9, F.abs(runs - wanted) / F.sqrt(width)).otherwise(F.sqrt(n))
+    apart = F.when(width > 1e-9, F.abs(s["runs"] - wanted) / F.sqrt(width)).otherwise(F.sqrt(n))
     return _log_tail(chi) + _log_tail(serial) + _log_tail(apart) + 2 * math.log(2)
 
 

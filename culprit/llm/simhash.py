@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from culprit.llm.common import components, kept_table, merge_labels, mixed, texts_of, word_blocks
+from culprit.llm.common import components, kept_table, merge_labels, texts_of, word_blocks
 
 SEED = 42
 WORDS = 3
@@ -22,40 +22,29 @@ LEAF_ROWS = 8192
 FEWEST_BITS, MOST_BITS = 6, 18
 BLOCK = 200_000
 
-# Copies by similarity: 256 bits in eight bands of 32.
-COPY_WORDS = 5
-SIMILARITY = 0.8
-BANDS, BAND_BITS = 8, 32
-COPY_LEAF_ROWS, COPY_FEWEST_BITS = 65_536, 3
-LEADERS = 3
 
-
-def bit_shares(text: bytes, words: int, seed: int, lanes: int = 1) -> tuple[np.ndarray, int]:
-    """How many shingles of a text have each of ``64 * lanes`` hash bits, and their number.
+def bit_shares(text: bytes, words: int, seed: int) -> tuple[np.ndarray, int]:
+    """How many shingles of a text have each of the 64 hash bits, and their number.
 
     Shingles are runs of ``words`` words with A-Z in lower case, repeats included; a text with
-    fewer words is one shingle, one without words none. The first lane is XXH64, further ones
-    are mixed from it. A text is read in blocks, so memory does not grow with its length.
+    fewer words is one shingle, one without words none. A text is read in blocks, so memory
+    does not grow with its length.
     """
-    ones, total, carry = np.zeros(64 * lanes, np.int64), 0, []
+    ones, total, carry = np.zeros(64, np.int64), 0, []
     for block in word_blocks(text, 1 << 18):
         tokens = [*carry, *(w.lower() for w in block)]
         if len(tokens) >= words:
             hashes = _shingle_hashes(tokens, words, seed)
-            ones += _bit_sums(hashes, lanes)
+            ones += _bit_sums(hashes)
             total += len(hashes)
         carry = tokens[max(0, len(tokens) - words + 1) :]
     if not total and carry:
-        total, ones = 1, _bit_sums(_shingle_hashes(carry, len(carry), seed), lanes)
+        total, ones = 1, _bit_sums(_shingle_hashes(carry, len(carry), seed))
     return ones, total
 
 
-def _bit_sums(hashes: np.ndarray, lanes: int) -> np.ndarray:
-    out = []
-    for lane in range(lanes):
-        bits = mixed(hashes, lane) if lane else hashes
-        out.append(np.unpackbits(bits.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64))
-    return np.concatenate(out)
+def _bit_sums(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
 
 
 def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
@@ -64,12 +53,6 @@ def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
 
 
-def wide_fingerprint(text: bytes, words: int = COPY_WORDS, seed: int = SEED) -> bytes:
-    """256-bit SimHash."""
-    ones, total = bit_shares(text, words, seed, BANDS * BAND_BITS // 64)
-    return np.packbits(2 * ones > total).tobytes()
-
-
 def _shingle_hashes(tokens: list[bytes], words: int, seed: int) -> np.ndarray:
     """XXH64 of each run of ``words`` tokens joined by spaces."""
     joined = b" ".join(tokens)
@@ -80,46 +63,36 @@ def _shingle_hashes(tokens: list[bytes], words: int, seed: int) -> np.ndarray:
     return np.array([digest(joined[s:e], seed) for s, e in zip(starts, stops, strict=True)], dtype=np.uint64)
 
 
-def _print_batches(wide: bool):
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """``doc_id``, ``body`` (a hash of the text, null for a null text) and ``fp`` of each document."""
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(row, text) -> (row, fp)."""
         for batch in batches:
-            offsets, data = texts_of(batch.column(1))
+            offsets, data = texts_of(batch.column(2))
             texts = (data[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:], strict=True))
-            if wide:
-                prints = pa.array([wide_fingerprint(t) for t in texts], pa.binary())
-            else:
-                prints = pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["row", "fp"])
+            prints = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints)], ["doc_id", "body", "fp"])
 
-    return add
+    body = F.col(text).cast("string")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), body_hash(text).alias("body"), body.alias("text"))
+    return rows.mapInArrow(add, "doc_id long, body long, fp long")
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", wide: bool = False) -> DataFrame:
-    """``row``, a struct of all columns, and ``fp``: 64 bits as a signed long, or 256 bits as binary."""
-    kind = T.BinaryType() if wide else T.LongType()
-    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("fp", kind)])
-    return docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string")).mapInArrow(_print_batches(wide), schema)
+def body_hash(text: str) -> Column:
+    return F.when(F.col(text).isNotNull(), F.xxhash64(F.col(text).cast("string")))
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", wide: bool = False) -> DataFrame:
-    """``doc_id`` and ``fp`` of each document."""
-    pairs = docs.select(F.col(key).cast("long").alias("row"), F.col(text).cast("string").alias("text"))
-    prints = pairs.mapInArrow(_print_batches(wide), f"row long, fp {'binary' if wide else 'long'}")
-    return prints.withColumnRenamed("row", "doc_id")
-
-
-def trie_pairs(a: np.ndarray, b: np.ndarray | None, budget: int = BUDGET, width: int = 64, block: int = BLOCK):
+def trie_pairs(a: np.ndarray, b: np.ndarray | None, budget: int = BUDGET, block: int = BLOCK):
     """Yield index pairs of sorted keys within ``budget`` bits, half of them in the first half.
 
-    Keys are the top ``width`` bits of 64. Walks pairs of trie nodes from the highest bit
+    Walks pairs of trie nodes from the highest bit
     down. A node is a range of the sorted array; going down splits both ranges by the next
     bit, crossing sides costs one bit, and a pair beyond the budget is dropped: half the
     budget in the first half of the bits, all of it after. Pairs of small nodes are compared
     by their remaining bits. ``b=None`` joins ``a`` with itself, each pair once. At most a few
     blocks of node pairs are held at a time, deepest first.
     """
-    half = np.uint64(((1 << 64) - 1) << (64 - width // 2) & ((1 << 64) - 1))
+    half = np.uint64(((1 << 32) - 1) << 32)
     own, b = b is None, a if b is None else b
     cut_a = [None] * 64
     cut_b = cut_a if own else [None] * 64
@@ -135,11 +108,11 @@ def trie_pairs(a: np.ndarray, b: np.ndarray | None, budget: int = BUDGET, width:
         bit, nodes = stack.pop()
         size_a, size_b = nodes[1] - nodes[0], nodes[3] - nodes[2]
         twin = (nodes[0] == nodes[2]) if own else np.zeros(nodes.shape[1], bool)
-        allowed = budget // 2 if 2 * bit <= width else budget
+        allowed = budget // 2 if bit <= 32 else budget
         alive = (size_a > 0) & (size_b > 0) & (nodes[4] <= allowed) & ~(twin & (size_a == 1))
         nodes, twin, size_a, size_b = nodes[:, alive], twin[alive], size_a[alive], size_b[alive]
         product = size_a.astype(np.int64) * size_b
-        leaf = (product <= 16) if bit < width else np.ones(len(product), bool)
+        leaf = (product <= 16) if bit < 64 else np.ones(len(product), bool)
         for i, j in _all_pairs(nodes[:, leaf], block):
             if own:
                 ordered = i < j
@@ -180,59 +153,35 @@ def _all_pairs(nodes: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.n
         yield nodes[0][which] + place // size_b[which], nodes[2][which] + place % size_b[which]
 
 
-def _join_units(width: int, limit: int):
-    """Links between two trie parts, as a star per group of linked nodes.
-
-    ``limit``: for wide fingerprints, the most bits of all that linked ones may differ in.
-    """
+def _join_parts(budget: int):
+    """Links between two trie parts, as a star per group of linked nodes."""
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["side", "key", "node"], kind="stable")
         key, node, side = rows["key"].to_numpy().view(np.uint64), rows["node"].to_numpy(), rows["side"].to_numpy()
-        key = np.concatenate([np.sort(key[side == s]) for s in (0, 1)])  # unsigned order
-        order = np.concatenate([np.flatnonzero(side == s)[np.argsort(rows["key"].to_numpy().view(np.uint64)[side == s], kind="stable")] for s in (0, 1)])
-        node, side = node[order], side[order]
-        wide = None
-        if limit:
-            wide = np.frombuffer(b"".join(rows["fp"]), np.uint64).reshape(len(rows), -1)[order]
+        order = np.lexsort((key, side))
+        key, node, side = key[order], node[order], side[order]
         label = np.arange(len(key))
-
-        def link(i, j):
-            if wide is not None:
-                near = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1) <= limit
-                i, j = i[near], j[near]
-            merge_labels(label, i, j)
-
-        kept = np.arange(len(key))
-        for _ in range(LEADERS if limit else 0):
-            # Of equal keys the first leads; those linked to it need no further comparison.
-            fresh = np.concatenate([[True], (key[kept][1:] != key[kept][:-1]) | (side[kept][1:] != side[kept][:-1])])
-            leader = kept[np.maximum.accumulate(np.where(fresh, np.arange(len(kept)), 0))]
-            link(kept, leader)
-            kept = kept[fresh | (label[kept] != label[leader])]
-        left, right = kept[side[kept] == 0], kept[side[kept] == 1]
-        own = not len(right)
-        for i, j in trie_pairs(key[left], None if own else key[right], width=width):
-            link(left[i], (left if own else right)[j])
+        first = np.searchsorted(side, 1)
+        own = first in (0, len(key))
+        for i, j in trie_pairs(key, None, budget) if own else trie_pairs(key[:first], key[first:], budget):
+            merge_labels(label, i, j if own else j + first)
         child = np.flatnonzero(label != np.arange(len(label)))
         return pd.DataFrame({"a": node[child], "b": node[label[child]]})
 
     return join
 
 
-def links(prints: DataFrame, n: int, leaf_rows: int = LEAF_ROWS, limit: int = 0, fewest_bits: int = FEWEST_BITS) -> DataFrame:
-    """Edges ``a``, ``b`` that connect the nodes of ``prints`` whose keys are within three bits.
+def links(prints: DataFrame, n: int, leaf_rows: int = LEAF_ROWS, budget: int = BUDGET) -> DataFrame:
+    """Edges ``a``, ``b`` that connect the nodes of ``prints`` whose keys are within ``budget`` bits.
 
-    ``prints`` has ``node``, ``keys`` (signed longs, one per trie) and ``fp``. Each trie is cut
-    at a depth where parts hold about ``leaf_rows`` keys; a part meets the parts whose top bits
+    ``prints`` has ``node`` and ``keys`` (signed longs, one per trie). Each trie is cut at a
+    depth where parts hold about ``leaf_rows`` keys; a part meets the parts whose top bits
     differ in at most one. A part with many more is cut further by hash, and its pieces meet
     pairwise, so no task grows with a crowded part. The number of parts of a trie is at most 2
     to the ``MOST_BITS``, which bounds the broadcast of their sizes.
     """
-    width = BAND_BITS if limit else 64
-    most = min(MOST_BITS, width // 2)
-    depth = min(most, max(fewest_bits, math.ceil(math.log2(max(1, n) / leaf_rows))))
-    rows = prints.select("node", "fp", F.posexplode("keys").alias("trie", "key"))
+    depth = min(MOST_BITS, max(FEWEST_BITS, math.ceil(math.log2(max(1, n) / leaf_rows))))
+    rows = prints.select("node", F.posexplode("keys").alias("trie", "key"))
     rows = rows.withColumn("own", F.shiftrightunsigned("key", 64 - depth).cast("int"))
     sizes = rows.groupBy("trie", "own").agg(F.ceil(F.count("*") / (4 * leaf_rows)).cast("int").alias("pieces"))
     sizes = kept_table(sizes, "trie-parts")
@@ -244,11 +193,9 @@ def links(prints: DataFrame, n: int, leaf_rows: int = LEAF_ROWS, limit: int = 0,
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     mine = F.col("own").cast("long") * (1 << 32) + F.col("piece")
     theirs = F.col("other").cast("long") * (1 << 32) + F.col("with")
-    rows = rows.select(
-        "trie", F.least(mine, theirs).alias("u"), F.greatest(mine, theirs).alias("v"), (mine > theirs).cast("int").alias("side"),
-        "key", "node", *(["fp"] if limit else []),
-    )
-    return rows.groupBy("trie", "u", "v").applyInPandas(_join_units(width, limit), "a long, b long")
+    ends = [F.least(mine, theirs).alias("u"), F.greatest(mine, theirs).alias("v")]
+    rows = rows.select("trie", *ends, (mine > theirs).cast("int").alias("side"), "key", "node")
+    return rows.groupBy("trie", "u", "v").applyInPandas(_join_parts(budget), "a long, b long")
 
 
 def rotated(fp: str) -> Column:
@@ -257,68 +204,51 @@ def rotated(fp: str) -> Column:
     return F.array(F.col(fp), other)
 
 
-def banded(fp: str) -> Column:
-    """The bands of a wide fingerprint as left-aligned keys, either half of a band in the lead."""
-    keys = []
-    for band in range(BANDS):
-        at = 1 + band * BAND_BITS // 8
-        value = F.conv(F.hex(F.substring(fp, at, BAND_BITS // 8)), 16, 10).cast("long")
-        turned = F.shiftleft(value, 48).bitwiseOR(F.shiftleft(F.shiftrightunsigned(value, 16), 32))
-        keys += [F.shiftleft(value, 32), turned]
-    return F.array(*keys)
-
-
-def grouped(prints: DataFrame, keys: Column, leaf_rows: int = LEAF_ROWS, limit: int = 0, fewest_bits: int = FEWEST_BITS) -> DataFrame:
+def grouped(prints: DataFrame, leaf_rows: int = LEAF_ROWS, budget: int = BUDGET) -> DataFrame:
     """``fp``, its smallest ``first`` id, and ``comp``: a number shared by linked fingerprints."""
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    node = F.xxhash64("fp") if limit else F.col("fp")
-    distinct = kept_table(distinct.withColumn("node", node), "distinct-fingerprints")
-    found = links(distinct.select("node", "fp", keys.alias("keys")), distinct.count(), leaf_rows, limit, fewest_bits)
+    if not 0 <= budget <= BUDGET:
+        raise ValueError(f"halves of a fingerprint find links of at most {BUDGET} bits, not {budget}")
+    distinct = kept_table(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    found = links(distinct.select(F.col("fp").alias("node"), rotated("fp").alias("keys")), distinct.count(), leaf_rows, budget)
     linked = components(found).withColumnRenamed("node", "_node")
-    groups = distinct.join(linked, distinct["node"] == linked["_node"], "left")
-    return groups.select("fp", "first", F.coalesce("comp", "node").alias("comp"))
+    groups = distinct.join(linked, distinct["fp"] == linked["_node"], "left")
+    return groups.select("fp", "first", F.coalesce("comp", "fp").alias("comp"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", leaf_rows: int = LEAF_ROWS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", leaf_rows: int = LEAF_ROWS, words: int = WORDS, budget: int = BUDGET
+) -> DataFrame:
     """``doc_id``, ``fp``, ``fingerprint`` and ``component_id`` of every document.
 
-    Fingerprints link at three or fewer differing bits; ``component_id`` is the smallest
-    ``doc_id`` reachable. Equal fingerprints are joined once, however many documents share
-    them. A null or empty text has fingerprint zero and is linked like any other. Rows that
-    repeat a ``doc_id`` each give a row. A null ``doc_id`` takes part but names no component:
-    where no other id is reachable ``component_id`` is null. Other columns are not read.
+    Fingerprints of shingles of ``words`` words link at ``budget`` (at most three) or fewer
+    differing bits; ``component_id`` is the smallest ``doc_id`` reachable. Equal fingerprints
+    are joined once, however many documents share them. A null or empty text has fingerprint
+    zero and is linked like any other. Rows that repeat a ``doc_id`` each give a row. A null
+    ``doc_id`` takes part but names no component: where no other id is reachable
+    ``component_id`` is null. Ids are whole numbers. Other columns are not read.
     """
-    prints = kept_table(fingerprints(docs, key, text), "fingerprints")
-    groups = grouped(prints, rotated("fp"), leaf_rows)
+    prints = kept_table(fingerprints(docs, key, text, words), "fingerprints")
+    groups = grouped(prints, leaf_rows, budget)
     first = groups.groupBy("comp").agg(F.min("first").alias("component_id"))
     named = kept_table(groups.join(first, "comp").select("fp", "component_id"), "fingerprint-components")
     out = prints.join(named, "fp")
     return out.select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def most_bits_apart(similarity: float) -> int:
-    """The bits of a wide fingerprint that differ, as expected at a Jaccard similarity.
-
-    Shingle sets of Jaccard similarity J and about equal size have cosine 2 J / (1 + J); a bit
-    differs at the rate of their angle over pi.
-    """
-    return math.ceil(BANDS * BAND_BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi) + 1
-
-
-def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without near copies: one row of each group stays, with its columns.
+def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, budget: int = BUDGET) -> DataFrame:
+    """The documents without near copies: one row of each group of ``near_duplicates`` stays.
 
-    Copies are found by five-word shingles at a similarity of 0.8 or more: 256-bit
-    fingerprints that differ in few bits in one of eight bands are compared whole. It keeps
-    the row with the smallest id, a null id coming last; then the smallest fingerprint, then
-    the smallest row in the order of its columns. Only kept rows are shuffled whole.
+    It keeps the row with the smallest id, a null id coming last; then the smallest
+    fingerprint, then the smallest row in the order of its columns. Texts are hashed once:
+    rows are found again by their id and the hash of their text.
     """
-    prints = kept_table(fingerprints(docs, key, text, wide=True), "fingerprints")
-    groups = grouped(prints, banded("fp"), COPY_LEAF_ROWS, most_bits_apart(similarity), COPY_FEWEST_BITS)
+    prints = kept_table(fingerprints(docs, key, text, words), "fingerprints")
+    groups = grouped(prints, budget=budget)
     order = F.struct(F.col("first").isNull().alias("none"), "first", "fp")
-    winners = groups.groupBy("comp").agg(F.min(order).alias("w")).select("w.fp", "w.first")
-    winners = kept_table(winners, "winners")
-    rows = with_fingerprint(docs, text, wide=True).withColumn("id", F.col("row")[key].cast("long"))
-    same = (rows["fp"] == winners["fp"]) & rows["id"].eqNullSafe(winners["first"])
-    kept = rows.join(winners.hint("merge"), same, "left_semi")
-    return kept.groupBy("fp", "id").agg(F.min("row").alias("row")).select("row.*")
+    winners = groups.groupBy("comp").agg(F.min(order).alias("w")).select(F.col("w.fp").alias("fp"), F.col("w.first").alias("first"))
+    winners = prints.join(winners, "fp").filter(F.col("doc_id").eqNullSafe(F.col("first")))
+    winners = kept_table(winners.select("fp", F.col("doc_id").alias("id"), "body").distinct(), "winners")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("_id"), body_hash(text).alias("_body"))
+    same = F.col("_id").eqNullSafe(F.col("id")) & F.col("_body").eqNullSafe(F.col("body"))
+    kept = rows.join(winners.hint("merge"), same)
+    return kept.groupBy("fp").agg(F.min("row").alias("row")).select("row.*")

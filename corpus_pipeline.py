@@ -30,8 +30,8 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.one_per_group(docs)
+    """One document of each group of near copies by ``op3``: three-word shingles, three bits."""
+    return simhash.one_per_group(docs, words=simhash.WORDS, budget=simhash.BUDGET)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from culprit.llm.common import WORD, kept_table
@@ -10,7 +10,6 @@ from culprit.llm.common import WORD, kept_table
 DIVISOR = 2
 FACTOR = 31
 LONG_WORDS = 50
-LONG_CHARS = 2 * LONG_WORDS + 1  # no line of over fifty words is shorter
 
 
 def line_hash(line: Column) -> Column:
@@ -18,16 +17,21 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
+def is_long(text: Column) -> Column:
+    """Over fifty words; a text of fewer characters than that takes is not searched."""
+    return (F.length(text) > 2 * LONG_WORDS) & (F.regexp_count(text, F.lit(WORD)) > LONG_WORDS)
+
+
 def with_chunks(docs: DataFrame, text: str = "text", divisor: int = DIVISOR) -> DataFrame:
     """Add ``_chunks``: the chunks of the text in order, each its lines joined by line feeds.
 
     A chunk ends where the rolling hash over a line and the one before it is a multiple of
-    ``divisor``, so an inserted line moves only the boundaries next to it. A line long enough
-    for over fifty words stands alone.
+    ``divisor``, so an inserted line moves only the boundaries next to it. A line of over fifty
+    words stands alone.
     """
     out = docs.withColumn("_lines", F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n", -1))
     out = out.withColumn("_hashes", F.transform("_lines", line_hash))
-    out = out.withColumn("_long", F.transform("_lines", lambda line: F.length(line) >= LONG_CHARS))
+    out = out.withColumn("_long", F.transform("_lines", is_long))
     n = F.size("_lines")
 
     def ends(i: Column) -> Column:
@@ -44,19 +48,15 @@ def with_chunks(docs: DataFrame, text: str = "text", divisor: int = DIVISOR) ->
     return out.withColumn("_chunks", F.transform("_ends", cut)).drop("_lines", "_hashes", "_long", "_ends")
 
 
-def removable(chunk: Column) -> Column:
-    """Several lines that are not all blank, or over fifty words."""
-    several = chunk.contains("\n") & chunk.rlike(WORD)
-    return several | (F.regexp_count(chunk, F.lit(WORD)) > LONG_WORDS)
-
-
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int = DIVISOR) -> DataFrame:
     """All columns, ``text`` without globally repeated chunks, ``n_chunks`` and ``n_removed``.
 
-    Removed are chunks of several lines, not all blank, and single lines of over fifty words,
-    that occur elsewhere byte for byte. The first occurrence stays: in the row with the
-    smallest key and there the first place. What stays is joined by line feeds; a text
-    without repeats is unchanged.
+    A chunk is repeated where it occurs elsewhere byte for byte and is not blank; the first
+    occurrence, in the row with the smallest key and there the first place, stays. Removed are
+    repeated chunks of several lines, and those of one line in a run of repeated chunks, with
+    or without blank ones between, that has over fifty words together. So a long passage goes
+    whatever the length of its lines, and a short line that many documents share stays. What
+    is left is joined by line feeds; a text without repeats is unchanged.
 
     A null text stays null and has one empty chunk. Rows that repeat the smallest key each
     keep their first. A null key comes last: it loses what any other key has, and where only
@@ -69,21 +69,28 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", div
     docs = docs.drop("n_chunks", "n_removed")
     body = F.xxhash64(F.col(text))
     chunked = with_chunks(docs.select(F.col(key).alias("_id"), body.alias("_body"), F.col(text).alias("_text")), "_text", divisor)
+    filled = F.transform("_chunks", lambda c, i: F.struct(i.alias("place"), c.alias("chunk")))
+    filled = F.filter(filled, lambda c: c["chunk"].rlike(WORD))
     # The outer form: the plain one would test the array for emptiness by computing it again.
-    chunks = chunked.select("_id", "_body", F.posexplode_outer("_chunks").alias("_place", "_chunk"))
-    chunks = chunks.filter(F.col("_chunk").contains("\n") | (F.length("_chunk") >= LONG_CHARS))
+    chunks = chunked.select("_id", "_body", F.posexplode_outer(filled).alias("_nth", "_c")).filter("_c IS NOT NULL")
+    chunks = chunks.select("_id", "_body", "_nth", F.col("_c.place").alias("_place"), F.col("_c.chunk").alias("_chunk"))
     bits = [F.xxhash64("_chunk").alias("_a"), F.xxhash64(F.lit(1), "_chunk").alias("_b")]
-    same = chunks.groupBy("_chunk").agg(F.count("*").alias("n"), F.min("_id").alias("_first"))
-    same = same.select(*bits, "_first", ((F.col("n") > 1) & removable(F.col("_chunk"))).alias("repeated"))
-    found = same.groupBy("_a", "_b").agg(F.count("*").alias("texts"), F.min("_first").alias("_first"), F.max("repeated").alias("repeated"))
-    repeated = kept_table(found.filter("repeated AND texts = 1").select("_a", "_b", "_first"), "repeated-chunks")
-    places = chunks.select("_id", "_body", "_place", *bits).groupBy("_id", "_body", "_a", "_b")
-    places = places.agg(F.sort_array(F.collect_set("_place")).alias("_places"))
+    same = chunks.groupBy("_chunk").agg(F.count("*").alias("n"), F.min("_id").alias("_first")).withColumn("repeated", F.col("n") > 1)
+    several = F.col("_chunk").contains("\n")
+    words = F.when(F.col("repeated"), F.regexp_count("_chunk", F.lit(WORD))).otherwise(0)
+    same = same.select(*bits, "_first", "repeated", several.alias("_several"), words.alias("_words"))
+    found = same.groupBy("_a", "_b").agg(F.count("*").alias("texts"), *[F.max(c).alias(c) for c in ("_first", "repeated", "_several", "_words")])
+    repeated = kept_table(found.filter("repeated AND texts = 1").drop("repeated", "texts"), "repeated-chunks")
+    places = chunks.select("_id", "_body", F.struct("_nth", "_place").alias("_at"), *bits).groupBy("_id", "_body", "_a", "_b")
+    places = places.agg(F.sort_array(F.collect_set("_at")).alias("_ats"))
     own = F.col("_id").eqNullSafe(F.col("_first"))
-    drop = F.when(own, F.slice("_places", 2, F.size("_places"))).otherwise(F.col("_places"))
-    gone = places.join(repeated, ["_a", "_b"]).select("_id", "_body", drop.alias("_drop"))
-    gone = gone.groupBy("_id", "_body").agg(F.flatten(F.collect_list("_drop")).alias("_drop"))
-    gone = kept_table(gone.filter(F.size("_drop") > 0), "chunks-to-remove")
+    later = F.when(own, F.slice("_ats", 2, F.size("_ats"))).otherwise(F.col("_ats"))
+    gone = places.join(repeated, ["_a", "_b"]).select("_id", "_body", "_several", "_words", F.explode(later).alias("_at"))
+    inside = Window.partitionBy("_id", "_body")
+    gone = gone.withColumn("_run", F.col("_at._nth") - F.row_number().over(inside.orderBy("_at")))
+    gone = gone.withColumn("_words", F.sum("_words").over(Window.partitionBy("_id", "_body", "_run")))
+    gone = gone.filter(F.col("_several") | (F.col("_words") > LONG_WORDS))
+    gone = kept_table(gone.groupBy("_id", "_body").agg(F.collect_list("_at._place").alias("_drop")), "chunks-to-remove")
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_key"), body.alias("_of"), F.col(text).alias("_text"))
     same_row = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_body"))
     # Merged at every size: a plan that broadcasts small lists would change with the input.
@@ -97,7 +104,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", div
 
 ORACLE_SQL = f"""
 WITH line AS (
-  SELECT doc_id, i, l, ('0x' || substr(md5(l), 1, 8))::BIGINT AS h, length(l) >= {LONG_CHARS} AS far
+  SELECT doc_id, i, l, ('0x' || substr(md5(l), 1, 8))::BIGINT AS h,
+    len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) > {LONG_WORDS} AS far
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l,
           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
 flag AS (
@@ -107,13 +115,20 @@ numbered AS (
   SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
   FROM flag),
 chunk AS (SELECT doc_id, place, string_agg(l, chr(10) ORDER BY i) AS c FROM numbered GROUP BY doc_id, place),
-marked AS (
-  SELECT *, count(*) OVER (PARTITION BY c) > 1
-      AND ((contains(c, chr(10)) AND regexp_matches(c, '[^\x20\x09-\x0D]'))
-        OR len(regexp_extract_all(c, '[^\x20\x09-\x0D]+')) > {LONG_WORDS})
-      AND row_number() OVER (PARTITION BY c ORDER BY doc_id, place) > 1 AS gone
-  FROM chunk)
-SELECT m.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(string_agg(c, chr(10) ORDER BY place) FILTER (NOT gone), '') END AS text,
-  count(*)::INT AS n_chunks, count(*) FILTER (gone)::INT AS n_removed
-FROM marked m JOIN documents d USING (doc_id) GROUP BY m.doc_id, d.text
+filled AS (
+  SELECT *, len(regexp_extract_all(c, '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY doc_id ORDER BY place) AS nth,
+    row_number() OVER (PARTITION BY c ORDER BY doc_id, place) > 1 AS later
+  FROM chunk WHERE regexp_matches(c, '[^\x20\x09-\x0D]')),
+run AS (
+  SELECT *, nth - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM filled WHERE later),
+gone AS (
+  SELECT doc_id, place FROM
+    (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS together FROM run)
+  WHERE contains(c, chr(10)) OR together > {LONG_WORDS})
+SELECT m.doc_id,
+  CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(string_agg(c, chr(10) ORDER BY m.place) FILTER (g.place IS NULL), '') END AS text,
+  count(*)::INT AS n_chunks, count(g.place)::INT AS n_removed
+FROM chunk m JOIN documents d USING (doc_id) LEFT JOIN gone g ON g.doc_id = m.doc_id AND g.place = m.place
+GROUP BY m.doc_id, d.text
 """

@@ -34,6 +34,30 @@ def test_shifted_blocks_of_lines_are_found(spark, prose):
         assert all(prose(4, 1000 * i + k) in left[i] for k in range(i))
 
 
+def test_long_passages_in_lines_of_any_length_go(spark, prose):
+    for words in (6, 15, 25, 45):
+        passage = [prose(words, 50 * words + i) for i in range(240 // words)]
+        rows = [(i, "\n".join([prose(30, 7000 + i), *passage, prose(30, 9000 + i)])) for i in range(20)]
+        left = {r[0]: r[1].split("\n") for r in cleaned(spark, rows)}
+        assert left[0] == rows[0][1].split("\n")
+        kept = [sum(line in left[i] for line in passage) / len(passage) for i in range(1, 20)]
+        assert sum(kept) / len(kept) < 0.5, (words, kept)
+        assert all(left[i][0] == prose(30, 7000 + i) and left[i][-1] == prose(30, 9000 + i) for i in range(1, 20))
+
+
+def test_short_lines_that_many_share_stay(spark, prose):
+    rows = [(i, f"{prose(20, i)}\n{prose(30, -1)}\n{prose(20, 100 + i)}") for i in range(20)]
+    assert sorted(r[:2] for r in cleaned(spark, rows)) == rows
+
+
+def test_runs_pass_over_blank_lines(spark, prose):
+    lines = [prose(20, 400 + i) for i in range(60)]
+    rows = [(i, "\n\n".join(lines)) for i in range(2)]
+    left = {r[0]: r[1] for r in cleaned(spark, rows)}
+    assert left[0] == rows[0][1]
+    assert not left[1].strip()
+
+
 def test_clean_documents_are_unchanged(spark, prose):
     draw = random.Random(3)
     rows = [(i, "\n".join(prose(draw.randint(1, 70), 100 * i + k) for k in range(6)) + f"\n{prose(4, -1 - i)}\nshort line") for i in range(40)]

@@ -86,6 +86,16 @@ def running_total(
     return out.drop("_order", "_piece", "_p", "_before", *[f"_{g}" for g in groups])
 
 
+def first_by_hash(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """The rows whose 64-bit hash ``column`` is below the limit that about ``rows`` rows reach.
+
+    The limit follows from the number of rows and lies six deviations above, so that sorting
+    and limiting what is left gives the first ``rows`` and no partition sends many more.
+    """
+    share = (rows + 6 * math.sqrt(rows)) / max(1, df.count())
+    return df.filter(F.col(column) <= min((1 << 63) - 1, int(min(1.0, share) * 2.0**64) - (1 << 63)))
+
+
 def pieces_for(rows: int, each: int = 1_000) -> int:
     """A power of two of ranges so that each holds about ``each`` rows."""
     return 1 << max(0, math.ceil(math.log2(max(1, rows) / each)))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from culprit.llm.common import crc_part, texts_of
+from culprit.llm.common import crc_part, first_by_hash, texts_of
 
 UNITS = 8
 WINDOW = 128
@@ -181,7 +181,7 @@ def sample(docs: DataFrame, key: str, text: str, lang: str, rows: int, window: i
     start = F.pmod(F.xxhash64(F.col(text), F.lit(1)), room).cast("int") + 1
     piece = F.substring(F.encode(F.substr(F.col(text), start, F.lit(window)), "UTF-8"), 1, window)
     picked = able.select(F.col(lang).cast("string").alias("lang"), piece.alias("piece"), F.xxhash64(F.col(key), F.col(text)).alias("_h"))
-    return picked.orderBy("_h", "lang", "piece").limit(rows)
+    return first_by_hash(picked, "_h", rows).orderBy("_h", "lang", "piece").limit(rows)
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = TRAIN_ROWS) -> Network:

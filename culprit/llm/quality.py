@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from culprit.llm.common import crc_part, texts_of, word_blocks
+from culprit.llm.common import crc_part, first_by_hash, kept_table, texts_of, word_blocks
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH, BINS, RATE, RIDGE, LEAST = 80, 4, 32, 0.15, 1.0, 10.0
@@ -163,7 +163,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     order = F.xxhash64(F.col(key), F.col(text))
     pairs = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"), order.alias("_h"))
     chosen = docs.select(F.col(key).alias("_key"), order.alias("_h")).join(marks, F.col("_key") == F.col("_id"))
-    chosen = chosen.select("_key", "_h", "y").distinct().orderBy("_h", "_key", "y").limit(rows)
+    chosen = kept_table(chosen.select("_key", "_h", "y").distinct(), "labelled")
+    chosen = first_by_hash(chosen, "_h", rows).orderBy("_h", "_key", "y").limit(rows)
     picked = pairs.join(F.broadcast(chosen), ["_key", "_h"]).dropDuplicates(["_key", "_h", "y"])
     picked = picked.select("y", F.coalesce("_text", F.lit("")).alias("_text"))
     got = picked.mapInArrow(_feature_rows, "y int, x array<double>").collect()

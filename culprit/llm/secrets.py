@@ -122,27 +122,30 @@ def candidate(token: Column) -> Column:
 
 
 def null_strings(docs: DataFrame, classes: list[int], text: str = "text") -> DataFrame:
-    """``class`` and ``t``: the short words of the table strung together to the length of each class.
-
-    Words are the distinct runs of letters and digits that are too short for a candidate. In
-    an order by hash they are written one behind the other and cut into pieces of the least
-    length of each class, so every word comes once per class and there are as many pieces at
-    lengths that no word has. Where the vocabulary has fewer than ``NULL_LETTERS`` letters it
-    is strung together again in other orders, so that small p-values can be told apart.
+    """``class`` and ``t``: the short words of the table strung together to the length of a class.
+
+    Words are the distinct runs of letters and digits that are too short for a candidate. Each
+    is dealt to one of the classes by hash. In an order by hash the words of a class are
+    written one behind the other and cut into pieces of its least length, so all words are
+    used and there are as many pieces at lengths that no word has. Where the classes would get
+    fewer than ``NULL_LETTERS`` letters the vocabulary is dealt and strung again in other
+    orders, so that small p-values can be told apart.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     words = docs.select(F.explode_outer(F.regexp_extract_all(body, F.lit(SHORT), F.lit(0))).alias("w"))
     words = kept_table(words.filter("w IS NOT NULL").distinct(), "short-words")
     size = words.agg(F.count("*").alias("n"), F.sum(F.length("w")).alias("letters")).first()
-    rounds = math.ceil(NULL_LETTERS / max(1, size["letters"] or 0)) if size["n"] else 1
+    letters = size["letters"] or 0
+    rounds = math.ceil(NULL_LETTERS * len(classes) / max(1, letters)) if size["n"] else 1
+    lengths = F.array(*[F.struct(F.lit(c).alias("class"), F.lit(math.ceil(2 ** (c / 8))).alias("long")) for c in classes])
     strung = words.select("w", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"))
-    part = F.pmod(F.xxhash64(F.lit(1), "w", "round"), F.lit(size["n"] // STRUNG + 1))
-    strung = strung.select("w", "round", F.xxhash64("w", "round").alias("h"), part.alias("part"))
-    strung = strung.repartition(max(32, rounds * (size["letters"] or 0) >> 19), "round", "part")
+    dealt = F.get(lengths, F.pmod(F.xxhash64(F.lit(2), "w", "round"), F.lit(len(classes))).cast("int"))
+    part = F.pmod(F.xxhash64(F.lit(1), "w", "round"), F.lit(size["n"] // (STRUNG * len(classes)) + 1))
+    strung = strung.select("w", "round", F.xxhash64("w", "round").alias("h"), part.alias("part"), dealt.alias("c"))
+    strung = strung.repartition(max(32, rounds * letters >> 17), "c", "round", "part")
     ordered = F.array_sort(F.collect_list(F.struct("h", "w")))
-    strung = strung.groupBy("round", "part").agg(F.array_join(F.transform(ordered, lambda s: s["w"]), "").alias("all"))
-    lengths = F.explode(F.array(*[F.struct(F.lit(c).alias("class"), F.lit(math.ceil(2 ** (c / 8))).alias("long")) for c in classes]))
-    cuts = strung.select("all", lengths.alias("c")).select("all", "c.class", "c.long").filter(F.length("all") >= F.col("long"))
+    strung = strung.groupBy("c", "round", "part").agg(F.array_join(F.transform(ordered, lambda s: s["w"]), "").alias("all"))
+    cuts = strung.select("all", "c.class", "c.long").filter(F.length("all") >= F.col("long"))
     starts = F.sequence(F.lit(1), F.length("all") - F.col("long") + 1, F.col("long"))
     return cuts.select("class", "all", "long", F.explode(starts).alias("at")).select("class", F.substr("all", F.col("at"), F.col("long")).alias("t"))
 

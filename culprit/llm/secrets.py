@@ -51,7 +51,7 @@ def evidence(token: Column) -> Column:
     correlation of neighbouring ranks. Near zero for random strings, far below for words.
     Alphabet and ranks are worked out once; the time is in proportion to the length.
     """
-    return bound(F.struct(token.alias("token"), encoding(token).alias("alphabet")), _with_ranks)
+    return bound(F.struct(token.alias("token"), encoding(token).alias("alphabet"), _letters(token).alias("letters")), _with_ranks)
 
 
 def _letters(text: Column) -> Column:
@@ -61,12 +61,12 @@ def _letters(text: Column) -> Column:
 def _with_ranks(t: Column) -> Column:
     """The numbers that the tests need, each from one pass by a built-in function."""
     token, alphabet = t["token"], t["alphabet"]
-    ranks = F.transform(_letters(token), lambda c: F.instr(alphabet, c) - 1)
-    counts = F.transform(_letters(alphabet), lambda c: F.length(token) - F.length(F.replace(token, c, F.lit(""))))
+    ranks = F.transform(t["letters"], lambda c: F.instr(alphabet, c) - 1)
+    counts = F.transform(F.array_distinct(t["letters"]), lambda c: F.length(token) - F.length(F.replace(token, c, F.lit(""))))
     half = F.ceil(F.length(alphabet) / 2).cast("int")
     bits = F.concat(F.repeat(F.lit("0"), half), F.repeat(F.lit("1"), F.length(alphabet) - half))
     halves = F.call_function("translate", token, alphabet, bits)
-    return bound(F.struct(F.length(alphabet).alias("k"), ranks.alias("ranks"), counts.alias("counts"), halves.alias("halves"), half.alias("half")), _tests)
+    return bound(F.struct(F.length(alphabet).alias("k"), ranks.alias("ranks"), counts.alias("counts"), halves.alias("halves")), _tests)
 
 
 def _tests(t: Column) -> Column:
@@ -74,18 +74,18 @@ def _tests(t: Column) -> Column:
     k, n = t["k"].cast("double"), F.size(ranks).cast("double")
     zero = F.lit(0.0)
 
-    def total(values: Column) -> Column:
-        return F.aggregate(values, zero, lambda s, v: s + v)
+    def total(values: Column, power: int = 1) -> Column:
+        return F.aggregate(values, zero, (lambda s, v: s + v) if power == 1 else (lambda s, v: s + v.cast("double") * v))
 
     sums = {
         "k": k,
         "n": n,
-        "squares": total(F.transform(counts, lambda c: c.cast("double") * c)),
-        "mean": total(F.transform(counts, lambda c, i: c.cast("double") * i)) / n,
-        "power": total(F.transform(counts, lambda c, i: c.cast("double") * i * i)),
+        "squares": total(counts, 2),
+        "mean": total(ranks) / n,
+        "power": total(ranks, 2),
         "cross": total(F.zip_with(F.slice(ranks, 2, F.size(ranks)), F.slice(ranks, 1, F.size(ranks) - 1), lambda x, y: x.cast("double") * y)),
         "ends": F.get(ranks, F.lit(0)) + F.element_at(ranks, -1),
-        "high": total(F.slice(counts, t["half"] + 1, F.size(counts))),
+        "high": n - F.length(F.replace(halves, F.lit("1"), F.lit(""))),
         "runs": 1 + 2 * n - F.length(F.replace(halves, F.lit("01"), F.lit("0"))) - F.length(F.replace(halves, F.lit("10"), F.lit("1"))),
     }
     return bound(F.struct(*[value.alias(name) for name, value in sums.items()]), _combined)
@@ -140,11 +140,11 @@ def null_strings(docs: DataFrame, classes: list[int], text: str = "text") -> Dat
     lengths = F.array(*[F.struct(F.lit(c).alias("class"), F.lit(math.ceil(2 ** (c / 8))).alias("long")) for c in classes])
     strung = words.select("w", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"))
     dealt = F.get(lengths, F.pmod(F.xxhash64(F.lit(2), "w", "round"), F.lit(len(classes))).cast("int"))
-    part = F.pmod(F.xxhash64(F.lit(1), "w", "round"), F.lit(size["n"] // (STRUNG * len(classes)) + 1))
-    strung = strung.select("w", "round", F.xxhash64("w", "round").alias("h"), part.alias("part"), dealt.alias("c"))
-    strung = strung.repartition(max(32, rounds * letters >> 17), "c", "round", "part")
+    part = F.pmod(F.xxhash64(F.lit(1), "w", "round"), F.lit(rounds * size["n"] // (STRUNG * len(classes)) + 1))
+    strung = strung.select("w", F.xxhash64("w", "round").alias("h"), part.alias("part"), dealt.alias("c"))
+    strung = strung.repartition(max(32, rounds * letters >> 17), "c", "part")
     ordered = F.array_sort(F.collect_list(F.struct("h", "w")))
-    strung = strung.groupBy("c", "round", "part").agg(F.array_join(F.transform(ordered, lambda s: s["w"]), "").alias("all"))
+    strung = strung.groupBy("c", "part").agg(F.array_join(F.transform(ordered, lambda s: s["w"]), "").alias("all"))
     cuts = strung.select("all", "c.class", "c.long").filter(F.length("all") >= F.col("long"))
     starts = F.sequence(F.lit(1), F.length("all") - F.col("long") + 1, F.col("long"))
     return cuts.select("class", "all", "long", F.explode(starts).alias("at")).select("class", F.substr("all", F.col("at"), F.col("long")).alias("t"))

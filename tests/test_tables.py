@@ -113,3 +113,12 @@ def test_pair_table_counts_every_pair(spark):
         ("a", "y", "z", 0, 0, 1), ("a", "y", "z", 9, 0, 1), (None, "y", "z", 5, 0, 1),
     }
     assert tables.pair_table(df.limit(0), ["x", "y"]).count() == 0
+
+
+def test_rows_are_dealt_to_the_cores_and_few_rows_stay(spark):
+    from culprit.sources import shared
+
+    many = spark.range(5 * shared.TASK_ROWS, numPartitions=1)
+    sizes = [len(p) for p in shared.dealt(many, "id").rdd.glom().collect()]
+    assert len(sizes) == 5 and sum(sizes) == 5 * shared.TASK_ROWS and max(sizes) < 2 * shared.TASK_ROWS
+    assert shared.dealt(spark.range(shared.TASK_ROWS, numPartitions=1), "id").rdd.getNumPartitions() == 1

@@ -133,3 +133,26 @@ def test_leaves_without_rows_share_evenly(spark, incidents):
     model = trees.CountedForest.counted(incidents, [{0: ("latency", -1.0, 1, 2)}])
     assert model.shares(0, 1) == [1 / 6] * 6
     assert explain.contributions(model, incidents.limit(2), incidents, KEY).count() == 2
+
+
+def test_contributions_by_pattern_are_those_of_each_row(monkeypatch):
+    draw = np.random.default_rng(9)
+    shape = (300, 5)
+    split = draw.random(shape) < 0.5
+    paths = trees.pd.DataFrame(
+        {
+            "low": list(np.where(split & (draw.random(shape) < 0.6), draw.normal(-1, 1, shape), -np.inf)),
+            "high": list(np.where(split, draw.normal(1, 1, shape), np.inf)),
+            "share": list(np.where(split, np.where(draw.random(shape) < 0.05, 0.0, draw.random(shape)), 1.0)),
+            "value": list(draw.random((300, 3))),
+        }
+    )
+    leaves, x = trees.LeafSet(paths), draw.normal(size=(2500, 5))
+    x[3, 1], x[4, 2] = np.nan, -np.inf
+    asked = []
+    monkeypatch.setattr(trees.np, "exp", lambda v, exp=np.exp: asked.append(v.size) or exp(v))
+    looked_up, work = leaves.contributions(x), sum(asked)
+    asked.clear()
+    monkeypatch.setattr(trees, "MOST_PATTERNS", 0)
+    assert np.abs(looked_up - leaves.contributions(x)).max() < 1e-10
+    assert work < sum(asked) / 20

@@ -131,3 +131,15 @@ def test_saved_machines_score_alike(spark, parts, linear, tmp_path):
     rows = parts[1].orderBy(KEY).limit(40)
     scored = [{r[KEY]: (r["prediction"], r["proba"]) for r in m.with_scores(rows).collect()} for m in (linear, again)]
     assert scored[0] == scored[1] and again.coefficients() == linear.coefficients()
+
+
+def test_large_tables_begin_on_some_rows_and_end_at_the_same_weights(parts):
+    mapping = P.feature_map(parts[0], V.SIGNALS)
+    rows = parts[0].select(F.col("label_index").cast("int").alias("_y"), F.col("fold").cast("int").alias("_fold"), *[F.col(f).cast("double").alias(f) for f in V.SIGNALS]).persist()
+    cold, warm = ([P.Machine((0, 1)), P.Machine((2, 3), 1)] for _ in range(2))
+    P.fit_machines(rows, cold, mapping, 1.0, V.SIGNALS)
+    P.begin_machines(rows, warm, mapping, 1.0, V.SIGNALS, 500)
+    assert all(m.weights is not None for m in warm)
+    P.fit_machines(rows, warm, mapping, 1.0, V.SIGNALS)
+    for a, b in zip(cold, warm):
+        assert np.abs(a.weights - b.weights).max() < 1e-5 and b.steps < a.steps

@@ -1,6 +1,8 @@
 import math
+from threading import Barrier
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from culprit import fixed_values as V
@@ -158,3 +160,21 @@ def test_stages_end_to_end(spark, tmp_path):
     )
     assert {r["method"] for r in rows.collect()} == {"shap_linear", "shap_tree"}
     assert tables.count() == 18
+
+
+def test_calibration_lines_are_fitted_side_by_side(spark, monkeypatch):
+    both = Barrier(2, timeout=60)
+
+    class Waiting(M.LogisticRegression):
+        def fit(self, rows):
+            both.wait()  # one fit after the other would never meet here
+            return super().fit(rows)
+
+    class Heads:
+        def transform(self, df):
+            return df.select("*", *[array_to_vector(F.array(-F.col("x") * s, F.col("x") * s)).alias(f"_raw{i}") for i, s in enumerate((-1, 1))])
+
+    df = spark.createDataFrame([((i % 20) / 10 - 1.0, float((i % 7 + i % 20) > 12), i % 3) for i in range(120)], "x double, label_index double, fold int")
+    monkeypatch.setattr(M, "LogisticRegression", Waiting)
+    low, high = M.platt(df, 2, 3, lambda rows: Heads(), 2)
+    assert low[0] > 0 and abs(low[0] - high[0]) < 1e-3 and abs(low[1] + high[1]) < 1e-3

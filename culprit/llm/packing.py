@@ -30,8 +30,12 @@ CACHED = 500_000  # strings of a generation of those whose ids a worker remember
 LONG_CHUNK = 1 << 16
 ID_BYTES = 4
 DIGIT = re.compile(rb"[0-9]")
-PLAIN = re.compile(rb"[!-&(-~]+")  # printable ASCII without the apostrophe
-PARTS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+# White space and printable ASCII, and the letters of Latin-1 as UTF-8.
+PLAIN = re.compile(rb"(?:[\t-\r -~]++|(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++)*+")
+PARTS = re.compile(rb"[a-z\x80-\xff]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^a-z0-9\s\x80-\xff]+")
+# A byte as the vocabulary writes it: itself where it is printable in Latin-1, else one from 256 up.
+PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+WRITTEN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
 
 class Piece(NamedTuple):
@@ -111,31 +115,37 @@ class SumOfSquares:
             yield held
 
 
-class Remembered(dict):
+class Remembered:
     """Ids of recent strings, in two generations of ``CACHED`` entries, so that memory stays bounded."""
 
     def __init__(self):
-        super().__init__()
+        self.newer: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def missing(self, strings: set[bytes]) -> list[bytes]:
+    def __len__(self) -> int:
+        return len(self.newer)
+
+    def missing(self, strings: set[bytes]) -> set[bytes]:
         """Those of the strings that are in neither generation; the others are in the newer one then."""
         if len(self) > CACHED:
-            self.older = dict(self)
-            self.clear()
-        new = [s for s in strings if s not in self]
-        self.update((s, self.older[s]) for s in new if s in self.older)
-        return [s for s in new if s not in self]
+            self.newer, self.older = {}, self.newer
+        new = strings.difference(self.newer)
+        if not self.older:
+            return new
+        unknown = new.difference(self.older)
+        self.newer.update((s, self.older[s]) for s in new - unknown)
+        return unknown
 
 
 class Encoder:
     """Ids of a text as bytes, put together from those of its parts, which are remembered.
 
-    The vocabulary drops white space and no rule looks across it, so a white-space separated
-    chunk has the same ids in every text. A chunk of printable ASCII without apostrophes and
-    special tokens is further made of runs of letters, single digits and runs of other
-    characters, which go to the byte-pair model as they are; any other chunk takes the whole
-    way. A chunk without any white space for long is cut after ASCII digits.
+    A text of ASCII and letters of Latin-1, without special tokens, is made of runs of letters,
+    single digits, English contractions and runs of other characters, which go to the byte-pair
+    model byte by byte. Any other text is looked up by chunk: the vocabulary drops white space
+    and no rule looks across it, so a white-space separated chunk has the same ids in every
+    text. Its plain chunks are made of parts as well; the others take the whole way. A chunk
+    without any white space for long is cut after ASCII digits.
     """
 
     def __init__(self, path: str):
@@ -146,50 +156,74 @@ class Encoder:
         self.model = self.tokenizer.model
         self.chunks, self.parts = Remembered(), Remembered()
 
+    def learn_parts(self, parts: set[bytes]) -> None:
+        """Remember the ids of these parts."""
+        tokenize = self.model.tokenize
+        for part in self.parts.missing(parts):
+            self.parts.newer[part] = array("I", [t.id for t in tokenize(byte_letters(part))]).tobytes()
+
     def learn(self, chunks: set[bytes]) -> None:
         """Remember the ids of these chunks."""
         new = self.chunks.missing(chunks)
-        plain = {c: PARTS.findall(c.lower()) for c in new if PLAIN.fullmatch(c) and b"<|" not in c}
-        for part in self.parts.missing({part for parts in plain.values() for part in parts}):
-            self.parts[part] = array("I", [t.id for t in self.model.tokenize(part.decode())]).tobytes()
-        known = self.parts.__getitem__
-        self.chunks.update((c, b"".join(map(known, parts))) for c, parts in plain.items())
+        plain = {c: parts_of(c) for c in new if is_plain(c)}
+        self.learn_parts(set().union(*plain.values()))
+        known = self.parts.newer.__getitem__
+        self.chunks.newer.update((c, b"".join(map(known, parts))) for c, parts in plain.items())
         other = [c for c in new if c not in plain]
+        if not other:
+            return
         found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in other], add_special_tokens=False)
-        self.chunks.update((c, array("I", e.ids).tobytes()) for c, e in zip(other, found))
+        self.chunks.newer.update((c, array("I", e.ids).tobytes()) for c, e in zip(other, found))
 
     def ids(self, text: bytes) -> bytes:
         return next(self.every([text]))
 
     def every(self, texts: Iterable[bytes], size: int = 1 << 20) -> Iterator[bytes]:
         """Ids of every text; texts share a look-up up to ``size`` bytes, and longer ones are cut to that."""
-        waiting: list[list[bytes]] = []
+        waiting: list[tuple[bool, list[bytes]]] = []
         held = 0
         for text in texts:
             if len(text) > size:
                 yield from self.looked_up(waiting)
                 waiting, held = [], 0
-                yield b"".join(ids for chunks in word_blocks(text, size) for ids in self.looked_up([chunks]))
+                yield b"".join(ids for chunks in word_blocks(text, size) for ids in self.looked_up([(False, chunks)]))
                 continue
-            waiting.append(text.split())
+            plain = is_plain(text)
+            waiting.append((plain, parts_of(text) if plain else text.split()))
             held += len(text)
             if held > size:
                 yield from self.looked_up(waiting)
                 waiting, held = [], 0
         yield from self.looked_up(waiting)
 
-    def looked_up(self, texts: list[list[bytes]]) -> Iterator[bytes]:
-        different = set().union(*texts)
+    def looked_up(self, texts: list[tuple[bool, list[bytes]]]) -> Iterator[bytes]:
+        """Ids of texts that are given as parts (where the flag is set) or as chunks."""
+        different = set().union(*[chunks for plain, chunks in texts if not plain])
         long = {c: list(digit_blocks(c)) for c in different if len(c) > LONG_CHUNK}
-        for c, parts in long.items():
+        for c, blocks in long.items():
             different.remove(c)
-            different.update(parts)
+            different.update(blocks)
         self.learn(different)
-        known = self.chunks.__getitem__
-        for chunks in texts:
-            if long:
-                chunks = [part for c in chunks for part in long.get(c, (c,))]
-            yield b"".join(map(known, chunks))
+        self.learn_parts(set().union(*[parts for plain, parts in texts if plain]))
+        of_part, of_chunk = self.parts.newer.__getitem__, self.chunks.newer.__getitem__
+        for plain, strings in texts:
+            if long and not plain:
+                strings = [block for c in strings for block in long.get(c, (c,))]
+            yield b"".join(map(of_part if plain else of_chunk, strings))
+
+
+def is_plain(text: bytes) -> bool:
+    return PLAIN.fullmatch(text) is not None and b"<|" not in text
+
+
+def parts_of(text: bytes) -> list[bytes]:
+    """Parts of a plain text in lower case."""
+    return PARTS.findall(text.lower() if text.isascii() else text.decode().lower().encode())
+
+
+def byte_letters(part: bytes) -> str:
+    """A part as the byte-pair model reads it, one character a byte."""
+    return part.decode() if part.isascii() else part.decode("latin-1").translate(WRITTEN)
 
 
 @lru_cache(maxsize=1)

@@ -35,6 +35,28 @@ def test_odd_texts(text):
     assert ids_of(text) == plain_ids(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aBsTmRevl'  \t\n!?.-09éÉßÿÀ÷×ñ") | st.text(alphabet="eE 1!'«é’\u0301\x00\x1c\u0085İſ"))
+def test_plain_and_other_texts_equal_the_whole_way(text):
+    assert ids_of(text) == plain_ids(text)
+
+
+def test_plain_texts_take_no_detour_by_chunks():
+    encoder, text = Encoder(PATH), "Élan vital, l'été 2024: it's PÈRE Ñandú!! Straße <b>"
+    encoder.tokenizer = None
+    assert np.frombuffer(encoder.ids(text.encode()), "<u4").tolist() == plain_ids(text)
+    assert not encoder.chunks.newer
+    assert {p.decode() for p in encoder.parts.newer} == set("élan vital , l ' été 2 0 4 : it 's père ñandú !! straße < b >".split())
+
+
+def test_forgotten_parts_of_plain_texts_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED", 3)
+    encoder = Encoder(PATH)
+    for text in ["one two three four", "five six seven", "one six « eight nine", "two ten one"] * 3:
+        assert np.frombuffer(encoder.ids(text.encode()), "<u4").tolist() == plain_ids(text)
+        assert len(encoder.parts) <= 3 + 4 and len(encoder.parts.older) <= 3 + 4
+
+
 def test_forgotten_parts_are_encoded_again(monkeypatch):
     monkeypatch.setattr(packing, "CACHED", 3)
     encoder = Encoder(PATH)

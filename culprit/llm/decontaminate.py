@@ -6,7 +6,6 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,6 +34,8 @@ PLACEHOLDERS = {"number": b"<number>", "unit": b"<unit>", "name": b"<name>"}
 
 def folded(bare: bytes) -> bytes:
     """A word without its case, in any script."""
+    if bare.isascii():
+        return bare.lower()
     return bare.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
 
 
@@ -45,6 +46,8 @@ def capitalised(bare: bytes) -> bool:
 
 def _upper(bare: bytes) -> bool:
     """Two or more characters, the first in upper case."""
+    if bare < b"\x80":
+        return b"A" <= bare < b"[" and len(bare) > 1
     word = bare.decode("utf-8", "surrogateescape")
     return len(word) > 1 and word[0].isupper()
 
@@ -60,19 +63,22 @@ class Canon:
 
     def __init__(self, known: set[bytes], names: set[bytes]):
         self.known, self.names = known, names
-        self.numbers = {w.encode() for w in NUMBERS}
-        self.units = {w.encode() for w in UNITS}
+        # Forms of the words that have one whatever their case; the first of numbers, units and names holds.
+        self.fixed = {w: w for w in known}
+        self.fixed |= dict.fromkeys(names, PLACEHOLDERS["name"])
+        self.fixed |= dict.fromkeys((w.encode() for w in UNITS), PLACEHOLDERS["unit"])
+        self.fixed |= dict.fromkeys((w.encode() for w in NUMBERS), PLACEHOLDERS["number"])
+        self.fixed |= {w: PLACEHOLDERS["number"] for w in self.fixed if DIGITS.match(w)}
 
     def __call__(self, token: bytes) -> bytes:
         bare = token.strip(EDGES)
         low = folded(bare)
-        if low in self.numbers or DIGITS.match(low):
+        form = self.fixed.get(low)
+        if form is not None:
+            return form
+        if DIGITS.match(low):
             return PLACEHOLDERS["number"]
-        if low in self.units:
-            return PLACEHOLDERS["unit"]
-        if low in self.names or (low not in self.known and _upper(bare)):
-            return PLACEHOLDERS["name"]
-        return low
+        return PLACEHOLDERS["name"] if _upper(bare) else low
 
 
 def known_words(texts: list[str]) -> tuple[set[bytes], set[bytes]]:
@@ -92,15 +98,23 @@ class Numbered(dict):
     MOST = 300_000
 
     def __init__(self, canon: Canon, vocabulary: dict[bytes, int]):
-        self.canon, self.vocabulary = canon, vocabulary
+        slots = {form: -2 * vocabulary[form] for form in PLACEHOLDERS.values() if form in vocabulary}
+        self.fixed = {low: slots.get(form, vocabulary.get(form, 0)) for low, form in canon.fixed.items()}
+        self.digits, self.named = (slots.get(PLACEHOLDERS[kind], 0) for kind in ("number", "name"))
 
     def __missing__(self, token: bytes) -> int:
+        """As ``canon`` has it; a word that is neither fixed nor a slot is not in the benchmark."""
         if len(self) >= self.MOST:
             self.clear()
-        form = self.canon(token)
-        number = self.vocabulary.get(form, 0)
-        closed = token[-1:] in CLOSING
-        self[token] = out = -2 * number - closed if number and form in PLACEHOLDERS.values() else number
+        bare = token.strip(EDGES)
+        low = bare.lower() if bare.isascii() else folded(bare)
+        out = self.fixed.get(low)
+        if out is None:
+            # Figures begin with a byte below the colon.
+            out = self.digits if low < b":" and DIGITS.match(low) else self.named if _upper(bare) else 0
+        if out < 0:
+            out -= token[-1:] in CLOSING
+        self[token] = out
         return out
 
 
@@ -135,6 +149,8 @@ def window_hashes(numbers: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarr
     sums = lambda flags: np.convolve(flags, np.ones(width, np.int64), "valid")
     good = (sums((numbers == 0).astype(np.int64)) == 0) & (sums((numbers > 0).astype(np.int64)) >= FEWEST)
     places = np.flatnonzero(good)
+    if not len(places):
+        return places, np.zeros(0, np.int64)
     mixed = _mixed(np.abs(numbers))
     out = np.full(len(places), width, np.uint64)
     for i in range(width):
@@ -183,19 +199,24 @@ def document_windows(docs: DataFrame, canon: Canon, vocabulary: dict[bytes, int]
             offsets, data = texts_of(batch.column(2))
             for r, (start, stop) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
                 carry, at, had = [], 0, 0
-                for block in chain(word_blocks(data[start:stop].tobytes()), [None]):
-                    words = carry + (block or [])
+                blocks = word_blocks(data[start:stop].tobytes())
+                block = next(blocks, None)
+                while block is not None:
+                    after = next(blocks, None)
+                    words = carry + block if carry else block
                     starts, numbers = runs_of(np.fromiter(map(numbered.__getitem__, words), np.int64, len(words)))
-                    whole = len(numbers) - (block is not None and len(numbers) > 0)
+                    whole = len(numbers) - (after is not None and len(numbers) > 0)
                     for width in widths:
                         places, hashes = window_hashes(numbers[:whole], width)
+                        if not len(places):
+                            continue
                         bit = hashes.view(np.uint64) % np.uint64(FILTER_BITS)
                         near = (passing[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
                         near &= places + width > had  # windows within the carried runs were seen before
                         rows += [(r, at + int(p), width, int(h), _slots(words, starts, numbers, p, width)) for p, h in zip(places[near], hashes[near], strict=True)]
                     first = max(0, whole - longest + 1)
-                    carry = words[starts[first] :] if len(starts) else []
-                    at, had = at + first, whole - first
+                    carry = words[starts[first] :] if after is not None and len(starts) else []
+                    at, had, block = at + first, whole - first, after
             if rows:
                 r, place, width, hashes, slots = zip(*rows, strict=True)
                 which = pa.array(r, pa.int64())

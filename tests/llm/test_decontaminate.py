@@ -117,3 +117,52 @@ def test_edits_of_the_given_benchmark(spark):
     missed = [i for i, _ in rows if (i, i // 10) not in got]
     assert len([i for i in missed if i % 10 > 1]) == 0
     assert len(missed) <= 0.05 * len(rows)
+
+
+def plain_form(canon, token):
+    """The form of a token, asked in the order numbers, units, names, other words."""
+    bare = token.strip(decontaminate.EDGES)
+    low = bare.decode().casefold().encode()
+    if low.decode() in decontaminate.NUMBERS or decontaminate.DIGITS.match(low):
+        return b"<number>"
+    if low.decode() in decontaminate.UNITS:
+        return b"<unit>"
+    word = bare.decode()
+    if low in canon.names or (low not in canon.known and len(word) > 1 and word[0].isupper()):
+        return b"<name>"
+    return low
+
+
+def test_numbers_of_tokens_follow_their_forms():
+    texts = [t for _, t in QUESTIONS if t] + ["Second Ten 3rd MB élan Élise i, straße ... 5% Σας"]
+    canon = decontaminate.Canon(*decontaminate.known_words(texts))
+    forms = sorted({canon(w) for t in texts for w in t.encode().split()})
+    vocabulary = {form: i + 1 for i, form in enumerate(forms)}
+    numbered = decontaminate.Numbered(canon, vocabulary)
+    odd = "ÉLAN élise, STRASSE Straße. I Ω Ωmega 𝐀 𝐀b X Xy xY é É Éa «Anna» (Anna) $5, +7) -3% 12:30 1a4 :a @b 9: TEN! km/h. <number> '' ΣΑΣ ſecond".split()
+    for token in [w.encode() for w in odd + " ".join(texts).split() + " ".join(texts).upper().split()]:
+        form = plain_form(canon, token)
+        number = vocabulary.get(form, 0)
+        closed = token[-1:] in decontaminate.CLOSING
+        assert canon(token) == form
+        assert numbered[token] == (-2 * number - closed if number and form in decontaminate.PLACEHOLDERS.values() else number), token
+
+
+def test_a_text_of_one_block_is_cut_into_runs_once(monkeypatch):
+    import types
+
+    import numpy as np
+    import pyarrow as pa
+
+    scan, calls, cut = [], [], decontaminate.runs_of
+    context = types.SimpleNamespace(broadcast=lambda value: types.SimpleNamespace(value=value))
+    docs = types.SimpleNamespace(sparkSession=types.SimpleNamespace(sparkContext=context), mapInArrow=lambda f, _: scan.append(f))
+    item = "one train leaves the station and travels along this river until it stops"
+    canon = decontaminate.Canon(*decontaminate.known_words([item]))
+    vocabulary = {form: i + 1 for i, form in enumerate(sorted({canon(w) for w in item.encode().split()}))}
+    monkeypatch.setattr(decontaminate, "runs_of", lambda numbers: calls.append(1) or cut(numbers))
+    decontaminate.document_windows(docs, canon, vocabulary, np.full(decontaminate.FILTER_BITS // 8, 255, np.uint8), [8])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([1, 2, 3]), pa.array([item, None, f"{item} {item}"])], ["_id", "_body", "_text"])
+    out = pa.Table.from_batches(list(scan[0](iter([batch]))))
+    assert len(calls) == 2
+    assert out.column("_id").to_pylist() == [1] * 6 + [3] * 19

@@ -100,3 +100,60 @@ def test_macro_auc_is_null_when_a_class_is_missing(spark):
         [("m", "a", [0.8, 0.2]), ("m", "b", [0.2, 0.8])], "model_name string, actual string, proba array<double>"
     )
     assert metrics.model_auc(binary, ["a", "b"]).first()["roc_auc"] == 1.0
+
+
+def plain_auc(rows):
+    """Share of ordered pairs, ties half; null lies below all scores and NaN above."""
+    place = lambda s: (0, 0.0) if s is None else (2, 0.0) if s != s else (1, s + 0.0)
+    pos, neg = [place(s) for s, p in rows if p], [place(s) for s, p in rows if not p]
+    won = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+    return won / (len(pos) * len(neg)) if pos and neg else None
+
+
+def test_auc_with_scores_shared_between_batches_and_ranges(spark):
+    draw = random.Random(8)
+    odd = [None, float("nan"), 0.0, -0.0, 0.5, float("inf"), -float("inf")]
+    rows = [
+        (draw.choice(["a", "b", None]), draw.randrange(2), 0.25 if draw.random() < 0.4 else draw.choice([*odd, draw.random()]), draw.choice([True, False, False, None]))
+        for _ in range(900)
+    ] + [("one", 0, 0.3, True)]
+    table = spark.createDataFrame(rows, "m string, c int, s double, p boolean").repartition(7)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 4, 50, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = {(r.m, r.c): r for r in metrics.roc_auc(table, ["m", "c"], "s", "p", buckets=5).collect()}
+            assert len(got) == 7
+            for (m, c), r in got.items():
+                own = [(s, p) for a, b, s, p in rows if (a, b) == (m, c)]
+                assert (r.n_pos, r.n_neg) == (sum(bool(p) for _, p in own), sum(not p for _, p in own))
+                assert r.roc_auc == (None if m == "one" else pytest.approx(plain_auc(own), abs=1e-12))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_auc_writes_no_table_of_scores(spark):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    held = set(os.listdir(folder))
+    table = spark.createDataFrame([(0.1 * i, i % 3 == 0) for i in range(20)], "s double, p boolean")
+    assert metrics.roc_auc(table, [], "s", "p").first().n_pos == 7
+    assert set(os.listdir(folder)) == held
+
+
+def test_code_of_several_cards_is_short_enough_to_be_compiled(spark, incidents, capsys):
+    import re
+
+    from culprit import fixed_values as V
+    from culprit.operators import scoring
+    from culprit.operators.scorecard import fixed_scorecards
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        scoring.score_models(fixed_scorecards(), incidents, V.LABEL, "incident_id").explain(mode="codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8_000

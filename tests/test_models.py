@@ -178,3 +178,20 @@ def test_calibration_lines_are_fitted_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(M, "LogisticRegression", Waiting)
     low, high = M.platt(df, 2, 3, lambda rows: Heads(), 2)
     assert low[0] > 0 and abs(low[0] - high[0]) < 1e-3 and abs(low[1] + high[1]) < 1e-3
+
+
+def test_machines_of_few_rows_are_fitted_in_one_task(spark, incidents, monkeypatch):
+    table, classes = M.index_label(incidents.withColumn("fold", (F.col("incident_id") % 3).cast("int")))
+    table = table.repartition(8).persist()
+    seen, fit_all = [], M.one_per_class
+    monkeypatch.setattr(M, "one_per_class", lambda df, *more: seen.append(df.rdd.getNumPartitions()) or fit_all(df, *more))
+    spec, features = M.ModelSpec("SVM", "svm", {}, {"max_iter": 2, "dims": 4}), ["latency", "error_rate"]
+    M.fit(table, spec, {"C": 1, "kernel": "rbf"}, features, classes, calibrate=False)
+    monkeypatch.setattr(M, "TASK_VALUES", 4 * table.count())
+    M.fit(table, spec, {"C": 1, "kernel": "rbf"}, features, classes, calibrate=False)
+    monkeypatch.setattr(M, "TASK_VALUES", table.count())
+    M.fit(table, spec, {"C": 1, "kernel": "rbf"}, features, classes, calibrate=False)
+    monkeypatch.setattr(M, "TASK_VALUES", 1)
+    M.fit(table, spec, {"C": 1, "kernel": "linear"}, features, classes, calibrate=False)
+    table.unpersist()
+    assert seen == [1, 1, 4, 8]

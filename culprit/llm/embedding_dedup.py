@@ -16,8 +16,12 @@ THRESHOLD = 0.98
 FIT_ROWS = 10_000
 CELL_ROWS = 2_000
 MAX_CELLS = 2_048
-PIECE_ROWS = 2_048
+PIECE_ROWS = 8_192
 ROUNDS = 10
+COPY_COST = 1_000  # cosines that take as long as moving a vector to one more task
+TRIED_ROWS = 2_000  # of the sample, on which numbers of cells are compared
+NEAR_VALUES = 1 << 20  # products of vectors and centres, or of vectors, that a task holds at a time
+BATCH_ROWS = 4_096
 
 
 def fit_cells(sample: np.ndarray, cells: int, rounds: int = ROUNDS, seed: int = 7) -> np.ndarray:
@@ -36,8 +40,8 @@ def fit_cells(sample: np.ndarray, cells: int, rounds: int = ROUNDS, seed: int =
     return centres
 
 
-def _assigner(centres: np.ndarray, threshold: float):
-    """For each vector its own cell, and every lower-numbered cell that may hold a neighbour.
+def _placing(centres: np.ndarray, threshold: float):
+    """Gives for unit vectors their own cells and a table of the lower-numbered cells that may hold a neighbour.
 
     Vectors with cosine of at least ``threshold`` are at most ``reach`` apart, so a neighbour
     can lie in another cell only when the plane halfway to that cell's centre is that close.
@@ -45,25 +49,65 @@ def _assigner(centres: np.ndarray, threshold: float):
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
     apart = np.linalg.norm(centres[:, None, :] - centres[None, :, :], axis=2)
 
+    def place(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        near = x @ centres.T
+        home = near.argmax(axis=1)
+        gap = near[np.arange(len(x)), home][:, None] - near
+        return home, (gap <= reach * apart[home]) & (np.arange(len(centres))[None, :] < home[:, None])
+
+    return place
+
+
+def _assigner(centres: np.ndarray, threshold: float):
+    """Every vector in its own cell and, as a guest, in the others within reach, in small batches."""
+    place, step = _placing(centres, threshold), max(1, NEAR_VALUES // len(centres))
+
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            if not len(rows):
-                continue
-            x = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-            x /= np.linalg.norm(x, axis=1)[:, None]
-            near = x @ centres.T
-            home = near.argmax(axis=1)
-            gap = near[np.arange(len(x)), home][:, None] - near
-            guest = (gap <= reach * apart[home]) & (np.arange(len(centres))[None, :] < home[:, None])
-            row, cell = np.nonzero(guest)
-            out = [rows.assign(cell=home.astype(np.int32), guest=False)]
-            if len(row):
-                out.append(rows.iloc[row].assign(cell=cell.astype(np.int32), guest=True))
-            yield pd.concat(out)
+        for batch in batches:
+            for at in range(0, len(batch), step):
+                rows = batch.iloc[at : at + step]
+                x = np.stack(rows["vector"].to_numpy()).astype(np.float64)
+                home, guest = place(x / np.linalg.norm(x, axis=1)[:, None])
+                yield rows.assign(cell=home.astype(np.int32), guest=False)
+                row, cell = np.nonzero(guest)
+                for k in range(0, len(row), BATCH_ROWS):
+                    some = slice(k, k + BATCH_ROWS)
+                    yield rows.iloc[row[some]].assign(cell=cell[some].astype(np.int32), guest=True)
 
     return assign
 
 
+def choose_cells(sample: np.ndarray, n: int, alike: float, most: int, threshold: float, piece_rows: int) -> np.ndarray:
+    """Centres of as many cells as seem to cost least, from one to ``most``.
+
+    More cells need fewer cosines, but a vector near many planes is copied into many cells.
+    Both are counted on some of the sample, for ``n`` vectors of which two have the same label
+    with probability ``alike``. Any choice gives the same links.
+    """
+    best, least = None, math.inf
+    tried = sample[:TRIED_ROWS]
+    counts = [1]
+    while counts[-1] < most:
+        counts.append(min(most, 4 * counts[-1]))
+    for cells in counts:
+        centres = fit_cells(sample, cells)
+        place, step = _placing(centres, threshold), max(1, NEAR_VALUES // cells)
+        share, guests = np.zeros(cells), np.zeros(cells)
+        for at in range(0, len(tried), step):
+            home, guest = place(tried[at : at + step])
+            share += np.bincount(home, minlength=cells) / len(tried)
+            guests += guest.sum(axis=0) / len(tried)
+        own = share * n * alike  # members of a cell and label
+        members, hosted = np.ceil(own / piece_rows), np.ceil(guests * n * alike / piece_rows)
+        copies = (share * (members + hosted)).sum() + (guests * members).sum()
+        cost = n * alike * (share * (share / 2 + guests)).sum() + COPY_COST * copies
+        if cost < least:
+            best, least = centres, cost
+        elif cost > 4 * least:
+            break  # copies only grow from here on
+    return best
+
+
 def _blocked(threshold: float):
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         """Links between two pieces of a cell: ``n`` per vector and a star per linked group."""
@@ -74,16 +118,17 @@ def _blocked(threshold: float):
         left = np.arange(len(x)) if own else np.flatnonzero(rows["side"].to_numpy() == 0)
         right = left if own else np.flatnonzero(rows["side"].to_numpy() == 1)
         found, label = np.zeros(len(x), np.int64), np.arange(len(x))
-        for at in range(0, len(left), 512):
-            part = left[at : at + 512]
+        step = max(16, NEAR_VALUES // max(1, len(right)))
+        for at in range(0, len(left), step):
+            part = left[at : at + step]
             cosine = (x[part] @ x[right].T) / (size[part][:, None] * size[right][None, :])
             near = cosine >= threshold
             if own:
                 near[np.arange(len(part)), at + np.arange(len(part))] = False
-            found[part] += near @ copies[right]
-            if not own:
-                found[right] += copies[part] @ near
             i, j = np.nonzero(near)
+            np.add.at(found, part[i], copies[right[j]])
+            if not own:
+                np.add.at(found, right[j], copies[part[i]])
             merge_labels(label, part[i], right[j])
         linked = found > 0
         root = pd.Series(node).groupby(label).transform("min").to_numpy()
@@ -112,7 +157,7 @@ def near_duplicates(
     """``vec_id``, ``n_links``, ``component_id`` and ``kept``: one row per row of ``df``.
 
     Vectors of equal non-null label and length link at cosine ``threshold`` or more. The
-    centres are fitted on the ``fit_rows`` vectors that come first by a hash; every vector is
+    centres, as many as cost least, are fitted on the ``fit_rows`` vectors that come first by a hash; every vector is
     then placed in its cell and, as a guest, in each other cell within reach, so no link is
     missed. Equal vectors are one node with a count. A cell with more than ``piece_rows``
     vectors is cut into pieces that meet pairwise. Only link counts and stars leave a task.
@@ -128,14 +173,16 @@ def near_duplicates(
     nodes = able.groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
     node = F.coalesce("first", F.xxhash64("label", "vector"))
     nodes = kept_table(nodes.withColumn("node", node), "vectors")
-    sizes = nodes.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n")).collect()
+    sizes = nodes.groupBy(F.size("vector").alias("width"), "label").agg(F.count("*").alias("n"))
+    alike = (F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n") / F.sum("n")).alias("alike")
+    sizes = sizes.groupBy("width").agg(F.sum("n").alias("n"), alike).collect()
     parts, kind = [], dict(nodes.dtypes)["label"]
-    for width, n in sorted((r["width"], r["n"]) for r in sizes):
+    for width, n, same in sorted((r["width"], r["n"], r["alike"]) for r in sizes):
         some = nodes.filter(F.size("vector") == width)
         cells = int(min(max_cells, max(1, n // cell_rows), n))
         sample = some.orderBy(F.xxhash64("vector"), "label").limit(max(cells, fit_rows)).select("vector").toPandas()
         sample = np.stack(sample["vector"].to_numpy()).astype(np.float64)
-        centres = fit_cells(sample / np.linalg.norm(sample, axis=1)[:, None], cells)
+        centres = choose_cells(sample / np.linalg.norm(sample, axis=1)[:, None], n, same, cells, threshold, piece_rows)
         placed = some.select("label", "vector", "node", "copies").mapInPandas(
             _assigner(centres, threshold), f"label {kind}, vector array<double>, node long, copies long, cell int, guest boolean"
         )
@@ -145,7 +192,7 @@ def near_duplicates(
     placed = parts[0]
     for part in parts[1:]:
         placed = placed.unionByName(part)
-    placed = kept_table(placed, "cells")
+    # Placing again costs less than keeping every copy of every vector.
     cell = ["width", "label", "cell"]
     pieces = F.ceil(F.count("*") / piece_rows).cast("int").alias("pieces")
     counts = kept_table(placed.filter("NOT guest").groupBy(*cell).agg(pieces), "cell-sizes")

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from culprit.llm import embedding_dedup
@@ -73,3 +74,33 @@ def test_rows_without_id_and_repeated_rows(spark):
 def test_nothing_to_link(spark):
     assert embedding_dedup.near_duplicates(frame(spark, [])).count() == 0
     assert embedding_dedup.near_duplicates(frame(spark, [(1, None, 0)])).collect()[0][:] == (1, 0, 1, True)
+
+
+def test_placing_holds_small_batches_only():
+    """Vectors near the planes of many cells gave one batch of all their copies, more than an executor holds."""
+    draw = np.random.default_rng(5)
+    x = draw.standard_normal((6000, 48))
+    centres = embedding_dedup.fit_cells(x / np.linalg.norm(x, axis=1)[:, None], 400, rounds=1)
+    batch = pd.DataFrame({"node": range(6000), "vector": list(x)})
+    out = list(embedding_dedup._assigner(centres, 0.98)([batch]))
+    assert max(map(len, out)) <= embedding_dedup.BATCH_ROWS and sum(map(len, out)) > 10 * 6000
+    own = pd.concat([b for b in out if not b["guest"].any()])
+    assert sorted(own["node"]) == list(range(6000))
+
+
+def test_cells_are_taken_where_they_separate():
+    """Vectors all over the sphere would be copied into most cells; clouds far apart are not."""
+    draw = np.random.default_rng(5)
+    spread = draw.standard_normal((3000, 48))
+    clouds = draw.standard_normal((64, 48))[draw.integers(0, 64, 3000)] + 0.01 * draw.standard_normal((3000, 48))
+    found = [
+        len(embedding_dedup.choose_cells(x / np.linalg.norm(x, axis=1)[:, None], n, 0.1, 64, 0.98, 8_192))
+        for x, n in ((spread, 20_000), (clouds, 200_000))
+    ]
+    assert found[0] == 1 and found[1] >= 16
+
+
+def test_links_do_not_depend_on_the_cells(spark, rows, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "choose_cells", lambda sample, n, alike, most, *more: embedding_dedup.fit_cells(sample, min(most, 40)))
+    got = embedding_dedup.near_duplicates(frame(spark, rows), cell_rows=5, piece_rows=4).collect()
+    assert sorted(tuple(r) for r in got) == plain(rows)
